@@ -237,6 +237,9 @@ BUDGET = _contract(
     references=[("store_id", "stores", "store_id")],
 )
 
+# Master tables: small next to the facts, though their size is still checked before a broadcast.
+MASTERS = ("stores", "products", "cashiers")
+
 # Parents come before the tables that refer to them.
 CONTRACTS = {
     c.source: c for c in (STORES, PRODUCTS, CASHIERS, FX_RATES, POS_SALES, REFUNDS, GL_JOURNAL, BUDGET)

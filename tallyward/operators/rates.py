@@ -19,10 +19,12 @@ def daily_rates(published: DataFrame, start, until) -> DataFrame:
     Each published rate is stretched over the days it is valid for, so the work is one row
     per published rate plus the generated days: no grid of days and currencies is joined.
     """
-    rates = published.select("rate_date", "currency", "units_per_eur").where(
-        "rate_date is not null and currency is not null and units_per_eur is not null"
-    )
     last = F.lit(until).cast("date")
+    rates = (
+        published.select("rate_date", "currency", "units_per_eur")
+        .where("currency is not null and units_per_eur is not null")
+        .where(F.col("rate_date") <= last)
+    )
     span = published.agg(F.least(F.min("rate_date"), F.lit(start).cast("date")).alias("first_day"))
     # A few decades of days per currency at most: the window partitions are bounded by the calendar.
     timeline = Window.partitionBy("currency").orderBy("rate_date")
