@@ -471,3 +471,244 @@ CTE["o_open"] = """
 SELECT store_id, day FROM o_stores s, (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM o_pos) d
 WHERE format = 'online' OR (isodow(day) < 7 AND NOT EXISTS (SELECT 1 FROM o_holidays h WHERE h.country = s.country AND h.holiday = d.day))"""
 ORACLE["open_days"] = sql("SELECT store_id, day::VARCHAR AS business_date FROM o_open")
+
+
+# ------------------------------------------------------------------ quality gate
+
+
+def result(name: str, severity: str, stage: str, body: str) -> str:
+    """Wrap a statement giving (n, detail) as a check result."""
+    return f"""
+SELECT '{name}' AS "check", '{severity}' AS severity, '{stage}' AS stage, n::BIGINT AS violations, n = 0 AS passed, detail FROM ({body})"""
+
+
+def sampled(rows: str, label: str, order: str, found: str, clean: str) -> str:
+    return f"""SELECT count(*) AS n, CASE WHEN count(*) = 0 THEN '{clean}' ELSE '{found}: ' ||
+  (SELECT string_agg(lab, ', ' ORDER BY {order}) FROM (SELECT *, {label} AS lab FROM {rows} ORDER BY {order} LIMIT 3)) END AS detail FROM {rows}"""
+
+
+def keys_check(table: str) -> str:
+    return f"""SELECT n, CASE WHEN n = 0 THEN 'every receipt line is unique' ELSE 'repeated receipt lines in the sales' END AS detail
+FROM (SELECT count(*) - count(DISTINCT (transaction_id, line_no)) AS n FROM {table})"""
+
+
+def masters_check(table: str) -> str:
+    return f"""SELECT n, CASE WHEN n = 0 THEN 'all sales have their masters' ELSE 'sales lines without their store or product' END AS detail
+FROM (SELECT count(*) FILTER (s.store_id IS NULL) + count(*) FILTER (p.sku IS NULL) AS n
+  FROM {table} t LEFT JOIN o_stores s ON s.store_id = t.store_id LEFT JOIN o_products p ON p.sku = t.sku)"""
+
+
+def quarantine_check(kind: str, keep: str) -> str:
+    return f"""SELECT coalesce(sum(k), 0) AS n, 'rows of {kind} tables in quarantine: ' || coalesce(string_agg(source || ' ' || k, ', ' ORDER BY source), 'none') AS detail
+FROM (SELECT source, count(*) AS k FROM (SELECT source FROM o_quarantine UNION ALL SELECT 'stores' FROM supplier WHERE s_suppkey % 41 = 40) WHERE {keep} GROUP BY source)"""
+
+
+CTE["o_unbalanced"] = "SELECT journal_id, sum(dr_c) AS dr_c, sum(cr_c) AS cr_c FROM o_gl GROUP BY journal_id HAVING sum(dr_c) <> sum(cr_c)"
+CTE["o_over"] = """
+SELECT original_transaction_id, r.sku, refunded_c, paid_c FROM (
+  SELECT original_transaction_id, sku, sum(gross_c) AS refunded_c FROM o_refunds WHERE receipt GROUP BY 1, 2) r
+JOIN (SELECT transaction_id, sku, sum(gross_c) AS paid_c FROM o_pos GROUP BY 1, 2) p ON p.transaction_id = r.original_transaction_id AND p.sku = r.sku
+WHERE refunded_c > paid_c + 1"""
+CTE["o_missing"] = "SELECT o.* FROM o_open o ANTI JOIN o_pos p ON p.store_id = o.store_id AND p.day = o.day"
+CTE["o_collapse"] = """
+SELECT * FROM (SELECT *, quantile_disc(lines, 0.5) OVER (PARTITION BY store_id, dayofweek(day)) AS usual
+  FROM (SELECT store_id, day, count(*) AS lines FROM o_pos GROUP BY store_id, day)) WHERE lines * 3 < usual"""
+RANGE = """SELECT a + b + c AS n, 'amounts out of range: ' || 'ledger lines ' || c || ', refunds ' || b || ', sales ' || a AS detail FROM (
+  SELECT (SELECT count(*) FROM o_pos WHERE net4 <= 0 OR net4 > 500000000 OR quantity > 500) AS a,
+    (SELECT count(*) FROM o_refunds WHERE amount4 <= 0 OR amount4 > 100000000) AS b,
+    (SELECT count(*) FROM o_gl WHERE dr_c > 100000000 OR cr_c > 100000000) AS c)"""
+ADDS = f"""SELECT CASE WHEN abs(g * 100 - s4) > 10000 THEN 1 ELSE 0 END AS n,
+  'daily revenue ' || {money("g")} || ' against sales ' || {money(half_up("s4", "100"))} AS detail
+FROM (SELECT (SELECT sum(net_c) FROM o_daily) AS g, (SELECT sum(net4) FROM o_pos) AS s4)"""
+CHECKS = {
+    "silver_keys_unique": ("critical", "silver", keys_check("o_pos")),
+    "journals_balance": ("critical", "silver", sampled("o_unbalanced", "journal_id", "journal_id", "journals whose debits and credits differ", "every journal balances")),
+    "amounts_in_range": ("critical", "silver", RANGE),
+    "sales_have_masters": ("critical", "silver", masters_check("o_pos")),
+    "quarantine_money": ("critical", "silver", quarantine_check("money", "source <> 'stores'")),
+    "quarantine_masters": ("warning", "silver", quarantine_check("master", "source = 'stores'")),
+    "refund_within_sale": ("warning", "silver", """SELECT count(*) AS n, CASE WHEN count(*) = 0 THEN 'no refund is larger than its sale'
+  ELSE 'receipted refunds larger than the sale' END AS detail FROM o_over"""),
+    "missing_store_days": ("warning", "silver", sampled("o_missing", "store_id || ' ' || day", "day, store_id", "open store-days without sales", "every open store-day has sales")),
+    "volume_collapse": ("warning", "silver", sampled("o_collapse", "store_id || ' ' || day", "day, store_id", "store-days under a third of usual volume", "no volume collapse")),
+    "gold_adds_up": ("critical", "gold", ADDS),
+}
+
+
+def check_sql(name: str) -> str:
+    severity, stage, body = CHECKS[name]
+    return result(name, severity, stage, body)
+
+
+ORACLE["keys_unique"] = sql(result("silver_keys_unique", "critical", "silver", keys_check("o_bpos")))
+ORACLE["journals_balance"] = sql(f"SELECT journal_id, {eur('dr_c')} AS debit_eur, {eur('cr_c')} AS credit_eur FROM o_unbalanced")
+ORACLE["amounts_in_range"] = sql(check_sql("amounts_in_range"))
+ORACLE["sales_have_masters"] = sql(result("sales_have_masters", "critical", "silver", masters_check("o_bpos")))
+ORACLE["quarantine_checks"] = sql(check_sql("quarantine_money") + " UNION ALL " + check_sql("quarantine_masters"))
+ORACLE["refund_within_sale"] = sql(f"SELECT original_transaction_id, sku, {eur('refunded_c')} AS refunded, {eur('paid_c')} AS paid FROM o_over")
+ORACLE["missing_store_days"] = sql("SELECT store_id, day::VARCHAR AS business_date FROM o_missing")
+ORACLE["volume_collapse"] = sql("SELECT store_id, day::VARCHAR AS business_date, lines, usual FROM o_collapse")
+ORACLE["gold_adds_up"] = sql(check_sql("gold_adds_up"))
+ORACLE["dq_results"] = sql(" UNION ALL ".join(check_sql(n) for n in CHECKS))
+
+CTE["o_counts"] = """
+SELECT 'refunds' AS table_name, (SELECT count(*) FROM o_refunds) AS was, (SELECT count(*) FROM o_refunds WHERE receipt) AS now,
+  (SELECT count(*) FROM o_refunds WHERE NOT receipt) > 0 AS changed
+UNION ALL SELECT 'pos_sales', (SELECT count(*) FROM o_pos), (SELECT count(*) FROM o_pos), (SELECT count(*) FROM o_pos WHERE promo_flag = 'True') > 0
+UNION ALL SELECT 'gl_journal', (SELECT count(*) FROM o_gl), (SELECT count(*) FROM o_gl), false
+UNION ALL SELECT 'budget', (SELECT count(*) FROM o_budget), (SELECT 2 * count(*) FROM o_budget), (SELECT count(*) FROM o_budget) > 0"""
+ORACLE["count_drop"] = sql(result("row_count_drop", "warning", "silver", """
+SELECT count(*) AS n, coalesce('row counts dropped: ' || string_agg(table_name || ' ' || was || ' to ' || now, ', ' ORDER BY table_name), 'no row count dropped') AS detail
+FROM o_counts WHERE now < was * 0.95"""))
+ORACLE["snapshot_diff"] = sql(result("silver_unchanged", "critical", "gold", """
+SELECT count(*) AS n, coalesce('silver changed during the run: ' || string_agg(table_name, ', ' ORDER BY table_name), 'silver unchanged since its gate') AS detail
+FROM o_counts WHERE changed"""))
+
+# ------------------------------------------------------------------ table functions
+
+
+def pct(n: str, d: str) -> str:
+    return ratio(f"100 * ({n})", d, 2)
+
+
+CTE["o_close_days"] = "SELECT strftime(day, '%Y-%m') AS month, day(day) AS dom, sum(net_c) AS net_c FROM o_daily GROUP BY 1, 2"
+CTE["o_close"] = """
+SELECT month, total, budget, actual, complete, prior, net, cogs, disc, paid, days FROM (
+  SELECT month, max(dom) AS last_day, count(*) AS days FROM o_close_days GROUP BY month) c
+LEFT JOIN (SELECT month, sum(actual_c) AS total, sum(actual_c) FILTER (has_budget) AS actual, sum(to_date_c) FILTER (has_budget) AS budget,
+    bool_and(complete) AS complete FROM o_variance GROUP BY month) b USING (month)
+LEFT JOIN (SELECT c.month, sum(p.net_c) AS prior FROM (SELECT month, max(dom) AS last_day FROM o_close_days GROUP BY month) c
+    JOIN o_close_days p ON p.month = strftime((c.month || '-01')::DATE - INTERVAL 12 MONTH, '%Y-%m') AND p.dom <= c.last_day GROUP BY c.month) p USING (month)
+LEFT JOIN (SELECT month, sum(net_c) AS net, sum(cogs_c) AS cogs, sum(disc_c) AS disc, sum(paid_c) AS paid FROM o_margin GROUP BY month) g USING (month)"""
+CLOSE_COLUMNS = f"""{eur("total")} AS net_sales_eur, {eur("budget")} AS budget_to_date_eur, {eur("actual - budget")} AS variance_eur,
+  {pct("actual - budget", "budget")} AS variance_pct, {eur("prior")} AS prior_year_net_sales_eur, {pct("total - prior", "prior")} AS yoy_growth_pct,
+  {pct("net - cogs", "net")} AS gross_margin_pct, {pct("disc", "paid + disc")} AS discount_rate_pct, complete AS complete_month"""
+ORACLE["close_overview"] = sql(f"""
+SELECT month, {CLOSE_COLUMNS}, days AS days_with_sales FROM o_close WHERE month = '2000-05'
+UNION ALL SELECT '1980-01', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 0""")
+ORACLE["close_overview_months"] = sql(f"SELECT month, {CLOSE_COLUMNS}, days AS days_with_sales FROM o_close")
+
+ORACLE["store_variances"] = sql(f"""
+SELECT store_id, {eur("actual_c")} AS net_sales_eur, {eur("to_date_c")} AS budget_to_date_eur, {eur("variance_c")} AS variance_eur,
+  {pct("variance_c", "to_date_c")} AS variance_pct, complete AS complete_month
+FROM o_variance WHERE month = '2000-05' AND has_budget""")
+
+CTE["o_own"] = """
+SELECT store_id, month, margin, discount_rate, mb - margin AS drop_own, discount_rate - db AS rise_own FROM (
+  SELECT *, CASE WHEN count(margin) OVER w >= 3 THEN quantile_cont(margin, 0.5) OVER w END AS mb,
+    CASE WHEN count(discount_rate) OVER w >= 3 THEN quantile_cont(discount_rate, 0.5) OVER w END AS db
+  FROM o_store_month WINDOW w AS (PARTITION BY store_id ORDER BY month ROWS BETWEEN 12 PRECEDING AND 4 PRECEDING))"""
+CTE["o_mfeat"] = """
+SELECT * FROM (SELECT store_id, month, drop_own - median(drop_own) OVER (PARTITION BY month) AS margin_drop_vs_own,
+    rise_own - median(rise_own) OVER (PARTITION BY month) AS discount_rise_vs_own FROM o_own)
+WHERE margin_drop_vs_own IS NOT NULL AND discount_rise_vs_own IS NOT NULL"""
+CTE["o_alerts"] = """
+SELECT store_id, month, round(score, 4) AS anomaly_score, row_number() OVER (PARTITION BY month ORDER BY score DESC, store_id) AS rank_in_month, score > 0.05 AS flagged
+FROM (SELECT *, round(margin_drop_vs_own + discount_rise_vs_own, 6) AS score FROM o_mfeat)"""
+ORACLE["store_margin_alerts"] = sql("""
+SELECT a.store_id, rank_in_month, flagged, round(100 * c.margin, 2) AS margin_pct, round(100 * b.m6, 2) AS margin_pct_prior_6m,
+  round(100 * (c.margin - b.m6), 2) AS margin_change_pts, round(100 * c.discount_rate, 2) AS discount_rate_pct, round(100 * b.d6, 2) AS discount_rate_pct_prior_6m
+FROM o_alerts a JOIN o_store_month c USING (store_id, month)
+LEFT JOIN (SELECT store_id, avg(margin) AS m6, avg(discount_rate) AS d6 FROM o_store_month WHERE month BETWEEN '1999-11' AND '2000-04' GROUP BY store_id) b
+  ON b.store_id = a.store_id
+WHERE a.month = '2000-05' AND (flagged OR rank_in_month <= 3)""")
+
+ORACLE["recon_exceptions_fn"] = sql(f"""
+SELECT store_id, day::VARCHAR AS business_date, journal_id, {eur("amount_c")} AS amount_eur, reason, {eur("pos_c")} AS day_pos_net_eur,
+  {eur("gl_c")} AS day_gl_revenue_eur
+FROM o_exceptions WHERE strftime(day, '%Y-%m') = '2000-05'""")
+
+# ------------------------------------------------------------------ detectors, forecast, drift
+
+CTE["o_cfeat"] = """
+SELECT store_id, cashier_id, month, ln(1 + refunds) AS log_refunds, ln(1 + nr) AS log_no_receipt_eur,
+  CASE WHEN gross_c > 0 THEN no_receipt_c::DOUBLE / gross_c ELSE 0 END AS no_receipt_share,
+  ln(1 + nr) - ln(1 + median(nr) OVER peers) AS peer_no_receipt_ratio, ln(1 + refunds) - ln(1 + median(refunds) OVER peers) AS peer_refunds_ratio
+FROM (SELECT *, no_receipt_c::DOUBLE / 100 AS nr FROM o_refunds_month) WINDOW peers AS (PARTITION BY store_id, month)"""
+ORACLE["cashier_features"] = sql("""
+SELECT store_id, cashier_id, month, round(log_refunds, 6) AS log_refunds, round(log_no_receipt_eur, 6) AS log_no_receipt_eur,
+  round(no_receipt_share, 6) AS no_receipt_share, round(peer_no_receipt_ratio, 6) + 0 AS peer_no_receipt_ratio, round(peer_refunds_ratio, 6) + 0 AS peer_refunds_ratio
+FROM o_cfeat""")
+ORACLE["margin_features"] = sql("""
+SELECT store_id, month, round(margin_drop_vs_own, 6) AS margin_drop_vs_own, round(discount_rise_vs_own, 6) AS discount_rise_vs_own FROM o_mfeat""")
+ORACLE["ranked"] = sql("SELECT * FROM o_alerts")
+ORACLE["evaluate_detector"] = sql("""
+SELECT month, coalesce(min(rank_in_month) FILTER (store_id = 'S00000007'), 1000000) AS rank,
+  coalesce(min(rank_in_month) FILTER (store_id = 'S00000007'), 1000000) <= 3 AS in_top,
+  count(*) FILTER (store_id <> 'S00000007' AND flagged) AS false_flags, (SELECT count(*) FROM o_alerts WHERE flagged) AS flags_total
+FROM (SELECT '2000-' || lpad(i::VARCHAR, 2, '0') AS month FROM (SELECT unnest(generate_series(1, 12)) AS i)) LEFT JOIN o_alerts USING (month) GROUP BY month""")
+ORACLE["cashier_case_count"] = sql("""
+SELECT '2000-05' AS month, count(*) FILTER (round(peer_no_receipt_ratio + peer_refunds_ratio, 6) > 2) AS cashier_cases_referred, count(*) AS cashier_months_scored
+FROM o_cfeat WHERE month = '2000-05' UNION ALL SELECT NULL, 0, 0""")
+CTE["o_certified"] = """
+SELECT strftime(day, '%Y-%m') AS run_id, count(*) FILTER (abs(diff_c) > 1) < 12 AS certified, max(day) AS at FROM o_recon GROUP BY 1"""
+ORACLE["certification_status"] = sql("""
+SELECT certified, run_id AS gold_run, strftime(at, '%Y-%m-%d 00:00:00') AS certified_at FROM o_certified ORDER BY at DESC LIMIT 1""")
+
+CTE["o_panel"] = "SELECT store_id, strftime(day, '%Y-%m') AS month, year(day) * 12 + month(day) - 1 AS at, sum(net_c)::DOUBLE / 100 AS v FROM o_daily GROUP BY 1, 2, 3"
+ORACLE["monthly_sales"] = sql("SELECT store_id, month, v AS net_sales_eur FROM o_panel")
+ORACLE["yoy_growth"] = sql("""
+SELECT a.store_id, a.month, round(a.v / CASE WHEN b.v > 0 THEN b.v END - 1, 6) AS yoy_growth FROM o_panel a JOIN o_panel b ON b.store_id = a.store_id AND b.at = a.at - 12""")
+
+
+def text(at: str) -> str:
+    return f"(({at}) // 12 || '-' || lpad((({at}) % 12 + 1)::VARCHAR, 2, '0'))"
+
+
+def baseline(last: int) -> str:
+    return f"""
+SELECT store_id, {last} + h AS at, h::BIGINT AS horizon, base * (coalesce(recent, 0) / older) AS forecast FROM (
+  SELECT s.store_id, h, (SELECT sum(v) FROM o_panel p WHERE p.store_id = s.store_id AND at BETWEEN {last} - 2 AND {last}) AS recent,
+    (SELECT sum(v) FROM o_panel p WHERE p.store_id = s.store_id AND at BETWEEN {last} - 14 AND {last} - 12) AS older,
+    (SELECT max(v) FROM o_panel p WHERE p.store_id = s.store_id AND at = {last} + h - 12) AS base
+  FROM (SELECT DISTINCT store_id FROM o_panel WHERE at <= {last}) s, (SELECT unnest([1, 2, 3]) AS h))"""
+
+
+JUNE = 2000 * 12 + 5
+CTE["o_base_june"] = baseline(JUNE)
+CTE["o_base_march"] = baseline(JUNE - 3)
+ORACLE["baseline_forecast"] = sql(f"SELECT store_id, {text('at')} AS month, horizon, round(forecast, 4) AS forecast FROM o_base_june")
+ORACLE["forecast_training_rows"] = sql(f"""
+SELECT a.store_id, a.month AS asof, t.month, round(l12.v, 4) AS lag_12, round(a.v, 4) AS lag_1, round(l2.v, 4) AS lag_2, t.at % 12 + 1 AS month_of_year,
+  h::BIGINT AS horizon, round(a.level, 4) AS store_level, round(t.v / l12.v, 4) AS y
+FROM (SELECT *, avg(v) OVER (PARTITION BY store_id ORDER BY at) AS level FROM o_panel) a, (SELECT unnest([1, 2, 3]) AS h) hs
+JOIN o_panel t ON t.store_id = a.store_id AND t.at = a.at + h JOIN o_panel l12 ON l12.store_id = a.store_id AND l12.at = a.at + h - 12
+JOIN o_panel l2 ON l2.store_id = a.store_id AND l2.at = a.at - 1
+WHERE t.at <= {JUNE}""")
+CTE["o_errors"] = "SELECT horizon, p.at, (forecast - v) / v AS e FROM o_base_march p JOIN o_panel a ON a.store_id = p.store_id AND a.at = p.at WHERE forecast IS NOT NULL AND v > 0"
+ORACLE["backtest_baseline"] = sql(f"SELECT 'baseline' AS method, {text('at')} AS month, horizon, round(avg(abs(e)), 6) AS mape FROM o_errors GROUP BY at, horizon")
+
+
+def bands(table: str) -> str:
+    return f"""
+SELECT store_id, {text("at")} AS month, horizon, round(forecast, 2) AS forecast_eur, round(forecast / (1 + hi), 2) AS low_80_eur,
+  round(forecast / (1 + lo), 2) AS high_80_eur, 'baseline' AS method
+FROM {table} JOIN (SELECT horizon, quantile_cont(e, 0.1) AS lo, quantile_cont(e, 0.9) AS hi FROM {table.replace("base", "errors")} GROUP BY horizon) USING (horizon)
+WHERE forecast IS NOT NULL"""
+
+
+CTE["o_errors_june"] = "SELECT * FROM o_errors"
+ORACLE["forecast_bands"] = sql(bands("o_base_june"))
+CTE["o_last"] = "SELECT max((substr(month, 1, 4)::BIGINT * 12 + substr(month, 6, 2)::BIGINT - 1)) AS last FROM o_variance WHERE complete"
+CTE["o_base_end"] = baseline(0).replace("0 + h", "(SELECT last FROM o_last) + h").replace("at BETWEEN 0 - 2 AND 0", "at BETWEEN (SELECT last FROM o_last) - 2 AND (SELECT last FROM o_last)").replace(
+    "at BETWEEN 0 - 14 AND 0 - 12", "at BETWEEN (SELECT last FROM o_last) - 14 AND (SELECT last FROM o_last) - 12").replace("at <= 0", "at <= (SELECT last FROM o_last)")
+CTE["o_base_cut"] = CTE["o_base_end"].replace("(SELECT last FROM o_last)", "(SELECT last - 3 FROM o_last)")
+CTE["o_errors_end"] = "SELECT horizon, (forecast - v) / v AS e FROM o_base_cut p JOIN o_panel a ON a.store_id = p.store_id AND a.at = p.at WHERE forecast IS NOT NULL AND v > 0"
+CTE["o_forecast"] = bands("o_base_end")
+ORACLE["revenue_outlook"] = sql("""
+SELECT month, round(sum(forecast_eur), 2) AS forecast_eur, round(sum(low_80_eur), 2) AS low_80_eur, round(sum(high_80_eur), 2) AS high_80_eur,
+  80 AS range_pct, max(method) AS method
+FROM o_forecast WHERE month > '2000-05' GROUP BY month""")
+
+CTE["o_features"] = "UNPIVOT (SELECT month, log_refunds, log_no_receipt_eur, no_receipt_share, peer_no_receipt_ratio, peer_refunds_ratio FROM o_cfeat) ON COLUMNS(* EXCLUDE month) INTO NAME feature VALUE x"
+CTE["o_windows"] = """
+SELECT c AS checked, strftime((c || '-01')::DATE - INTERVAL (k) MONTH, '%Y-%m') AS month
+FROM (SELECT unnest(['2000-01', '2000-02', '2000-03', '2000-04', '2000-05', '2000-06', '1995-03']) AS c), (SELECT unnest(generate_series(4, 12)) AS k)"""
+CTE["o_ref"] = "SELECT checked, feature, x FROM o_features JOIN o_windows USING (month)"
+CTE["o_cur"] = "SELECT month AS checked, feature, x FROM o_features WHERE month IN (SELECT checked FROM o_windows)"
+CTE["o_bins"] = "SELECT checked, feature, greatest(2, least(10, count(*) // 10))::INT AS bins FROM o_cur GROUP BY 1, 2"
+CTE["o_edges"] = """
+SELECT checked, feature, list_sort(list_distinct(list(e))) AS edges FROM (
+  SELECT checked, feature, quantile_cont(x, k::DOUBLE / bins) AS e
+  FROM (SELECT checked, feature, bins, k, x FROM o_bins JOIN o_ref USING (checked, feature), (SELECT unnest(generate_series(0, 10)) AS k) WHERE k <= bins)
+  GROUP BY checked, feature, bins, k) GROUP BY checked, feature"""

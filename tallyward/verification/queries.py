@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.contracts import CONTRACTS
-from tallyward.operators import ledger, marts, opening, rates, reconcile, validation
+from tallyward.functions import table_functions
+from tallyward.operators import (
+    detectors,
+    drift,
+    evidence,
+    forecasting,
+    forest,
+    ledger,
+    marts,
+    opening,
+    quality,
+    rates,
+    reconcile,
+    validation,
+)
 from tallyward.sources import driver_tables as raw
 from tallyward.verification.stage import BUDGET_YEAR, Stage, sales_span
 
@@ -177,3 +191,222 @@ def holidays(s: Stage) -> DataFrame:
 def open_days(s: Stage) -> DataFrame:
     span = s.pos_sales.agg(F.min("business_date").alias("lo"), F.max("business_date").alias("hi"))
     return opening.expected_open_days(s.stores, span.select("lo").scalar(), span.select("hi").scalar())
+
+
+# ------------------------------------------------------------------ quality gate
+
+
+@query
+def keys_unique(s: Stage) -> DataFrame:
+    """Over the audited rows, where copies still occur."""
+    return quality.check("silver_keys_unique").result({"pos_sales": s.audited_pos_sales})
+
+
+@query
+def journals_balance(s: Stage) -> DataFrame:
+    return quality.unbalanced_journals(s.gl_journal)
+
+
+@query
+def amounts_in_range(s: Stage) -> DataFrame:
+    return quality.check("amounts_in_range").result(s.dq_tables())
+
+
+@query
+def sales_have_masters(s: Stage) -> DataFrame:
+    """Over the audited rows, which include sales of unknown stores and without a product."""
+    tables = {"pos_sales": s.audited_pos_sales, "stores": s.stores, "products": s.products}
+    return quality.check("sales_have_masters").result(tables)
+
+
+@query
+def quarantine_checks(s: Stage) -> DataFrame:
+    tables = {"quarantine": s.quarantine}
+    return quality.check("quarantine_money").result(tables).unionByName(quality.check("quarantine_masters").result(tables))
+
+
+@query
+def refund_within_sale(s: Stage) -> DataFrame:
+    return quality.refunds_above_sale(s.pos_sales, s.refunds)
+
+
+@query
+def missing_store_days(s: Stage) -> DataFrame:
+    return quality.unsold_open_days(s.pos_sales, s.stores)
+
+
+@query
+def volume_collapse(s: Stage) -> DataFrame:
+    return quality.collapsed_days(s.pos_sales)
+
+
+@query
+def gold_adds_up(s: Stage) -> DataFrame:
+    return quality.check("gold_adds_up").result(s.dq_tables())
+
+
+@query
+def dq_results(s: Stage) -> DataFrame:
+    return quality.run_checks(s.dq_tables(), "silver").unionByName(quality.run_checks(s.dq_tables(), "gold"))
+
+
+def _snapshots(s: Stage) -> tuple[DataFrame, DataFrame]:
+    """The silver tables, and the same with edited sales, fewer refunds and a doubled budget."""
+    before = {"pos_sales": s.pos_sales, "refunds": s.refunds, "gl_journal": s.gl_journal, "budget": s.budget}
+    now = {
+        "pos_sales": s.pos_sales.withColumn("quantity", F.col("quantity") + F.when(F.col("promo_flag"), 1).otherwise(0)),
+        "refunds": s.refunds.where("receipt_present"),
+        "gl_journal": s.gl_journal,
+        "budget": s.budget.unionByName(s.budget),
+    }
+    return quality.snapshot(before), quality.snapshot(now)
+
+
+@query
+def count_drop(s: Stage) -> DataFrame:
+    return quality.row_count_drop(*_snapshots(s))
+
+
+@query
+def snapshot_diff(s: Stage) -> DataFrame:
+    return quality.silver_unchanged(*_snapshots(s))
+
+
+# ------------------------------------------------------------------ table functions
+
+CLOSE = "2000-05"
+
+
+def _call(s: Stage, text: str) -> DataFrame:
+    s.register_functions()
+    return s.spark.sql(text)
+
+
+@query
+def close_overview(s: Stage) -> DataFrame:
+    return _call(s, f"SELECT * FROM close_overview('{CLOSE}') UNION ALL SELECT * FROM close_overview('1980-01')")
+
+
+@query
+def close_overview_months(s: Stage) -> DataFrame:
+    """The view behind the function: every month at once."""
+    return table_functions.close_by_month(s.daily_revenue, s.margin, s.budget_variance)
+
+
+@query
+def store_variances(s: Stage) -> DataFrame:
+    return _call(s, f"SELECT * FROM store_variances('{CLOSE}')")
+
+
+@query
+def store_margin_alerts(s: Stage) -> DataFrame:
+    return _call(s, f"SELECT * FROM store_margin_alerts('{CLOSE}')")
+
+
+@query
+def recon_exceptions_fn(s: Stage) -> DataFrame:
+    return _call(s, f"SELECT * FROM reconciliation_exceptions('{CLOSE}')")
+
+
+@query
+def revenue_outlook(s: Stage) -> DataFrame:
+    return _call(s, f"SELECT * FROM revenue_outlook('{CLOSE}')")
+
+
+@query
+def cashier_case_count(s: Stage) -> DataFrame:
+    return _call(s, f"SELECT * FROM cashier_case_count('{CLOSE}') UNION ALL SELECT * FROM cashier_case_count('1980-01')")
+
+
+@query
+def certification_status(s: Stage) -> DataFrame:
+    return _call(s, "SELECT * FROM gold_certification_status()")
+
+
+# ------------------------------------------------------------------ detectors, forecast, drift
+
+
+def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+@query
+def cashier_features(s: Stage) -> DataFrame:
+    rows = detectors.cashier_features(s.refunds_month)
+    return _rounded(rows, *detectors.CASHIER_FEATURES).select("store_id", "cashier_id", "month", *detectors.CASHIER_FEATURES)
+
+
+@query
+def margin_features(s: Stage) -> DataFrame:
+    rows = detectors.margin_features(s.margin).rows
+    return _rounded(rows, *detectors.MARGIN_FEATURES).select("store_id", "month", *detectors.MARGIN_FEATURES)
+
+
+@query
+def ranked(s: Stage) -> DataFrame:
+    rows = detectors.margin_features(s.margin).rows
+    score = F.round(F.col("margin_drop_vs_own") + F.col("discount_rise_vs_own"), 6)
+    return detectors.ranked(rows.withColumns({"anomaly_score": score, "flagged": score > 0.05}), ["store_id"])
+
+
+@query
+def evaluate_detector(s: Stage) -> DataFrame:
+    months = [f"2000-{m:02d}" for m in range(1, 13)]
+    return detectors.evaluate_detector(s.margin_alerts, "store_id", "S00000007", months)
+
+
+@query
+def isolation_scores(s: Stage) -> DataFrame:
+    rows = detectors.cashier_features(s.refunds_month)
+    keys = ["store_id", "cashier_id"]
+    scored = forest.isolation_scores(
+        rows, [*keys, "month"], list(detectors.CASHIER_FEATURES), detectors.CASHIER_CONTAMINATION
+    )
+    return detectors.ranked(scored, keys)
+
+
+@query
+def yoy_growth(s: Stage) -> DataFrame:
+    return _rounded(drift.sales_growth(s.panel), "yoy_growth")
+
+
+@query
+def monthly_sales(s: Stage) -> DataFrame:
+    return forecasting.monthly_sales(s.daily_revenue)
+
+
+@query
+def baseline_forecast(s: Stage) -> DataFrame:
+    return _rounded(forecasting.baseline_forecast(s.panel, "2000-06"), "forecast", digits=4)
+
+
+@query
+def forecast_training_rows(s: Stage) -> DataFrame:
+    rows = forecasting.training_rows(s.panel, "2000-06")
+    return _rounded(rows, "lag_1", "lag_2", "lag_12", "store_level", "y", digits=4)
+
+
+@query
+def backtest_baseline(s: Stage) -> DataFrame:
+    errors = forecasting.backtest(s.panel, "2000-06", methods=("baseline",))
+    return _rounded(forecasting.mean_errors(errors), "mape")
+
+
+@query
+def forecast_bands(s: Stage) -> DataFrame:
+    errors = forecasting.backtest(s.panel, "2000-06", methods=("baseline",))
+    return forecasting.forecast(s.panel, "2000-06", "baseline", errors)
+
+
+@query
+def gbt_forecast(s: Stage) -> DataFrame:
+    """Both methods on the same cut, with few boosting rounds to keep the check short."""
+    errors = forecasting.backtest(s.panel, "2000-06", rounds=5)
+    return forecasting.mean_errors(errors)
+
+
+@query
+def psi_drift(s: Stage) -> DataFrame:
+    rows = detectors.cashier_features(s.refunds_month)
+    months = [f"2000-{m:02d}" for m in range(1, 7)] + ["1995-03"]
+    return drift.feature_drift(rows, list(detectors.CASHIER_FEATURES), months)

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.contracts import CONTRACTS
-from tallyward.operators import ledger, marts, rates, reconcile, validation
+from tallyward.functions import table_functions
+from tallyward.functions.expressions import month_of
+from tallyward.operators import detectors, forecasting, ledger, marts, rates, reconcile, validation
 from tallyward.sources import driver_tables as raw
 from tallyward.sources.storage import shared_folder
 
@@ -129,3 +131,47 @@ class Stage:
 
     build_recon_daily = lambda self: self.reconcile().daily
     build_recon_exceptions = lambda self: self.reconcile().exceptions
+
+    # Scores any SQL engine can repeat, in place of the forest's, for the functions that read scores.
+
+    def build_margin_alerts(self) -> DataFrame:
+        rows = detectors.margin_features(self.margin).rows
+        score = F.round(F.col("margin_drop_vs_own") + F.col("discount_rise_vs_own"), 6)
+        return detectors.ranked(rows.withColumns({"anomaly_score": score, "flagged": score > 0.05}), ["store_id"])
+
+    def build_fraud_scores(self) -> DataFrame:
+        rows = detectors.cashier_features(self.refunds_month)
+        score = F.round(F.col("peer_no_receipt_ratio") + F.col("peer_refunds_ratio"), 6)
+        keys = ["store_id", "cashier_id"]
+        return detectors.ranked(rows.withColumns({"anomaly_score": score, "flagged": score > 2}), keys)
+
+    build_panel = lambda self: forecasting.monthly_sales(self.daily_revenue)
+
+    def build_revenue_forecast(self) -> DataFrame:
+        last = forecasting.last_complete_month(self.budget_variance)
+        errors = forecasting.backtest(self.panel, last, methods=("baseline",))
+        return forecasting.forecast(self.panel, last, "baseline", errors)
+
+    def build_gold_certification(self) -> DataFrame:
+        """One run per month: certified unless many store-days differ."""
+        off = F.count_if(F.col("status") == "difference")
+        return self.recon_daily.groupBy(month_of("business_date").alias("run_id")).agg(
+            (off < 12).alias("certified"), F.max("business_date").cast("timestamp").alias("certified_at")
+        )
+
+    def register_functions(self) -> None:
+        names = (
+            "daily_revenue",
+            "margin",
+            "budget_variance",
+            "margin_alerts",
+            "recon_exceptions",
+            "revenue_forecast",
+            "fraud_scores",
+            "gold_certification",
+        )
+        table_functions.register(self.spark, **{n: getattr(self, n) for n in names})
+
+    def dq_tables(self) -> dict[str, DataFrame]:
+        names = ("pos_sales", "refunds", "gl_journal", "quarantine", "stores", "products", "daily_revenue")
+        return {n: getattr(self, n) for n in names}
