@@ -67,7 +67,7 @@ def psi(reference: DataFrame, current: DataFrame, keys: list[str], value: str =
         F.size(F.filter("inner", lambda e: e < F.col("x")))
     )
     counted = (
-        lookup(both, plan, keys)
+        lookup(both, plan, keys, "inner")
         .withColumn("bin", bin_of)
         .groupBy(*keys, "bin")
         .agg(
@@ -78,7 +78,11 @@ def psi(reference: DataFrame, current: DataFrame, keys: list[str], value: str =
     # Empty bins count too: they are added by position, at most MAX_BINS + 1 per group.
     table = counted.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bin", F.struct("r", "c")))).alias("by_bin"))
     last = F.when(F.col("constant"), 1).otherwise(F.size("inner"))
-    total = {s: F.aggregate(F.map_values("by_bin"), F.lit(0).cast("long"), lambda a, v, s=s: a + v[s]) for s in ("r", "c")}
+
+    def add_up(side: str) -> Column:
+        return F.aggregate(F.map_values("by_bin"), F.lit(0).cast("long"), lambda total, v: total + v[side])
+
+    total = {side: add_up(side) for side in ("r", "c")}
 
     def share(b: Column, side: str) -> Column:
         n = F.coalesce(F.try_element_at("by_bin", b)[side], F.lit(0))

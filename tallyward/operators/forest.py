@@ -39,7 +39,11 @@ def draw_samples(df: DataFrame, keys: list[str], trees: int, size: int, seed: in
         lambda t: F.struct(t.alias("tree"), F.pmod(F.xxhash64(*keys, t, F.lit(seed)), F.lit(1 << 40)).alias("h")),
     )
     limit = F.lit(1 << 40) / F.greatest(total, F.lit(1)) * (size * 1.3)
-    drawn = df.withColumn("__t", F.explode(F.filter(hashes, lambda x: x["h"] < limit))).select("__t.*", *df.columns)
+    # The limit becomes a column first: subqueries are not allowed inside array functions.
+    bounded = df.withColumn("__limit", limit)
+    drawn = bounded.withColumn("__t", F.explode(F.filter(hashes, lambda x: x["h"] < F.col("__limit")))).select(
+        "__t.*", *df.columns
+    )
     order = Window.partitionBy("tree").orderBy("h", *keys)
     return drawn.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= size)
 

@@ -510,9 +510,16 @@ SELECT original_transaction_id, r.sku, refunded_c, paid_c FROM (
 JOIN (SELECT transaction_id, sku, sum(gross_c) AS paid_c FROM o_pos GROUP BY 1, 2) p ON p.transaction_id = r.original_transaction_id AND p.sku = r.sku
 WHERE refunded_c > paid_c + 1"""
 CTE["o_missing"] = "SELECT o.* FROM o_open o ANTI JOIN o_pos p ON p.store_id = o.store_id AND p.day = o.day"
-CTE["o_collapse"] = """
+
+
+def collapse(store: str) -> str:
+    return f"""
 SELECT * FROM (SELECT *, quantile_disc(lines, 0.5) OVER (PARTITION BY store_id, dayofweek(day)) AS usual
-  FROM (SELECT store_id, day, count(*) AS lines FROM o_pos GROUP BY store_id, day)) WHERE lines * 3 < usual"""
+  FROM (SELECT {store} AS store_id, day, count(*) AS lines FROM o_pos GROUP BY ALL)) WHERE lines * 3 < usual"""
+
+
+CTE["o_collapse"] = collapse("store_id")
+CTE["o_collapse_grouped"] = collapse("currency || '-' || payment_method")
 RANGE = """SELECT a + b + c AS n, 'amounts out of range: ' || 'ledger lines ' || c || ', refunds ' || b || ', sales ' || a AS detail FROM (
   SELECT (SELECT count(*) FROM o_pos WHERE net4 <= 0 OR net4 > 500000000 OR quantity > 500) AS a,
     (SELECT count(*) FROM o_refunds WHERE amount4 <= 0 OR amount4 > 100000000) AS b,
@@ -547,7 +554,7 @@ ORACLE["sales_have_masters"] = sql(result("sales_have_masters", "critical", "sil
 ORACLE["quarantine_checks"] = sql(check_sql("quarantine_money") + " UNION ALL " + check_sql("quarantine_masters"))
 ORACLE["refund_within_sale"] = sql(f"SELECT original_transaction_id, sku, {eur('refunded_c')} AS refunded, {eur('paid_c')} AS paid FROM o_over")
 ORACLE["missing_store_days"] = sql("SELECT store_id, day::VARCHAR AS business_date FROM o_missing")
-ORACLE["volume_collapse"] = sql("SELECT store_id, day::VARCHAR AS business_date, lines, usual FROM o_collapse")
+ORACLE["volume_collapse"] = sql("SELECT store_id, day::VARCHAR AS business_date, lines, usual FROM o_collapse_grouped")
 ORACLE["gold_adds_up"] = sql(check_sql("gold_adds_up"))
 ORACLE["dq_results"] = sql(" UNION ALL ".join(check_sql(n) for n in CHECKS))
 
@@ -604,7 +611,7 @@ SELECT * FROM (SELECT store_id, month, drop_own - median(drop_own) OVER (PARTITI
 WHERE margin_drop_vs_own IS NOT NULL AND discount_rise_vs_own IS NOT NULL"""
 CTE["o_alerts"] = """
 SELECT store_id, month, round(score, 4) AS anomaly_score, row_number() OVER (PARTITION BY month ORDER BY score DESC, store_id) AS rank_in_month, score > 0.05 AS flagged
-FROM (SELECT *, round(margin_drop_vs_own + discount_rise_vs_own, 6) AS score FROM o_mfeat)"""
+FROM (SELECT *, round(margin_drop_vs_own + discount_rise_vs_own, 6) + 0.0000003::DOUBLE AS score FROM o_mfeat)"""
 ORACLE["store_margin_alerts"] = sql("""
 SELECT a.store_id, rank_in_month, flagged, round(100 * c.margin, 2) AS margin_pct, round(100 * b.m6, 2) AS margin_pct_prior_6m,
   round(100 * (c.margin - b.m6), 2) AS margin_change_pts, round(100 * c.discount_rate, 2) AS discount_rate_pct, round(100 * b.d6, 2) AS discount_rate_pct_prior_6m
@@ -641,47 +648,47 @@ ORACLE["cashier_case_count"] = sql("""
 SELECT '2000-05' AS month, count(*) FILTER (round(peer_no_receipt_ratio + peer_refunds_ratio, 6) > 2) AS cashier_cases_referred, count(*) AS cashier_months_scored
 FROM o_cfeat WHERE month = '2000-05' UNION ALL SELECT NULL, 0, 0""")
 CTE["o_certified"] = """
-SELECT strftime(day, '%Y-%m') AS run_id, count(*) FILTER (abs(diff_c) > 1) < 12 AS certified, max(day) AS at FROM o_recon GROUP BY 1"""
+SELECT strftime(day, '%Y-%m') AS run_id, count(*) FILTER (abs(diff_c) > 1) < 12 AS certified, max(day) AS closed FROM o_recon GROUP BY 1"""
 ORACLE["certification_status"] = sql("""
-SELECT certified, run_id AS gold_run, strftime(at, '%Y-%m-%d 00:00:00') AS certified_at FROM o_certified ORDER BY at DESC LIMIT 1""")
+SELECT certified, run_id AS gold_run, strftime(closed, '%Y-%m-%d 00:00:00') AS certified_at FROM o_certified ORDER BY closed DESC LIMIT 1""")
 
-CTE["o_panel"] = "SELECT store_id, strftime(day, '%Y-%m') AS month, year(day) * 12 + month(day) - 1 AS at, sum(net_c)::DOUBLE / 100 AS v FROM o_daily GROUP BY 1, 2, 3"
+CTE["o_panel"] = "SELECT store_id, strftime(day, '%Y-%m') AS month, year(day) * 12 + month(day) - 1 AS mi, sum(net_c)::DOUBLE / 100 AS v FROM o_daily GROUP BY 1, 2, 3"
 ORACLE["monthly_sales"] = sql("SELECT store_id, month, v AS net_sales_eur FROM o_panel")
 ORACLE["yoy_growth"] = sql("""
-SELECT a.store_id, a.month, round(a.v / CASE WHEN b.v > 0 THEN b.v END - 1, 6) AS yoy_growth FROM o_panel a JOIN o_panel b ON b.store_id = a.store_id AND b.at = a.at - 12""")
+SELECT a.store_id, a.month, round(a.v / CASE WHEN b.v > 0 THEN b.v END - 1, 6) AS yoy_growth FROM o_panel a JOIN o_panel b ON b.store_id = a.store_id AND b.mi = a.mi - 12""")
 
 
-def text(at: str) -> str:
-    return f"(({at}) // 12 || '-' || lpad((({at}) % 12 + 1)::VARCHAR, 2, '0'))"
+def text(mi: str) -> str:
+    return f"(({mi}) // 12 || '-' || lpad((({mi}) % 12 + 1)::VARCHAR, 2, '0'))"
 
 
 def baseline(last: int) -> str:
     return f"""
-SELECT store_id, {last} + h AS at, h::BIGINT AS horizon, base * (coalesce(recent, 0) / older) AS forecast FROM (
-  SELECT s.store_id, h, (SELECT sum(v) FROM o_panel p WHERE p.store_id = s.store_id AND at BETWEEN {last} - 2 AND {last}) AS recent,
-    (SELECT sum(v) FROM o_panel p WHERE p.store_id = s.store_id AND at BETWEEN {last} - 14 AND {last} - 12) AS older,
-    (SELECT max(v) FROM o_panel p WHERE p.store_id = s.store_id AND at = {last} + h - 12) AS base
-  FROM (SELECT DISTINCT store_id FROM o_panel WHERE at <= {last}) s, (SELECT unnest([1, 2, 3]) AS h))"""
+SELECT store_id, {last} + h AS mi, h::BIGINT AS horizon, base * (coalesce(recent, 0) / older) AS forecast FROM (
+  SELECT s.store_id, h, (SELECT sum(v) FROM o_panel p WHERE p.store_id = s.store_id AND mi BETWEEN {last} - 2 AND {last}) AS recent,
+    (SELECT sum(v) FROM o_panel p WHERE p.store_id = s.store_id AND mi BETWEEN {last} - 14 AND {last} - 12) AS older,
+    (SELECT max(v) FROM o_panel p WHERE p.store_id = s.store_id AND mi = {last} + h - 12) AS base
+  FROM (SELECT DISTINCT store_id FROM o_panel WHERE mi <= {last}) s, (SELECT unnest([1, 2, 3]) AS h))"""
 
 
 JUNE = 2000 * 12 + 5
 CTE["o_base_june"] = baseline(JUNE)
 CTE["o_base_march"] = baseline(JUNE - 3)
-ORACLE["baseline_forecast"] = sql(f"SELECT store_id, {text('at')} AS month, horizon, round(forecast, 4) AS forecast FROM o_base_june")
+ORACLE["baseline_forecast"] = sql(f"SELECT store_id, {text('mi')} AS month, horizon, round(forecast, 4) AS forecast FROM o_base_june")
 ORACLE["forecast_training_rows"] = sql(f"""
-SELECT a.store_id, a.month AS asof, t.month, round(l12.v, 4) AS lag_12, round(a.v, 4) AS lag_1, round(l2.v, 4) AS lag_2, t.at % 12 + 1 AS month_of_year,
-  h::BIGINT AS horizon, round(a.level, 4) AS store_level, round(t.v / l12.v, 4) AS y
-FROM (SELECT *, avg(v) OVER (PARTITION BY store_id ORDER BY at) AS level FROM o_panel) a, (SELECT unnest([1, 2, 3]) AS h) hs
-JOIN o_panel t ON t.store_id = a.store_id AND t.at = a.at + h JOIN o_panel l12 ON l12.store_id = a.store_id AND l12.at = a.at + h - 12
-JOIN o_panel l2 ON l2.store_id = a.store_id AND l2.at = a.at - 1
-WHERE t.at <= {JUNE}""")
-CTE["o_errors"] = "SELECT horizon, p.at, (forecast - v) / v AS e FROM o_base_march p JOIN o_panel a ON a.store_id = p.store_id AND a.at = p.at WHERE forecast IS NOT NULL AND v > 0"
-ORACLE["backtest_baseline"] = sql(f"SELECT 'baseline' AS method, {text('at')} AS month, horizon, round(avg(abs(e)), 6) AS mape FROM o_errors GROUP BY at, horizon")
+SELECT a.store_id, a.month AS asof, t.month, round(l12.v, 4) AS lag_12, round(a.v, 4) AS lag_1, round(l2.v, 4) AS lag_2, t.mi % 12 + 1 AS month_of_year,
+  h::BIGINT AS horizon, round(a.level + 0.0000003::DOUBLE, 4) AS store_level, round(t.v / l12.v, 4) AS y
+FROM (SELECT *, avg(v) OVER (PARTITION BY store_id ORDER BY mi) AS level, unnest([1, 2, 3]) AS h FROM o_panel) a
+JOIN o_panel t ON t.store_id = a.store_id AND t.mi = a.mi + h JOIN o_panel l12 ON l12.store_id = a.store_id AND l12.mi = a.mi + h - 12
+JOIN o_panel l2 ON l2.store_id = a.store_id AND l2.mi = a.mi - 1
+WHERE t.mi <= {JUNE}""")
+CTE["o_errors"] = "SELECT horizon, p.mi, (forecast - v) / v AS e FROM o_base_march p JOIN o_panel a ON a.store_id = p.store_id AND a.mi = p.mi WHERE forecast IS NOT NULL AND v > 0"
+ORACLE["backtest_baseline"] = sql(f"SELECT 'baseline' AS method, {text('mi')} AS month, horizon, round(avg(abs(e)), 6) AS mape FROM o_errors GROUP BY mi, horizon")
 
 
 def bands(table: str) -> str:
     return f"""
-SELECT store_id, {text("at")} AS month, horizon, round(forecast, 2) AS forecast_eur, round(forecast / (1 + hi), 2) AS low_80_eur,
+SELECT store_id, {text("mi")} AS month, horizon, round(forecast, 2) AS forecast_eur, round(forecast / (1 + hi), 2) AS low_80_eur,
   round(forecast / (1 + lo), 2) AS high_80_eur, 'baseline' AS method
 FROM {table} JOIN (SELECT horizon, quantile_cont(e, 0.1) AS lo, quantile_cont(e, 0.9) AS hi FROM {table.replace("base", "errors")} GROUP BY horizon) USING (horizon)
 WHERE forecast IS NOT NULL"""
@@ -690,25 +697,89 @@ WHERE forecast IS NOT NULL"""
 CTE["o_errors_june"] = "SELECT * FROM o_errors"
 ORACLE["forecast_bands"] = sql(bands("o_base_june"))
 CTE["o_last"] = "SELECT max((substr(month, 1, 4)::BIGINT * 12 + substr(month, 6, 2)::BIGINT - 1)) AS last FROM o_variance WHERE complete"
-CTE["o_base_end"] = baseline(0).replace("0 + h", "(SELECT last FROM o_last) + h").replace("at BETWEEN 0 - 2 AND 0", "at BETWEEN (SELECT last FROM o_last) - 2 AND (SELECT last FROM o_last)").replace(
-    "at BETWEEN 0 - 14 AND 0 - 12", "at BETWEEN (SELECT last FROM o_last) - 14 AND (SELECT last FROM o_last) - 12").replace("at <= 0", "at <= (SELECT last FROM o_last)")
+CTE["o_base_end"] = baseline(0).replace("0 + h", "(SELECT last FROM o_last) + h").replace("mi BETWEEN 0 - 2 AND 0", "mi BETWEEN (SELECT last FROM o_last) - 2 AND (SELECT last FROM o_last)").replace(
+    "mi BETWEEN 0 - 14 AND 0 - 12", "mi BETWEEN (SELECT last FROM o_last) - 14 AND (SELECT last FROM o_last) - 12").replace("mi <= 0", "mi <= (SELECT last FROM o_last)")
 CTE["o_base_cut"] = CTE["o_base_end"].replace("(SELECT last FROM o_last)", "(SELECT last - 3 FROM o_last)")
-CTE["o_errors_end"] = "SELECT horizon, (forecast - v) / v AS e FROM o_base_cut p JOIN o_panel a ON a.store_id = p.store_id AND a.at = p.at WHERE forecast IS NOT NULL AND v > 0"
+CTE["o_errors_end"] = "SELECT horizon, (forecast - v) / v AS e FROM o_base_cut p JOIN o_panel a ON a.store_id = p.store_id AND a.mi = p.mi WHERE forecast IS NOT NULL AND v > 0"
 CTE["o_forecast"] = bands("o_base_end")
 ORACLE["revenue_outlook"] = sql("""
 SELECT month, round(sum(forecast_eur), 2) AS forecast_eur, round(sum(low_80_eur), 2) AS low_80_eur, round(sum(high_80_eur), 2) AS high_80_eur,
   80 AS range_pct, max(method) AS method
 FROM o_forecast WHERE month > '2000-05' GROUP BY month""")
 
-CTE["o_features"] = "UNPIVOT (SELECT month, log_refunds, log_no_receipt_eur, no_receipt_share, peer_no_receipt_ratio, peer_refunds_ratio FROM o_cfeat) ON COLUMNS(* EXCLUDE month) INTO NAME feature VALUE x"
+FEATURES = ["log_refunds", "log_no_receipt_eur", "no_receipt_share", "peer_no_receipt_ratio", "peer_refunds_ratio"]
+CTE["o_features"] = " UNION ALL ".join(f"SELECT month, '{f}' AS feature, round({f}, 6) + 0 AS x FROM o_cfeat" for f in FEATURES)
+CTE["o_checked"] = "SELECT unnest(['2000-01', '2000-02', '2000-03', '2000-04', '2000-05', '2000-06', '1995-03']) AS checked"
 CTE["o_windows"] = """
-SELECT c AS checked, strftime((c || '-01')::DATE - INTERVAL (k) MONTH, '%Y-%m') AS month
-FROM (SELECT unnest(['2000-01', '2000-02', '2000-03', '2000-04', '2000-05', '2000-06', '1995-03']) AS c), (SELECT unnest(generate_series(4, 12)) AS k)"""
+SELECT checked, strftime((checked || '-01')::DATE - to_months(k::INT), '%Y-%m') AS month
+FROM o_checked, (SELECT unnest(generate_series(4, 12)) AS k)"""
 CTE["o_ref"] = "SELECT checked, feature, x FROM o_features JOIN o_windows USING (month)"
-CTE["o_cur"] = "SELECT month AS checked, feature, x FROM o_features WHERE month IN (SELECT checked FROM o_windows)"
-CTE["o_bins"] = "SELECT checked, feature, greatest(2, least(10, count(*) // 10))::INT AS bins FROM o_cur GROUP BY 1, 2"
+CTE["o_cur"] = "SELECT month AS checked, feature, x FROM o_features WHERE month IN (SELECT checked FROM o_checked)"
+CTE["o_sorted"] = """
+SELECT checked, feature, bins, xs, len(xs) AS n FROM (SELECT checked, feature, greatest(2, least(10, count(*) // 10)) AS bins FROM o_cur GROUP BY 1, 2)
+JOIN (SELECT checked, feature, list(x ORDER BY x) AS xs FROM o_ref GROUP BY 1, 2) USING (checked, feature)"""
 CTE["o_edges"] = """
-SELECT checked, feature, list_sort(list_distinct(list(e))) AS edges FROM (
-  SELECT checked, feature, quantile_cont(x, k::DOUBLE / bins) AS e
-  FROM (SELECT checked, feature, bins, k, x FROM o_bins JOIN o_ref USING (checked, feature), (SELECT unnest(generate_series(0, 10)) AS k) WHERE k <= bins)
-  GROUP BY checked, feature, bins, k) GROUP BY checked, feature"""
+SELECT checked, feature, list_sort(list(DISTINCT e)) AS edges FROM (
+  SELECT checked, feature, xs[floor(pos)::INT + 1] + (xs[ceil(pos)::INT + 1] - xs[floor(pos)::INT + 1]) * (pos - floor(pos)) AS e
+  FROM (SELECT *, (k::DOUBLE / bins) * (n - 1) AS pos FROM o_sorted, (SELECT unnest(generate_series(0, 10)) AS k) WHERE k <= bins))
+GROUP BY checked, feature"""
+CTE["o_inner"] = "SELECT checked, feature, len(edges) < 2 AS constant, edges[1] AS first, CASE WHEN len(edges) < 2 THEN edges ELSE edges[1:len(edges) - 1] END AS inner_edges FROM o_edges"
+
+
+def binned(table: str) -> str:
+    return f"""
+SELECT checked, feature, bin, count(*) AS k FROM (
+  SELECT v.checked, v.feature, CASE WHEN constant THEN CASE WHEN abs(x - first) <= 1e-8 + 1e-5 * abs(first) THEN 0 ELSE 1 END
+    ELSE len(list_filter(inner_edges, lambda e: e < x)) END AS bin
+  FROM {table} v JOIN o_inner USING (checked, feature)) GROUP BY ALL"""
+
+
+CTE["o_ref_bins"] = binned("o_ref")
+CTE["o_cur_bins"] = binned("o_cur")
+CTE["o_shares"] = """
+SELECT checked, feature, greatest(coalesce(r.k, 0)::DOUBLE / sum(r.k) OVER g, 1e-4) AS r, greatest(coalesce(c.k, 0)::DOUBLE / sum(c.k) OVER g, 1e-4) AS c
+FROM (SELECT checked, feature, unnest(generate_series(0, CASE WHEN constant THEN 1 ELSE len(inner_edges) END)) AS bin FROM o_inner)
+LEFT JOIN o_ref_bins r USING (checked, feature, bin) LEFT JOIN o_cur_bins c USING (checked, feature, bin)
+WINDOW g AS (PARTITION BY checked, feature)"""
+CTE["o_known"] = "SELECT checked, count(*) AS n, min(month) AS lo, max(month) AS hi FROM o_windows WHERE month IN (SELECT month FROM o_features) GROUP BY checked"
+ORACLE["psi_drift"] = sql(f"""
+SELECT checked AS month, feature, CASE WHEN n >= 3 THEN round(psi, 4) END AS psi,
+  CASE WHEN coalesce(n, 0) < 3 THEN 'no reference' WHEN psi IS NULL THEN 'no data' WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.2 THEN 'watch' ELSE 'drift' END AS status,
+  lo || '..' || hi || ' (' || n || ' months)' AS reference
+FROM o_checked CROSS JOIN (SELECT unnest({FEATURES}) AS feature) LEFT JOIN o_known USING (checked)
+LEFT JOIN (SELECT checked, feature, sum((c - r) * ln(c / r)) AS psi FROM o_shares GROUP BY 1, 2) USING (checked, feature)""")
+
+
+# ------------------------------------------------------------------ landing, sinks, evidence
+
+ORACLE["bronze_stream"] = sql("""
+SELECT c_name AS cashier_id, 'S' || lpad(c_nationkey::VARCHAR, 8, '0') AS store_id,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN '{"segment":"BUILDING"}' END AS _rescued_data
+FROM customer""")
+ORACLE["slice_overwrite"] = sql("""
+SELECT source, count(*) AS n FROM o_quarantine WHERE source = 'pos_sales' OR reasons LIKE '%ref:original_transaction_id%' GROUP BY source""")
+ORACLE["row_trace"] = sql(f"""
+SELECT t.store_id, t.day::VARCHAR AS business_date, {eur("pos_c")} AS pos_net_eur,
+  (SELECT count(*) FROM o_pos p WHERE p.store_id = t.store_id AND p.day = t.day) AS silver_rows,
+  (SELECT count(*) FROM o_bpos b WHERE b.store_id = t.store_id AND b.business_date = t.day::VARCHAR) AS bronze_rows,
+  'pos_sales.csv' AS source_file, (SELECT count(*) FROM o_pos p WHERE p.store_id = t.store_id AND p.day = t.day) AS file_rows
+FROM (SELECT * FROM o_recon ORDER BY abs(diff_c) DESC, store_id, day LIMIT 1) t""")
+CTE["o_chains"] = """
+SELECT DISTINCT 'c.gold.' || g.p_size AS gold, 'c.silver.' || g.p_brand AS silver, coalesce('c.bronze.' || b.p_type, '') AS bronze
+FROM part g LEFT JOIN part b ON b.p_brand = g.p_brand AND b.p_brand <> 'Brand#7' WHERE g.p_partkey % 3 = 1"""
+ORACLE["lineage_chains"] = sql("SELECT * FROM o_chains")
+ORACLE["untraced_tables"] = sql("""
+SELECT DISTINCT 'c.gold.' || (2 * p_size) AS gold FROM part WHERE 'c.gold.' || (2 * p_size) NOT IN (SELECT gold FROM o_chains)""")
+CTE["o_grants"] = """
+SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'finance-analysts' WHEN 'MACHINERY' THEN 'users' ELSE c_name END AS principal,
+  ['USE_SCHEMA', 'BROWSE', 'USE CATALOG', 'MODIFY', 'USE SCHEMA'][c_custkey % 5 + 1] AS privilege,
+  ['CATALOG', 'SCHEMA', 'TABLE'][c_custkey % 3 + 1] AS object_type,
+  CASE WHEN c_nationkey % 2 = 0 THEN 'gold' ELSE 's' || c_nationkey END AS schema_name
+FROM customer"""
+ORACLE["grants_audit"] = sql("""
+SELECT principal || ' has ' || privilege || ' on ' || lower(object_type) || ' ' ||
+  CASE object_type WHEN 'CATALOG' THEN 'c' WHEN 'SCHEMA' THEN 'c.' || schema_name ELSE 'c.' || schema_name || '.t' END AS problem
+FROM o_grants WHERE principal IN ('finance-analysts', 'users') AND NOT (object_type = 'CATALOG' AND privilege IN ('USE CATALOG', 'BROWSE'))
+  AND NOT (principal = 'finance-analysts' AND object_type = 'SCHEMA' AND schema_name = 'gold' AND privilege IN ('USE_SCHEMA', 'USE SCHEMA'))
+UNION ALL SELECT 'finance-analysts lacks SELECT on gold'""")
+ORACLE["grants_seen"] = sql("SELECT count(*) > 0 AS visible FROM o_grants WHERE principal <> 'users' AND object_type IN ('CATALOG', 'SCHEMA')")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,9 @@ from tallyward.operators import (
     validation,
 )
 from tallyward.sources import driver_tables as raw
-from tallyward.verification.stage import BUDGET_YEAR, Stage, sales_span
+from tallyward.sources import tables
+from tallyward.streaming import landing
+from tallyward.verification.stage import BUDGET_YEAR, OFF_TIES, Stage, sales_span
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -215,14 +218,14 @@ def amounts_in_range(s: Stage) -> DataFrame:
 @query
 def sales_have_masters(s: Stage) -> DataFrame:
     """Over the audited rows, which include sales of unknown stores and without a product."""
-    tables = {"pos_sales": s.audited_pos_sales, "stores": s.stores, "products": s.products}
-    return quality.check("sales_have_masters").result(tables)
+    inputs = {"pos_sales": s.audited_pos_sales, "stores": s.stores, "products": s.products}
+    return quality.check("sales_have_masters").result(inputs)
 
 
 @query
 def quarantine_checks(s: Stage) -> DataFrame:
-    tables = {"quarantine": s.quarantine}
-    return quality.check("quarantine_money").result(tables).unionByName(quality.check("quarantine_masters").result(tables))
+    held = {"quarantine": s.quarantine}
+    return quality.check("quarantine_money").result(held).unionByName(quality.check("quarantine_masters").result(held))
 
 
 @query
@@ -237,7 +240,8 @@ def missing_store_days(s: Stage) -> DataFrame:
 
 @query
 def volume_collapse(s: Stage) -> DataFrame:
-    return quality.collapsed_days(s.pos_sales)
+    """Currency and payment method stand in for stores: a test store rarely sells twice a day."""
+    return quality.collapsed_days(s.pos_sales.withColumn("store_id", F.concat_ws("-", "currency", "payment_method")))
 
 
 @query
@@ -345,7 +349,7 @@ def margin_features(s: Stage) -> DataFrame:
 @query
 def ranked(s: Stage) -> DataFrame:
     rows = detectors.margin_features(s.margin).rows
-    score = F.round(F.col("margin_drop_vs_own") + F.col("discount_rise_vs_own"), 6)
+    score = F.round(F.col("margin_drop_vs_own") + F.col("discount_rise_vs_own"), 6) + OFF_TIES
     return detectors.ranked(rows.withColumns({"anomaly_score": score, "flagged": score > 0.05}), ["store_id"])
 
 
@@ -382,7 +386,7 @@ def baseline_forecast(s: Stage) -> DataFrame:
 
 @query
 def forecast_training_rows(s: Stage) -> DataFrame:
-    rows = forecasting.training_rows(s.panel, "2000-06")
+    rows = forecasting.training_rows(s.panel, "2000-06").withColumn("store_level", F.col("store_level") + OFF_TIES)
     return _rounded(rows, "lag_1", "lag_2", "lag_12", "store_level", "y", digits=4)
 
 
@@ -407,6 +411,93 @@ def gbt_forecast(s: Stage) -> DataFrame:
 
 @query
 def psi_drift(s: Stage) -> DataFrame:
-    rows = detectors.cashier_features(s.refunds_month)
+    rows = _rounded(detectors.cashier_features(s.refunds_month), *detectors.CASHIER_FEATURES)
     months = [f"2000-{m:02d}" for m in range(1, 7)] + ["1995-03"]
     return drift.feature_drift(rows, list(detectors.CASHIER_FEATURES), months)
+
+
+# ------------------------------------------------------------------ landing, sinks, evidence
+
+
+@query
+def bronze_stream(s: Stage) -> DataFrame:
+    """Land customers as cashier files in two deliveries with different column orders; land again: no change."""
+    folder = f"{s.folder}/landing-{uuid4().hex}"
+    source = raw.read(s.spark, s.sf_dir, "customer").select(
+        F.col("c_name").alias("cashier_id"), F.format_string("S%08d", "c_nationkey").alias("store_id"), F.col("c_mktsegment").alias("segment")
+    )
+    contract = CONTRACTS["cashiers"]
+
+    def deliver(df: DataFrame) -> None:
+        df.write.mode("append").option("header", True).csv(f"{folder}/in")
+        landing.land(s.spark, f"{folder}/in", f"{folder}/raw", f"{folder}/state", contract)
+
+    deliver(source.where("segment <> 'BUILDING'").select("cashier_id", "store_id"))
+    deliver(source.where("segment = 'BUILDING'").select("segment", "store_id", "cashier_id"))
+    landing.land(s.spark, f"{folder}/in", f"{folder}/raw", f"{folder}/state", contract)
+    return landing.read_raw(s.spark, f"{folder}/raw", contract).select(*contract.names, "_rescued_data")
+
+
+@query
+def slice_overwrite(s: Stage) -> DataFrame:
+    """Store the quarantine per source, then replace one source by other rows and one by none."""
+    name = f"quarantine_{uuid4().hex}"
+    rows = s.quarantine.withColumn("_quarantined_at", F.current_timestamp())
+    s.spark.sql(
+        f"CREATE TABLE {name} ({tables.QUARANTINE}) USING parquet PARTITIONED BY (source) LOCATION '{s.folder}/{name}'"
+    )
+    for source in ("pos_sales", "refunds", "stores"):
+        tables.replace_slice(rows.where(F.col("source") == source), name, "source", source)
+    with_ghost = F.array_contains("reasons", "ref:original_transaction_id")
+    tables.replace_slice(rows.where((F.col("source") == "refunds") & with_ghost), name, "source", "refunds")
+    tables.replace_slice(rows.where("false"), name, "source", "stores")
+    return s.spark.table(name).groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query
+def row_trace(s: Stage) -> DataFrame:
+    return evidence.row_trace(s.recon_daily, s.pos_sales, raw.bronze_pos_sales(s.spark, s.sf_dir))
+
+
+def _edges(s: Stage) -> DataFrame:
+    """Lineage edges named after parts: gold tables from sizes, silver from brands, bronze from types."""
+    part = raw.read(s.spark, s.sf_dir, "part")
+    gold, silver, bronze = (F.concat(F.lit(f"c.{layer}."), c) for layer, c in (("gold", "p_size"), ("silver", "p_brand"), ("bronze", "p_type")))
+    jobs = F.array((F.col("p_partkey") % 3).cast("string"))
+    into_gold = part.select(gold.alias("target"), silver.alias("source"), jobs.alias("job_ids"))
+    into_silver = part.where("p_brand <> 'Brand#7'").select(silver.alias("target"), bronze.alias("source"), jobs.alias("job_ids"))
+    return into_gold.unionByName(into_silver)
+
+
+@query
+def lineage_chains(s: Stage) -> DataFrame:
+    return evidence.lineage_chains(_edges(s), "1")
+
+
+@query
+def untraced_tables(s: Stage) -> DataFrame:
+    required = raw.read(s.spark, s.sf_dir, "part").select(F.concat(F.lit("c.gold."), F.col("p_size") * 2).alias("gold"))
+    return evidence.untraced(required, evidence.lineage_chains(_edges(s), "1"))
+
+
+def _grants(s: Stage) -> DataFrame:
+    """Grants named after customers: who from the segment, what from the key, where from the nation."""
+    n, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    kind = F.element_at(F.array(*map(F.lit, ("CATALOG", "SCHEMA", "TABLE"))), (n % 3 + 1).cast("int"))
+    schema = F.when(F.col("c_nationkey") % 2 == 0, "gold").otherwise(F.concat(F.lit("s"), nation))
+    return raw.read(s.spark, s.sf_dir, "customer").select(
+        F.when(F.col("c_mktsegment") == "BUILDING", evidence.ANALYSTS).when(F.col("c_mktsegment") == "MACHINERY", "users").otherwise(F.col("c_name")).alias("principal"),
+        F.element_at(F.array(*map(F.lit, ("USE_SCHEMA", "BROWSE", "USE CATALOG", "MODIFY", "USE SCHEMA"))), (n % 5 + 1).cast("int")).alias("privilege"),
+        kind.alias("object_type"),
+        F.when(kind == "CATALOG", "c").when(kind == "SCHEMA", F.concat(F.lit("c."), schema)).otherwise(F.concat(F.lit("c."), schema, F.lit(".t"))).alias("object_name"),
+    )
+
+
+@query
+def grants_audit(s: Stage) -> DataFrame:
+    return evidence.grant_problems(_grants(s))
+
+
+@query
+def grants_seen(s: Stage) -> DataFrame:
+    return evidence.grants_visible(_grants(s), "users")

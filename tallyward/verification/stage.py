@@ -15,6 +15,7 @@ from tallyward.sources import driver_tables as raw
 from tallyward.sources.storage import shared_folder
 
 BUDGET_YEAR = 2000
+OFF_TIES = 0.0000003  # keeps six-digit scores away from the ties of four-digit rounding
 
 
 def sales_span(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
@@ -136,7 +137,7 @@ class Stage:
 
     def build_margin_alerts(self) -> DataFrame:
         rows = detectors.margin_features(self.margin).rows
-        score = F.round(F.col("margin_drop_vs_own") + F.col("discount_rise_vs_own"), 6)
+        score = F.round(F.col("margin_drop_vs_own") + F.col("discount_rise_vs_own"), 6) + OFF_TIES
         return detectors.ranked(rows.withColumns({"anomaly_score": score, "flagged": score > 0.05}), ["store_id"])
 
     def build_fraud_scores(self) -> DataFrame:
