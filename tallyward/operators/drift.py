@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyward.functions.expressions import month_index, month_text
 from tallyward.operators.joins import lookup
 from tallyward.operators.ordering import group_quantiles
+from tallyward.sources.storage import ensure_checkpoint_dir
 
 # Reference window, bin counts, floor for empty bins and status limits.
 GAP, WINDOW, MIN_MONTHS = 4, 9, 3
@@ -105,6 +106,7 @@ def feature_drift(features: DataFrame, columns: list[str], months: list[str]) ->
     filled from older months, and fewer than ``MIN_MONTHS`` known months give "no reference".
     """
     spark = features.sparkSession
+    ensure_checkpoint_dir(spark)
     checked = spark.createDataFrame([(m,) for m in months], "checked string")
     # Month arithmetic instead of a range join: each checked month names its reference months.
     windows = checked.select(
@@ -116,11 +118,12 @@ def feature_drift(features: DataFrame, columns: list[str], months: list[str]) ->
         .unpivot(["month"], columns, "feature", "x")
         .groupBy("month", "feature", "x")
         .agg(F.count("*").alias("n"))
+        .checkpoint()  # reference, current and the list of known months all read it
     )
     reference = values.join(F.broadcast(windows), "month").drop("month").withColumnRenamed("checked", "month")
     current = values.join(F.broadcast(checked.withColumnRenamed("checked", "month")), "month")
     known = (
-        features.select("month")
+        values.select("month")
         .distinct()
         .join(F.broadcast(windows), "month")
         .groupBy(F.col("checked").alias("month"))

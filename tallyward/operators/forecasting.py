@@ -30,7 +30,7 @@ def last_complete_month(budget_variance: DataFrame) -> str:
     return budget_variance.where("complete_month").agg(F.max("month")).first()[0]
 
 
-def _index(month: str) -> int:
+def month_number(month: str) -> int:
     return int(month[:4]) * YEAR + int(month[5:7]) - 1
 
 
@@ -47,7 +47,7 @@ def baseline_forecast(panel: DataFrame, last: str, horizon: int = HORIZON) -> Da
 
     One aggregation per store gives every horizon.
     """
-    at, sales, end = F.col("at"), F.col("net_sales_eur"), _index(last)
+    at, sales, end = F.col("at"), F.col("net_sales_eur"), month_number(last)
 
     def total(first: int, until: int) -> Column:
         return F.sum(F.when(at.between(first, until), sales))
@@ -163,7 +163,7 @@ def mean_errors(errors: DataFrame) -> DataFrame:
 
 def backtest(panel: DataFrame, last_complete: str, rounds: int = ROUNDS, horizon: int = HORIZON, methods=("model", "baseline")) -> DataFrame:
     """Errors of each method on the last ``horizon`` complete months, forecast from before them."""
-    cutoff = _text(_index(last_complete) - horizon)
+    cutoff = month_name(month_number(last_complete) - horizon)
     known = panel.where(F.col("month") <= cutoff)
     parts = {
         "baseline": lambda: baseline_forecast(known, cutoff, horizon),
@@ -176,7 +176,7 @@ def backtest(panel: DataFrame, last_complete: str, rounds: int = ROUNDS, horizon
     return forecast_errors(out, panel)
 
 
-def _text(index: int) -> str:
+def month_name(index: int) -> str:
     return f"{index // YEAR:04d}-{index % YEAR + 1:02d}"
 
 

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.operators.ordering import group_quantiles
 
+# Workers get this module's functions with the task, so they need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TREES = 300
 SAMPLE_ROWS = 256
 DEPTH = 8  # log2(SAMPLE_ROWS)

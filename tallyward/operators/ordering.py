@@ -19,11 +19,13 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     bucket totals tell which buckets hold the wanted order statistics.  Only those buckets are
     sorted.  Every step is a function of the data alone, so a re-run task gives the same answer.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     counts = (
         df.select(*keys, F.col(value).cast("double").alias("__v"), (F.col(weight) if weight else F.lit(1)).alias("__w"))
         .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
         .groupBy(*keys, "__v")
         .agg(F.sum("__w").alias("__n"))
+        .checkpoint()  # read by three steps below; the input is computed once
     )
     spans = counts.groupBy(*keys).agg(
         F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__size")
