@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.operators.ordering import group_quantiles
+from tallyward.sources.storage import ensure_checkpoint_dir
 
 # Workers get this module's functions with the task, so they need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,23 +33,24 @@ def expected_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
 
 
-def draw_samples(df: DataFrame, keys: list[str], trees: int, size: int, seed: int) -> DataFrame:
-    """At most ``size`` rows per tree, chosen by hash so the choice never depends on the layout.
+def draw_samples(df: DataFrame, keys: list[str], total: int, trees: int, size: int, seed: int) -> DataFrame:
+    """At most ``size`` of the ``total`` rows per tree, chosen by hash so the choice never depends on the layout.
 
-    Each row is sent only to the trees it may join, about 1.3 x ``size`` rows per tree whatever
-    the number of rows, and the smallest hashes of each tree are kept.
+    The trees are split into blocks small enough that each row may join one tree of every block and
+    each tree still gets enough rows; a hash threshold then keeps about 1.3 x ``size`` rows per tree
+    whatever the number of rows, and the smallest hashes of each tree are its sample.
     """
-    total = df.agg(F.count("*")).scalar()
-    hashes = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(t.alias("tree"), F.pmod(F.xxhash64(*keys, t, F.lit(seed)), F.lit(1 << 40)).alias("h")),
-    )
-    limit = F.lit(1 << 40) / F.greatest(total, F.lit(1)) * (size * 1.3)
-    # The limit becomes a column first: subqueries are not allowed inside array functions.
-    bounded = df.withColumn("__limit", limit)
-    drawn = bounded.withColumn("__t", F.explode(F.filter(hashes, lambda x: x["h"] < F.col("__limit")))).select(
-        "__t.*", *df.columns
+    enough = 1.3 * size
+    block = max(1, min(trees, int(total / enough)))
+    blocks = -(-trees // block)
+    keep = min(1.0, enough * block / max(total, 1))
+    one_per_block = df.withColumn("__b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumns(
+        {
+            "tree": (F.col("__b") * block + F.pmod(F.xxhash64(*keys, "__b", F.lit(seed)), F.lit(block))).cast("int"),
+            "h": F.pmod(F.xxhash64(*keys, "__b", F.lit(seed + 1)), F.lit(1 << 40)),
+        }
     )
+    drawn = one_per_block.where((F.col("tree") < trees) & (F.col("h") <= int(keep * (1 << 40)))).drop("__b")
     order = Window.partitionBy("tree").orderBy("h", *keys)
     return drawn.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= size)
 
@@ -94,9 +96,11 @@ def isolation_scores(
     the length of the review queue, not the order.  Only tree nodes reach the driver, at most
     ``trees`` x 511 of them.
     """
-    numbered = df.withColumns({f: F.col(f).cast("double") for f in features})
-    total = df.count()
-    samples = draw_samples(numbered.select(*keys, *features), keys, trees, SAMPLE_ROWS, seed)
+    ensure_checkpoint_dir(df.sparkSession)
+    # The features are read by the count, the samples and the scoring; the scores by the threshold and the caller.
+    numbered = df.withColumns({f: F.col(f).cast("double") for f in features}).checkpoint()
+    total = numbered.count()
+    samples = draw_samples(numbered.select(*keys, *features), keys, total, trees, SAMPLE_ROWS, seed)
     nodes = samples.groupBy("tree").applyInPandas(grow(features, DEPTH, seed), NODE).toPandas()
     width = 2 ** (DEPTH + 1) - 1
     feature, threshold, depth = np.full((trees, width), -1), np.zeros((trees, width)), np.zeros((trees, width))
@@ -125,6 +129,6 @@ def isolation_scores(
             yield batch.assign(anomaly_score=2.0 ** (-mean / usual))
 
     schema = T.StructType([*numbered.schema.fields, T.StructField("anomaly_score", T.DoubleType())])
-    scored = numbered.mapInPandas(score, schema)
+    scored = numbered.mapInPandas(score, schema).checkpoint()
     cut = group_quantiles(scored, [], "anomaly_score", [1 - contamination]).select(F.col("quantiles")[0]).scalar()
     return scored.withColumn("flagged", F.col("anomaly_score") > cut)

@@ -22,69 +22,54 @@ ACCOUNT_NAMES = {
     "5000": "Cost of goods sold",
 }
 
-LINE = "struct<account_code:string,debit_eur:decimal(18,2),credit_eur:decimal(18,2)>"
+def _journal(tag: str, source: str, description: str, debits: dict[str, str], credits: dict[str, str]) -> Column:
+    """A journal as a struct: its lines are rounded amount columns by account, debits first.
 
-
-def sum_in_eur(value: Column | str) -> Column:
-    """EUR value of an amount summed in its own currency; the rate is constant within the group.
-
-    Dividing the sum once instead of every line is exact and joins far fewer rows with the rates.
+    Empty lines are marked unused, and what rounding left over goes to the first used debit line.
+    Only plain expressions are used, so the whole posting stays in generated code.
     """
-    return F.try_divide(F.sum(value).cast(MONEY), F.first("units_per_eur"))
-
-
-def _debit(account: str, amount: Column) -> Column:
-    return F.struct(F.lit(account), cents(amount), F.lit(0).cast(MONEY)).cast(LINE)
-
-
-def _credit(account: str, amount: Column) -> Column:
-    return F.struct(F.lit(account), F.lit(0).cast(MONEY), cents(amount)).cast(LINE)
-
-
-def _total(lines: Column, side: str) -> Column:
-    return F.aggregate(lines, F.lit(0).cast("decimal(28,2)"), lambda acc, x: (acc + x[side]).cast("decimal(28,2)"))
-
-
-def balanced(lines: Column) -> Column:
-    """Drop empty lines and put what rounding left over on the first debit line."""
-    used = F.filter(lines, lambda x: (x["debit_eur"] != 0) | (x["credit_eur"] != 0))
-    residual = _total(used, "credit_eur") - _total(used, "debit_eur")
-    first_debit = F.array_position(F.transform(used, lambda x: x["debit_eur"] != 0), F.lit(True)) - 1
-    return F.transform(
-        used,
-        lambda x, i: F.struct(
-            x["account_code"].alias("account_code"),
-            F.when(i == first_debit, x["debit_eur"] + residual)
-            .otherwise(x["debit_eur"])
-            .cast(MONEY)
-            .alias("debit_eur"),
-            x["credit_eur"].alias("credit_eur"),
-        ),
-    )
-
-
-def _journal(tag: str, source: str, description: str, *lines: Column) -> Column:
+    amounts = [(account, F.col(c), True) for account, c in debits.items()]
+    amounts += [(account, F.col(c), False) for account, c in credits.items()]
+    zero, residual = F.lit(0).cast(MONEY), F.lit(0).cast(MONEY)
+    for _, amount, is_debit in amounts:
+        residual = residual - amount if is_debit else residual + amount
+    lines, number, debit_seen = [], F.lit(0), F.lit(False)
+    for account, amount, is_debit in amounts:
+        used = amount != 0
+        number = number + used.cast("int")
+        adjusted = F.when(used & ~debit_seen, amount + residual).otherwise(amount) if is_debit else zero
+        debit_seen = debit_seen | used if is_debit else debit_seen
+        lines.append(
+            F.struct(
+                used.alias("used"),
+                number.alias("line_no"),
+                F.lit(account).alias("account_code"),
+                F.lit(ACCOUNT_NAMES[account]).alias("account_name"),
+                adjusted.cast(MONEY).alias("debit_eur"),
+                (zero if is_debit else amount).cast(MONEY).alias("credit_eur"),
+            )
+        )
+    day = F.date_format("business_date", "yyyyMMdd")
     return F.struct(
-        F.concat(F.lit("J"), F.date_format("business_date", "yyyyMMdd"), F.lit("-"), F.col("store_id"), F.lit(f"-{tag}")).alias("journal_id"),
+        F.concat(F.lit("J"), day, F.lit("-"), F.col("store_id"), F.lit(f"-{tag}")).alias("journal_id"),
         F.lit(source).alias("source"),
         F.lit(description).alias("description"),
-        balanced(F.array(*lines)).alias("lines"),
+        F.array(*lines).alias("lines"),
     )
 
 
 def _book(days: DataFrame, *journals: Column) -> DataFrame:
     """One row per ledger line from one row per store-day: no shuffle beyond the day totals."""
-    names = F.create_map(*[F.lit(x) for pair in ACCOUNT_NAMES.items() for x in pair])
     return (
         days.select("store_id", F.col("business_date").alias("posting_date"), F.explode(F.array(*journals)).alias("j"))
-        .select("store_id", "posting_date", "j.*")
-        .select("*", F.posexplode("lines").alias("pos", "line"))
+        .select("store_id", "posting_date", "j.journal_id", "j.source", "j.description", F.explode("j.lines").alias("line"))
+        .where("line.used")
         .select(
             "journal_id",
-            (F.col("pos") + 1).alias("line_no"),
+            "line.line_no",
             "posting_date",
             "line.account_code",
-            names[F.col("line.account_code")].alias("account_name"),
+            "line.account_name",
             "store_id",
             "line.debit_eur",
             "line.credit_eur",
@@ -116,19 +101,13 @@ def post_sales(pos_sales: DataFrame, products: DataFrame, rates: DataFrame) -> D
         .groupBy("store_id", "business_date")
         .agg(*[F.sum(c).alias(c) for c in (*eur, "cogs")])
     )
+    rounded = {c: cents(F.col(c)) for c in ("card", "cash", "voucher", "net", "cogs")}
     return _book(
-        days,
+        days.withColumns({"vat": cents(F.col("gross") - F.col("net")), **rounded}),
         _journal(
-            "POS",
-            "POS",
-            "Daily sales",
-            _debit("1200", F.col("card")),
-            _debit("1000", F.col("cash")),
-            _debit("1300", F.col("voucher")),
-            _credit("4000", F.col("net")),
-            _credit("2200", F.col("gross") - F.col("net")),
+            "POS", "POS", "Daily sales", {"1200": "card", "1000": "cash", "1300": "voucher"}, {"4000": "net", "2200": "vat"}
         ),
-        _journal("COGS", "COGS", "Cost of goods sold", _debit("5000", F.col("cogs")), _credit("1400", F.col("cogs"))),
+        _journal("COGS", "COGS", "Cost of goods sold", {"5000": "cogs"}, {"1400": "cogs"}),
     )
 
 
@@ -149,18 +128,10 @@ def post_refunds(refunds: DataFrame, rates: DataFrame) -> DataFrame:
         .groupBy("store_id", "business_date")
         .agg(*[F.sum(c).alias(c) for c in (*eur, "net")])
     )
-    vat = cents(F.col("gross")) - cents(F.col("net"))
+    rounded = {c: cents(F.col(c)) for c in ("cash", "card", "net")}
     return _book(
-        days,
-        _journal(
-            "REF",
-            "REFUND",
-            "Daily refunds",
-            _debit("4010", F.col("net")),
-            _debit("2200", vat),
-            _credit("1000", F.col("cash")),
-            _credit("1200", F.col("card")),
-        ),
+        days.withColumns({"vat": cents(F.col("gross")) - cents(F.col("net")), **rounded}),
+        _journal("REF", "REFUND", "Daily refunds", {"4010": "net", "2200": "vat"}, {"1000": "cash", "1200": "card"}),
     )
 
 

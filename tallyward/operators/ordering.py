@@ -44,8 +44,10 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         .agg(F.sum("__n").alias("__in"), F.max("__size").alias("__size"))
         .withColumn("__before", F.sum("__in").over(running) - F.col("__in"))
     )
-    positions = [F.lit(float(p)) * (F.col("__size") - 1) for p in probs]
-    wanted = F.array_distinct(F.array(*[f(p).cast("long") for p in positions for f in (F.floor, F.ceil)]))
+    # Array functions keep the expressions short however many probabilities are asked for.
+    fractions = F.array(*[F.lit(float(p)) for p in probs])
+    around = F.transform(fractions, lambda p: F.array(*[f(p * (F.col("__size") - 1)).cast("long") for f in (F.floor, F.ceil)]))
+    wanted = F.array_distinct(F.flatten(around))
     inside = F.filter(wanted, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__in")))
     picks = totals.withColumn("__ranks", inside).where(F.size("__ranks") > 0).drop("__in", "__size")
     order = Window.partitionBy(*keys, "__bucket").orderBy("__v")
@@ -58,11 +60,12 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     table = stats.groupBy(*keys, "__size").agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__v"))).alias("__at"))
 
     def interpolate(p: Column) -> Column:
-        below = F.element_at("__at", F.floor(p).cast("long"))
-        above = F.element_at("__at", F.ceil(p).cast("long"))
-        return below + (above - below) * (p - F.floor(p))
+        at = p * (F.col("__size") - 1)
+        below = F.element_at("__at", F.floor(at).cast("long"))
+        above = F.element_at("__at", F.ceil(at).cast("long"))
+        return below + (above - below) * (at - F.floor(at))
 
-    return table.select(*keys, F.array(*[interpolate(p) for p in positions]).alias(name))
+    return table.select(*keys, F.transform(fractions, interpolate).alias(name))
 
 
 def rank_within(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:

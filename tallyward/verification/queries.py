@@ -60,7 +60,7 @@ def query(f: Callable[[Stage], DataFrame]):
 
 @query
 def fx_daily(s: Stage) -> DataFrame:
-    return rates.daily_rates(raw.fx_rates(s.spark, s.sf_dir), *sales_span(s.spark, s.sf_dir))
+    return rates.daily_rates(s.fx_rates, *sales_span(s.bronze_pos_sales))
 
 
 @query
@@ -88,9 +88,9 @@ def reason_counts(s: Stage) -> DataFrame:
 @query
 def row_accounting(s: Stage) -> DataFrame:
     out = None
-    for source, bronze in (("pos_sales", raw.bronze_pos_sales), ("refunds", raw.bronze_refunds)):
+    for source in ("pos_sales", "refunds"):
         parts = validation.split(getattr(s, f"audited_{source}"), CONTRACTS[source])
-        row = validation.account(source, bronze(s.spark, s.sf_dir), *parts)
+        row = validation.account(source, getattr(s, f"bronze_{source}"), *parts)
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -456,7 +456,7 @@ def slice_overwrite(s: Stage) -> DataFrame:
 
 @query
 def row_trace(s: Stage) -> DataFrame:
-    return evidence.row_trace(s.recon_daily, s.pos_sales, raw.bronze_pos_sales(s.spark, s.sf_dir))
+    return evidence.row_trace(s.recon_daily, s.pos_sales, s.bronze_pos_sales)
 
 
 def _edges(s: Stage) -> DataFrame:

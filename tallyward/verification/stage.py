@@ -18,10 +18,9 @@ BUDGET_YEAR = 2000
 OFF_TIES = 0.0000003  # keeps six-digit scores away from the ties of four-digit rounding
 
 
-def sales_span(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
+def sales_span(bronze: DataFrame) -> tuple[Column, Column]:
     """First and last sold day, read from raw text that may hold impossible dates."""
     day = F.expr("try_cast(business_date as date)")
-    bronze = raw.bronze_pos_sales(spark, sf_dir)
     return bronze.agg(F.min(day)).scalar(), bronze.agg(F.max(day)).scalar()
 
 
@@ -58,11 +57,15 @@ class Stage:
     build_products = lambda self: self._raw("products")
     build_cashiers = lambda self: self._raw("cashiers")
     build_fx_rates = lambda self: self._raw("fx_rates")
-    build_bronze_pos = lambda self: self._raw("bronze_pos_sales")
-    build_bronze_refunds = lambda self: self._raw("bronze_refunds")
+    # Raw tables come as many files; the test tables are a single block each, which one task would read.
+    build_bronze_pos_sales = lambda self: self._spread("bronze_pos_sales")
+    build_bronze_refunds = lambda self: self._spread("bronze_refunds")
+
+    def _spread(self, name: str) -> DataFrame:
+        return self._raw(name).repartition(self.spark.sparkContext.defaultParallelism)
 
     def build_rates(self) -> DataFrame:
-        return rates.daily_rates(self.fx_rates, *sales_span(self.spark, self.sf_dir))
+        return rates.daily_rates(self.fx_rates, *sales_span(self.bronze_pos_sales))
 
     def masters(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in ("stores", "products", "cashiers")}
@@ -71,8 +74,7 @@ class Stage:
         parents = self.masters()
         if source == "refunds":
             parents["pos_sales"] = self.pos_sales
-        bronze = raw.bronze_pos_sales if source == "pos_sales" else raw.bronze_refunds
-        return validation.audit(bronze(self.spark, self.sf_dir), CONTRACTS[source], parents, self.rates)
+        return validation.audit(getattr(self, f"bronze_{source}"), CONTRACTS[source], parents, self.rates)
 
     def build_audited_pos_sales(self) -> DataFrame:
         return self.audit("pos_sales").audited
