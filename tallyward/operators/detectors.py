@@ -59,12 +59,18 @@ def margin_features(margin: DataFrame, gap: int = GAP, window: int = WINDOW) ->
     """
     months = store_month_margin(margin)
     # A store has one row per month: the window partitions are bounded by the calendar.
-    own = Window.partitionBy("store_id").orderBy("month").rowsBetween(-(gap + window - 1), -gap)
+    own = Window.partitionBy("store_id").orderBy("month")
 
-    def base(c: str) -> Column:
-        return F.when(F.count(c).over(own) >= MIN_HISTORY, F.percentile(c, 0.5).over(own))
+    def history(c: str) -> Column:
+        return F.sort_array(F.array_compact(F.array(*[F.lag(c, k).over(own) for k in range(gap, gap + window)])))
 
-    moved = months.withColumns({"margin_base": base("margin"), "discount_base": base("discount_rate")}).withColumns(
+    def median(values: str) -> Column:
+        n = F.size(values)
+        middle = F.get(values, ((n - 1) / 2).cast("int")) + F.get(values, (n / 2).cast("int"))
+        return F.when(n >= MIN_HISTORY, middle / 2)
+
+    known = months.withColumns({"margin_base": history("margin"), "discount_base": history("discount_rate")})
+    moved = known.withColumns({c: median(c) for c in ("margin_base", "discount_base")}).withColumns(
         {
             "margin_drop": F.col("margin_base") - F.col("margin"),
             "discount_rise": F.col("discount_rate") - F.col("discount_base"),
@@ -77,8 +83,8 @@ def margin_features(margin: DataFrame, gap: int = GAP, window: int = WINDOW) ->
             "discount_rise_vs_own": F.col("discount_rise") - F.col("discount_rise_fleet"),
         }
     ).drop("margin_drop_fleet", "discount_rise_fleet")
-    known = F.col("margin_drop_vs_own").isNotNull() & F.col("discount_rise_vs_own").isNotNull()
-    return Features(net.where(known), net.where(~known))
+    complete = F.col("margin_drop_vs_own").isNotNull() & F.col("discount_rise_vs_own").isNotNull()
+    return Features(net.where(complete), net.where(~complete))
 
 
 def ranked(scores: DataFrame, keys: list[str]) -> DataFrame:
