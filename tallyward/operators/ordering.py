@@ -14,7 +14,9 @@ BUCKETS = 4096
 def group_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], name: str = "quantiles", weight: str | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per group, as an array in the order of ``probs``.
 
-    ``weight`` names a column that counts repeated values.  No task ever holds a whole group.  Equal values are collapsed to counts on the map side, the
+    ``weight`` names a column that counts repeated values.  No task needs a whole group
+    unless nearly all its distinct values fall into one bucket (one far outlier can do that; the result
+    stays exact, but that bucket is sorted by one task).  Equal values are collapsed to counts on the map side, the
     counts are laid into equal-width buckets between the group's minimum and maximum, and running
     bucket totals tell which buckets hold the wanted order statistics.  Only those buckets are
     sorted.  Every step is a function of the data alone, so a re-run task gives the same answer.
