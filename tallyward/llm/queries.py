@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import quality_classifier
+from tallyward.llm import bpe, quality_classifier, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +28,25 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.cascade(table(spark, sf_dir, "documents")).drop("rejected_by")  # depends on measured costs
+
+
+def word_bpe() -> str:
+    """The settings of the public word tokenizer, read from where its package keeps them."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), word_bpe(), digest=True)
+
+
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLE: dict[str, str] = {}

@@ -50,6 +50,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, also where the body uses it in a loop."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of an Arrow string column; NULL is empty."""
     if isinstance(column, pa.ChunkedArray):
