@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, quality_classifier, quality_rules
+from tallyward.llm import bpe, decontaminate, quality_classifier, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def fold(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return checked.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), digest, "contaminated")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_classifier.train(docs, table(spark, sf_dir, "labels"), usable=fold(3) != 1)
@@ -45,8 +51,61 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_decontaminate": op3_decontaminate,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_bpe": op8_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_quality_rules": r"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, list_slice(w, i, i + 2) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM split WHERE len(w) >= 3)),
+repeated AS (
+  SELECT doc_id, unnest([i, i + 1, i + 2]) AS place
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n FROM repeated GROUP BY doc_id),
+base AS (
+  SELECT s.doc_id, t, w, lines, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+  FROM split s LEFT JOIN covered c ON s.doc_id = c.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words OR 2 * n_dup_lines > len(lines)
+            OR word_chars / n_words < 2 OR word_chars / n_words > 15
+            OR 10 * len(list_filter(w, lambda x: regexp_matches(x, '\pL'))) < 7 * n_words
+            OR 10 * len(regexp_extract_all(t, '[!?;:,]{2,}')) > n_words
+            OR 10 * len(list_filter(lines, lambda x: regexp_matches(x, '^[ \t]*[-*•‣·]'))) > 9 * len(lines)
+            OR 10 * len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[ \t\r]*$'))) > 3 * len(lines)) AS kept
+FROM base""",
+    "op3_decontaminate": r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(f.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN words h ON d.doc_id = h.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id""",
+}
