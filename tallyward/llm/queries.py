@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, decontaminate, quality_classifier, quality_rules
+from tallyward.llm import bpe, decontaminate, quality_classifier, quality_rules, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,11 +49,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), word_bpe(), digest=True)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("fp")
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_decontaminate": op3_decontaminate,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_bpe": op8_bpe,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE: dict[str, str] = {
