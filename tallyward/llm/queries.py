@@ -168,9 +168,9 @@ WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
 sized AS (
-  SELECT *, length(regexp_replace(text, '(\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|\[ROLE\]|\[:\]|\[/ROLE\])', '\\1', 'g'))
+  SELECT *, length(text) + len(regexp_extract_all(text, '(\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|\[ROLE\]|\[:\]|\[/ROLE\])'))
          + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
-           ELSE 16 + length(regexp_replace(role, '(\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|\[ROLE\]|\[:\]|\[/ROLE\])', '\\1', 'g'))
+           ELSE 16 + length(role) + len(regexp_extract_all(role, '(\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|\[ROLE\]|\[:\]|\[/ROLE\])'))
            END AS chars
   FROM turns),
 whole AS (
