@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, decontaminate, line_dedup, quality_classifier, quality_rules, simhash
+from tallyward.llm import bpe, chat, decontaminate, line_dedup, pii, quality_classifier, quality_rules, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,15 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), digest, "contaminated")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=fold(4) != 2)
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_classifier.train(docs, table(spark, sf_dir, "labels"), usable=fold(3) != 1)
@@ -34,6 +43,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, spark.conf.get("spark.tallyward.pii.key", "a key for tests").encode())
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.cascade(table(spark, sf_dir, "documents")).drop("rejected_by")  # depends on measured costs
 
@@ -76,8 +90,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
     "op3_decontaminate": op3_decontaminate,
+    "op4_toxicity": op4_toxicity,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_line_dedup": op7_line_dedup,
     "op8_bpe": op8_bpe,
@@ -168,9 +184,9 @@ WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
 sized AS (
-  SELECT *, length(text) + len(regexp_extract_all(text, '(\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|\[ROLE\]|\[:\]|\[/ROLE\])'))
+  SELECT *, length(text) + len(regexp_extract_all(text, '(\\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|\[ROLE\]|\[:\]|\[/ROLE\])'))
          + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
-           ELSE 16 + length(role) + len(regexp_extract_all(role, '(\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|\[ROLE\]|\[:\]|\[/ROLE\])'))
+           ELSE 16 + length(role) + len(regexp_extract_all(role, '(\\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|\[ROLE\]|\[:\]|\[/ROLE\])'))
            END AS chars
   FROM turns),
 whole AS (
