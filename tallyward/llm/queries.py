@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, decontaminate, line_dedup, pii, quality_classifier, quality_rules, simhash, toxicity
+from tallyward.llm import bpe, chat, decontaminate, line_dedup, pii, quality_classifier, quality_rules, simhash, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_strings(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_classifier.train(docs, table(spark, sf_dir, "labels"), usable=fold(3) != 1)
@@ -94,6 +98,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_decontaminate": op3_decontaminate,
     "op4_toxicity": op4_toxicity,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_line_dedup": op7_line_dedup,
     "op8_bpe": op8_bpe,
