@@ -1,6 +1,6 @@
 """SimHash near-duplicates: candidate fingerprints by segment popcounts, then exact links and components.
 
-A fingerprint is mapped to the numbers of set bits in its sixteen four-bit segments.  Each differing bit changes one
+A fingerprint is mapped to the numbers of set bits in its 21 three-bit segments and its last bit.  Each differing bit changes one
 of these numbers by one, so the Manhattan distance of two such vectors never exceeds the Hamming distance of the
 fingerprints.  The range join lays every distinct fingerprint into the grid cells within half the radius of its own; two
 fingerprints within the radius meet in a cell.  What has no company in any of its cells is done.  The rest is compared exactly: flipping up to
@@ -26,7 +26,7 @@ from tallyward.llm.text import ascii_lower, let, ship, stored, words
 
 SHINGLE = 3  # words
 RADIUS = 2  # differing bits of a link; cells and flips below reach half of it
-SEGMENT = 4  # bits
+SEGMENT = 3  # bits
 #: Eight bits as eight bytes, so that sums count each bit apart.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
@@ -66,19 +66,21 @@ def _majorities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = pa.array(lists.to_pylist(), lists.type) if lists.null_count and lists.offset else lists
         bounds = np.asarray(lists.offsets, np.int64)
         values = np.asarray(lists.values, np.int64).view(np.uint64)[bounds[0] : bounds[-1]]
-        yield pa.record_batch([batch.column("doc_id"), pa.array(majorities(values, bounds - bounds[0]))], ["doc_id", "fp"])
+        kept = [batch.column("doc_id"), batch.column("text_hash")]
+        yield pa.record_batch([*kept, pa.array(majorities(values, bounds - bounds[0]))], ["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): built-in hashing, then bit counts over Arrow batches."""
+    """(doc_id, text_hash, fp): built-in hashing, then bit counts over Arrow batches."""
     ship(docs.sparkSession)
-    hashed = docs.select("doc_id", F.coalesce(shingle_hashes(F.col("text"), shingle), F.array().cast("array<bigint>")).alias("h"))
-    return hashed.mapInArrow(_majorities, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    hashes = F.coalesce(shingle_hashes(F.col("text"), shingle), F.array().cast("array<bigint>"))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), hashes.alias("h"))
+    return hashed.mapInArrow(_majorities, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash bigint, fp bigint")
 
 
 def popcounts(fp: Column) -> Column:
-    """The number of set bits of each four-bit segment plus one, itself in four bits."""
-    ones = F.lit(0x1111111111111111)
+    """The number of set bits of each of the 21 low three-bit segments plus one, itself in three bits."""
+    ones = F.lit(sum(1 << at for at in range(0, 63, SEGMENT)))
     out = ones
     for bit in range(SEGMENT):
         out = out + F.shiftrightunsigned(fp, bit).bitwiseAND(ones)
@@ -87,23 +89,44 @@ def popcounts(fp: Column) -> Column:
 
 def links(fps: DataFrame) -> DataFrame:
     """(hi, lo): links whose components are those of all pairs of distinct ``fp`` at RADIUS or fewer differing bits."""
-    grid = F.array(F.lit(0).cast("bigint"), *[F.lit(sign * (1 << at)).cast("bigint") for at in range(0, 64, SEGMENT) for sign in (1, -1)])
-    cells = fps.select("fp", popcounts(F.col("fp")).alias("c")).select("fp", F.explode(F.transform(grid, lambda d: F.col("c") + d)).alias("cell"))
+    # The 64th bit is a segment of its own: it tells whether the other 21 counts are kept as they are or complemented.
+    grid = F.array(F.lit(0).cast("bigint"), *[F.lit(sign * (1 << at)).cast("bigint") for at in range(0, 63, SEGMENT) for sign in (1, -1)])
+    signed = lambda top: lambda c: F.when(top, F.bitwise_not(c)).otherwise(c)
+    own, other = signed(F.col("fp") < 0), signed(F.col("fp") >= 0)
+    near = F.concat(F.transform(grid, lambda d: own(F.col("c") + d)), F.array(other(F.col("c"))))
+    cells = fps.select("fp", popcounts(F.col("fp")).alias("c")).select("fp", F.explode(near).alias("cell"))
     shared = cells.groupBy("cell").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b").select("cell")
-    close = stored(cells.join(shared, "cell").select("fp").distinct(), "close")
+    # Sizes after an explode are not estimated: these joins say themselves that they are no broadcasts.
+    close = stored(cells.join(shared.hint("merge"), "cell").select("fp").distinct(), "close")
     flips = F.array(F.lit(0).cast("bigint"), *[F.shiftleft(F.lit(1).cast("bigint"), bit) for bit in range(64)])
     points = close.select("fp", F.explode(F.transform(flips, lambda d: F.col("fp").bitwiseXOR(d))).alias("point"))
     least = points.groupBy("point").agg(F.min("fp").alias("lo"), F.max("fp").alias("top")).where("lo < top").select("point", "lo")
-    found = points.join(least, "point").where("fp > lo").select(F.col("fp").alias("hi"), "lo").distinct()
+    found = points.join(least.hint("merge"), "point").where("fp > lo").select(F.col("fp").alias("hi"), "lo").distinct()
     return found.where(F.bit_count(F.col("hi").bitwiseXOR(F.col("lo"))) <= RADIUS)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp, fingerprint (16 hex digits) and component_id, the smallest id of the row's component; a row per document."""
+    """doc_id, text_hash, fingerprint (16 hex digits), component_id (the smallest id of the row's component) and stays; a row per document.
+
+    ``stays`` marks one document of each component: the one with the smallest id, or text hash where ids are equal or missing.
+    """
     prints = stored(fingerprints(docs, shingle), "prints")
-    fps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "fps")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
+    fps = stored(prints.groupBy("fp").agg(F.min(place).alias("first")), "fps")
     roots = components(links(fps.select("fp")))
-    placed = fps.join(roots.toDF("fp", "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    placed = stored(fps.join(roots.toDF("fp", "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "placed")
+    least = placed.groupBy("root").agg(F.min("first").alias("least"))
+    named = placed.select("fp", "root").join(least, "root").select("fp", "least")
+    return prints.join(named, "fp").select(
+        "doc_id",
+        "text_hash",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("least.doc_id").alias("component_id"),
+        (place == F.col("least")).alias("stays"),
+    )
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The input without the documents that do not stay.  Rows with one id and text are one document."""
+    gone = near_duplicates(docs, shingle).where(~F.col("stays")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    return docs.join(stored(gone, "near-copies"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")
