@@ -62,7 +62,7 @@ def occurrences(doc: Column, item: Column, shift: Column, span: int = SPAN) -> C
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
-    """doc_id, n_words, n_hit, item_ids (sorted as strings), hits (sorted places of hit words), contaminated; a row per document."""
+    """doc_id, text_hash, n_words, n_hit, item_ids (sorted as strings), hits (sorted places of hit words), contaminated; a row per document."""
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", letters(F.col("text")).alias("item"))
     items = stored(items.where(F.size("item") > 0).distinct().withColumn("ih", F.xxhash64("item")), "items")
     lengths = sorted(r[0] for r in items.where(F.size("item") < span).select(F.size("item")).distinct().collect())  # < span numbers
@@ -94,9 +94,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
     out = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("dh") == F.col("near_dh")), "left")
     return out.select(
         "doc_id",
+        F.col("dh").alias("text_hash"),
         "n_words",
         F.coalesce(F.size("hits"), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.coalesce("hits", F.array().cast("array<int>")).alias("hits"),
         (F.coalesce(F.size("hits"), F.lit(0)) > 0).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The input without the contaminated documents."""
+    bad = decontaminate(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    return docs.join(stored(bad, "contaminated"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")
