@@ -1,7 +1,9 @@
-"""Incremental landing: each delivered CSV file enters the raw table once, matched by column name."""
+"""Incremental landing: each delivered file of comma-separated values enters the raw table once, matched by column name."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,50 +12,58 @@ from tallyward.contracts import Contract
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
 MALFORMED = "__malformed"
-MAX_LAYOUTS = 1_000
+SCANS = 40  # layouts read by one query; a batch with more is written by several
 
 
-def file_layouts(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Header line -> files that have it.
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of each file, through the file system it lies in; a compressed file is opened by its codec.
 
-    The first line of a file is the line with the smallest row id of its first block, found by a
-    map-side aggregation over the block that starts at byte 0.
+    Only the beginning of a file is read.  An empty file has none and is left out.
     """
-    first = (
-        spark.read.text(paths)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("position"),
-        )
-        .where("start = 0")
-        .groupBy("path")
-        .agg(F.min_by("value", "position").alias("header"))
-    )
-    layouts = first.groupBy("header").agg(F.collect_list("path").alias("paths")).limit(MAX_LAYOUTS + 1).collect()
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers in one batch of files")
-    return {row["header"].lstrip("﻿"): sorted(row["paths"]) for row in layouts}
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    lines = {}
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        stream = path.getFileSystem(conf).open(path)
+        codec = codecs.getCodec(path)
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        if line is not None:
+            lines[name] = line.lstrip("\ufeff")
+    return lines
 
 
-def header_names(spark: SparkSession, header: str) -> list[str]:
-    """Column names of a header line, read the way Spark reads a row."""
-    row = spark.createDataFrame([(header,)], "h string").select(F.from_csv("h", F.lit(_wide(header.count(",") + 1)))).first()
-    return [name.strip() if name else f"_unnamed{i}" for i, name in enumerate(row[0]) if i <= header.count(",")]
+def file_layouts(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Header line -> files that have it."""
+    layouts: dict[str, list[str]] = {}
+    for name, header in sorted(first_lines(spark, paths).items()):
+        layouts.setdefault(header, []).append(name)
+    return layouts
 
 
-def _wide(n: int) -> str:
-    return ", ".join(f"c{i} string" for i in range(n))
+def header_names(spark: SparkSession, headers: list[str]) -> dict[str, list[str]]:
+    """Column names of header lines, read the way Spark reads a row."""
+    widest = max(h.count(",") for h in headers) + 1
+    wide = ", ".join(f"c{i} string" for i in range(widest))
+    parsed = spark.createDataFrame([(h,) for h in headers], "h string").select("h", F.from_csv("h", F.lit(wide)).alias("names"))
+    return {
+        row["h"]: [name.strip() if name else f"_unnamed{i}" for i, name in enumerate(row["names"]) if i <= row["h"].count(",")]
+        for row in parsed.collect()  # a row per layout of the batch
+    }
 
 
-def read_layout(spark: SparkSession, header: str, paths: list[str], names: list[str]) -> DataFrame:
+def read_layout(spark: SparkSession, present: list[str], paths: list[str], names: list[str]) -> DataFrame:
     """Files of one layout as raw rows: the wanted columns by name, everything else rescued.
 
     Columns the files lack are NULL.  Values of columns nobody declared are kept as JSON, and a line
     that does not fit its header is kept whole.
     """
-    present = header_names(spark, header)
+    present = list(present)
     while present and present[-1].startswith("_unnamed"):
         present.pop()
     fields = [T.StructField(n, T.StringType()) for n in (*present, MALFORMED)]
@@ -81,24 +91,23 @@ def read_layout(spark: SparkSession, header: str, paths: list[str], names: list[
 def land(spark: SparkSession, landing: str, table: str, checkpoint: str, contract: Contract, max_files: int = 1_000) -> None:
     """Append the files that are new in ``landing`` to the raw table stored at ``table``, then stop.
 
+    Every file of the folder is a delivery, whatever its name; a compressed one is read by its ending.
     The stream follows file names only; file contents are read by ordinary scans, one per header
-    layout.  Each batch overwrites its own ``_batch`` partition, so a batch repeated after a failure
+    layout, of which a batch has at most ``max_files``.  Each batch overwrites its own ``_batch`` partition, so a batch repeated after a failure
     replaces itself instead of adding its rows again.
     """
 
     def write_batch(files: DataFrame, batch: int) -> None:
         paths = [r["path"] for r in files.select("path").collect()]  # at most ``max_files`` names
-        out = None
-        for header, members in sorted(file_layouts(spark, paths).items()) if paths else ():
-            part = read_layout(spark, header, members, contract.names)
-            out = part if out is None else out.unionByName(part)
-        if out is not None:
-            out.write.mode("overwrite").parquet(f"{table}/_batch={batch}")
+        layouts = sorted(file_layouts(spark, paths).items())
+        present = header_names(spark, [header for header, _ in layouts]) if layouts else {}
+        for k in range(0, len(layouts), SCANS):
+            parts = [read_layout(spark, present[header], members, contract.names) for header, members in layouts[k : k + SCANS]]
+            reduce(DataFrame.unionByName, parts).write.mode("append" if k else "overwrite").parquet(f"{table}/_batch={batch}")
 
     (
         spark.readStream.format("binaryFile")
         .schema(FILES)
-        .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", max_files)
         .load(landing)
         .select("path")

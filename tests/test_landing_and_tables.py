@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 
 from pyspark.sql import functions as F
@@ -34,6 +35,21 @@ def test_files_land_once_and_by_column_name(spark, tmp_path):
     assert got["C6"]["_rescued_data"] == "C6,S6,surplus"
 
 
+def test_every_name_and_any_number_of_layouts_lands(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "SCANS", 2)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("cashier_id,store_id\nC1,S1\n")
+    (tmp_path / "in" / "b.csv.gz").write_bytes(gzip.compress(b"cashier_id,store_id\nC2,S2\n"))
+    (tmp_path / "in" / "c.CSV").write_text("\ufeffstore_id,cashier_id\nS3,C3\n")
+    (tmp_path / "in" / "delivery").write_text("cashier_id\nC4\n")
+    (tmp_path / "in" / "empty.csv").write_text("")
+    for k in range(5):
+        (tmp_path / "in" / f"odd {k}.csv").write_text(f"extra{k},cashier_id\n{k},X{k}\n")
+    landing.land(spark, str(tmp_path / "in"), str(tmp_path / "raw"), str(tmp_path / "state"), CASHIERS)
+    got = {r["cashier_id"]: (r["store_id"], r["_rescued_data"]) for r in landing.read_raw(spark, str(tmp_path / "raw"), CASHIERS).collect()}
+    assert got == {"C1": ("S1", None), "C2": ("S2", None), "C3": ("S3", None), "C4": (None, None), **{f"X{k}": (None, f'{{"extra{k}":"{k}"}}') for k in range(5)}}
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("cashier_id,store_id\nC1,S1\n")
