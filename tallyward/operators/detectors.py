@@ -7,7 +7,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.operators.joins import lookup
 from tallyward.operators.marts import store_month_margin
 from tallyward.operators.ordering import group_quantiles, rank_within
 
@@ -19,21 +18,27 @@ GAP, WINDOW, MIN_HISTORY = 4, 9, 3
 NOT_RANKED = 10**6
 
 
-def _against_median(df: DataFrame, keys: list[str], values: list[str], suffix: str) -> DataFrame:
-    """Add the group median of each value, from one pass over all of them."""
+def _against_peers(df: DataFrame, keys: list[str], values: list[str], suffix: str) -> DataFrame:
+    """Add the group median of each value; a group is as large as the staff of one store."""
+    medians = df.groupBy(*keys).agg(*[F.median(v).alias(f"{v}{suffix}") for v in values])
+    return df.join(medians, keys, "left")
+
+
+def _against_fleet(df: DataFrame, keys: list[str], values: list[str], suffix: str) -> DataFrame:
+    """Add the group median of each value, from one pass over all of them; groups grow with the number of stores."""
     long = df.select(*keys, *[F.col(v).cast("double").alias(v) for v in values]).unpivot(keys, values, "__what", "__x")
     medians = group_quantiles(long, [*keys, "__what"], "__x", [0.5])
     wide = medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("__what") == v, F.col("quantiles")[0])).alias(f"{v}{suffix}") for v in values]
     )
-    return lookup(df, wide, keys)
+    return df.join(wide, keys, "left")
 
 
 def cashier_features(refunds: DataFrame) -> DataFrame:
     """One row per cashier-month, compared with the other cashiers of the store in that month."""
     amounts = ("refunds", "refund_gross_eur", "no_receipt_refunds", "no_receipt_eur")
     r = refunds.withColumns({c: F.col(c).cast("double") for c in amounts})
-    r = _against_median(r, ["store_id", "month"], ["no_receipt_eur", "refunds"], "_peers")
+    r = _against_peers(r, ["store_id", "month"], ["no_receipt_eur", "refunds"], "_peers")
     share = F.when(F.col("refund_gross_eur") > 0, F.col("no_receipt_eur") / F.col("refund_gross_eur"))
     return r.withColumns(
         {
@@ -76,7 +81,7 @@ def margin_features(margin: DataFrame, gap: int = GAP, window: int = WINDOW) ->
             "discount_rise": F.col("discount_rate") - F.col("discount_base"),
         }
     )
-    moved = _against_median(moved, ["month"], ["margin_drop", "discount_rise"], "_fleet")
+    moved = _against_fleet(moved, ["month"], ["margin_drop", "discount_rise"], "_fleet")
     net = moved.withColumns(
         {
             "margin_drop_vs_own": F.col("margin_drop") - F.col("margin_drop_fleet"),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.expressions import month_index, month_text
-from tallyward.operators.joins import lookup
 from tallyward.operators.ordering import group_quantiles
 from tallyward.sources.storage import ensure_checkpoint_dir
 
@@ -68,7 +67,7 @@ def psi(reference: DataFrame, current: DataFrame, keys: list[str], value: str =
         F.size(F.filter("inner", lambda e: e < F.col("x")))
     )
     counted = (
-        lookup(both, plan, keys, "inner")
+        both.join(plan, keys)
         .withColumn("bin", bin_of)
         .groupBy(*keys, "bin")
         .agg(

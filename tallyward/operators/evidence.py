@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.functions.expressions import month_of
+
 # The watched principals and what they may hold.
 ANALYSTS = "finance-analysts"
 EVERYONE = ("account users", "users")
@@ -38,28 +40,23 @@ def untraced(required: DataFrame, chains: DataFrame) -> DataFrame:
 def row_trace(recon_daily: DataFrame, pos_sales: DataFrame, bronze_pos: DataFrame) -> DataFrame:
     """Follow the largest reconciliation difference to its sales lines, raw rows and files.
 
-    One row per source file, with the files counted while aggregating; raw dates are text and are
-    compared as text.
+    One row per source file, or one without a file if nothing was sold that day.  Files are counted while
+    aggregating; raw dates are text and are compared as text.  Where the sales are partitioned by month only that month is read.
     """
     top = (
         recon_daily.orderBy(F.abs("difference_eur").desc(), "store_id", "business_date")
         .limit(1)
         .select("store_id", "business_date", "pos_net_eur")
     )
-    at = {c: top.select(c).scalar() for c in ("store_id", "business_date")}
-    here = (F.col("store_id") == at["store_id"]) & (F.col("business_date") == at["business_date"])
-    there = (F.col("store_id") == at["store_id"]) & (F.col("business_date") == at["business_date"].cast("string"))
-    silver = pos_sales.where(here)
-    trace = top.withColumns(
-        {
-            "silver_rows": silver.agg(F.count("*")).scalar(),
-            "bronze_rows": bronze_pos.where(there).agg(F.count("*")).scalar(),
-        }
-    )
-    files = silver.groupBy("store_id", "business_date", F.col("_source_file").alias("source_file")).agg(
-        F.count("*").alias("file_rows")
-    )
-    return files.join(F.broadcast(trace), ["store_id", "business_date"])  # trace is a single row
+    store, day = (top.select(c).scalar() for c in ("store_id", "business_date"))
+    here = (F.col("store_id") == store) & (F.col("business_date") == day)
+    if "month" in pos_sales.columns:
+        here &= F.col("month") == top.select(month_of("business_date")).scalar()
+    raw = bronze_pos.where((F.col("store_id") == store) & (F.col("business_date") == day.cast("string"))).agg(F.count("*")).scalar()
+    files = pos_sales.where(here).groupBy("store_id", "business_date", F.col("_source_file").alias("source_file")).agg(F.count("*").alias("file_rows"))
+    sold = files.agg(F.coalesce(F.sum("file_rows"), F.lit(0))).scalar()
+    trace = top.withColumns({"silver_rows": sold, "bronze_rows": raw})
+    return trace.join(files, ["store_id", "business_date"], "left").select(*top.columns, "silver_rows", "bronze_rows", "source_file", F.coalesce("file_rows", F.lit(0)).alias("file_rows"))
 
 
 def grant_problems(grants: DataFrame) -> DataFrame:

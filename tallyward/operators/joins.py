@@ -1,69 +1,18 @@
-"""Joins that stay safe when a table grows or one key holds most of the rows."""
+"""Membership of a column's values in another table."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000  # narrow lookup rows (< 100 bytes each), so at most ~100 MB per executor
-HOT_SHARE = 200  # a key with more than 1/200 of the rows is hot; there can be at most 199 of them
-SALTS = 64
 
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Prove the bound by counting the side to be shipped (a footer read for a stored table)."""
-    return df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
-
-
-def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """Keys holding more than ``1 / HOT_SHARE`` of the rows (fewer than ``HOT_SHARE`` keys by arithmetic)."""
-    sizes = df.groupBy(*on).agg(F.count("*").alias("__n"))
-    total = sizes.agg(F.sum("__n")).scalar()
-    return sizes.where((F.col("__n") * HOT_SHARE > total) & all_of([F.col(c).isNotNull() for c in on])).select(*on)
-
-
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Shuffled equi-join whose hot left keys are spread over ``SALTS`` tasks.
-
-    Only the few hot keys are replicated on the right.  NULL keys, which match nothing, are
-    spread too instead of meeting in one task.  The salt is a hash of the row, so a task that
-    is run again after a lost executor sends its rows to the same place.
-    """
-    hot = left.sparkSession.createDataFrame(hot_keys(left, on).collect(), left.select(*on).schema)  # < HOT_SHARE rows
-    hot = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
-    no_key = ~all_of([F.col(c).isNotNull() for c in on])
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_left = left.join(hot, on, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | no_key, spread).otherwise(F.lit(0))
-    )
-    salted_right = right.join(hot, on, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
-    return salted_left.drop("__hot").join(salted_right, [*on, "__salt"], how).drop("__salt")
-
-
-def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join a large table with a lookup table: broadcast when its size is proven, salted beyond that."""
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how)
-
-
-def mark_known(df: DataFrame, column: str, keys: DataFrame, flag: str, is_lookup: bool = True) -> DataFrame:
+def mark_known(df: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFrame:
     """Add boolean ``flag``: does the text column ``df[column]`` occur in the single column of ``keys``?
 
-    ``is_lookup=False`` says that ``keys`` is as large as a fact table, so counting it first
-    would be wasted work.
+    One ordinary join, so adaptive execution broadcasts a small parent and splits hot keys.  A NULL is
+    replaced by a text that no key can equal, different from row to row: NULLs neither match nor meet in one task.
     """
     known = keys.toDF("__k").where("__k is not null").distinct().withColumn(flag, F.lit(True))
-    # A NULL gets a stand-in that no key can equal, different per row: NULLs neither match nor pile up.
-    stand_in = F.concat(F.lit("\x00"), F.hex(F.xxhash64(*[c for c in df.columns if not c.startswith("__")])))
-    probe = df.withColumn("__k", F.coalesce(F.col(column), stand_in))
-    join = lookup if is_lookup else salted_join
-    return join(probe, known, ["__k"]).drop("__k").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-
-
-def all_of(conditions: list[Column]) -> Column:
-    out = F.lit(True)
-    for c in conditions:
-        out = out & c
-    return out
+    own = F.xxhash64(*[c for c in df.columns if not c.startswith("_")])
+    probe = df.withColumn("__k", F.coalesce(F.col(column), F.concat(F.lit("\x00"), F.hex(own))))
+    return probe.join(known, "__k", "left").drop("__k").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyward.contracts import MONEY, MONEY4
 from tallyward.functions.expressions import cents, month_of
-from tallyward.operators.joins import lookup
 from tallyward.operators.rates import with_rate
 
 # Chart of accounts.
@@ -85,7 +84,7 @@ def post_sales(pos_sales: DataFrame, products: DataFrame, rates: DataFrame) -> D
     def paid_by(method: str) -> Column:
         return F.sum(F.when(F.col("payment_method") == method, F.col("gross_amount")).otherwise(0)).alias(method)
 
-    priced = lookup(pos_sales, products.select("sku", "unit_cost_eur"), ["sku"])
+    priced = pos_sales.join(products.select("sku", "unit_cost_eur"), "sku", "left")
     in_currency = priced.groupBy("store_id", "business_date", "currency").agg(
         paid_by("card"),
         paid_by("cash"),

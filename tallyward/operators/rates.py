@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.contracts import MONEY4, RATE, Conversion
-from tallyward.operators.joins import lookup
 
 
 def daily_rates(published: DataFrame, start, until) -> DataFrame:
@@ -51,7 +50,7 @@ def with_rate(df: DataFrame, rates: DataFrame, day: str, currency: str, name: st
     narrow = rates.select(
         F.col("rate_date").alias(day), F.col("currency").alias(currency), F.col("units_per_eur").alias(name)
     )
-    return lookup(df, narrow, [day, currency])
+    return df.join(F.broadcast(narrow), [day, currency], "left")  # bounded by the calendar and the currencies
 
 
 def convert(df: DataFrame, rates: DataFrame, conversions: tuple[Conversion, ...]) -> tuple[DataFrame, dict[str, str]]:

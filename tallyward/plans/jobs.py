@@ -7,7 +7,7 @@ step and nothing is computed twice.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyward.contracts import CONTRACTS
 from tallyward.functions import table_functions
+from tallyward.functions.expressions import month_of
 from tallyward.operators import detectors, drift, evidence, forecasting, forest, marts, quality, rates, reconcile, validation
 from tallyward.sources import tables
 from tallyward.streaming import landing
@@ -22,31 +23,10 @@ from tallyward.streaming import landing
 GOLD = ("daily_revenue", "margin", "refunds", "budget_variance")
 RECONCILED = ("recon_gl_pos", "recon_gl_pos_monthly", "recon_exceptions")
 SNAPSHOT = ("pos_sales", "refunds", "gl_journal", "budget", "stores", "products", "fx_daily")
+FACTS = ("pos_sales", "refunds")  # partitioned by month
 CHECKED_MONTHS = 6
-
-# Where each table is made from, for the lineage evidence.
-LINEAGE = {
-    "daily_revenue": ("pos_sales", "products", "stores", "fx_daily"),
-    "margin": ("pos_sales", "products", "stores", "fx_daily"),
-    "refunds": ("refunds",),
-    "budget_variance": ("pos_sales", "products", "stores", "fx_daily", "budget"),
-    **{name: ("pos_sales", "gl_journal", "fx_daily") for name in RECONCILED},
-}
-
-# Column descriptions of the gold tables.
-COMMENTS = {
-    "net_sales_eur": "till sales in EUR without VAT, before refunds",
-    "paid_incl_vat_eur": "paid by customers, with VAT, after discounts",
-    "discount_eur": "discounts given, in EUR with VAT",
-    "cogs_eur": "cost of goods sold: quantity times unit cost",
-    "margin_pct": "share of net sales left after cost of goods",
-    "discount_rate": "discount as a share of the price before discount",
-    "refund_net_eur": "refunds in EUR without VAT",
-    "no_receipt_share": "share of refunded value given without a receipt",
-    "budget_to_date_eur": "revenue budget for the days of the month that have sales",
-    "variance_eur": "net sales less budget to date",
-}
-
+# The planted anomalies of the detectors in an answer key, and the column that names their entity.
+PLANTED = {"fraud_scores": ("A1_no_receipt_refunds", "cashier_id"), "margin_alerts": ("A2_discount_creep", "store_id")}
 
 @dataclass(frozen=True)
 class Workspace:
@@ -55,6 +35,7 @@ class Workspace:
     spark: SparkSession
     root: str
     prefix: str = "retail"
+    reads: list[str] = field(default_factory=list, compare=False)  # tables read by the step under way
 
     def create(self) -> Workspace:
         for layer in ("silver", "gold", "ops"):
@@ -68,10 +49,32 @@ class Workspace:
     def table(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
+    def full(self, layer: str, table: str) -> str:
+        return f"{self.prefix}.{layer}.{table}"
+
+    def read(self, layer: str, table: str) -> DataFrame:
+        """A table as input of the step under way."""
+        self.reads.append(self.full(layer, table))
+        return self.table(layer, table)
+
+    def begin(self) -> None:
+        """Start a step: what is published from now on comes from what is read from now on."""
+        self.reads.clear()
+
+    def publish(self, df: DataFrame, table: str, job: str, layer: str = "gold", partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Replace a table and record which tables the step has read for it."""
+        out = tables.replace_table(df, self.name(layer, table), partition_by)
+        edges = [(self.full(layer, table), source, [job]) for source in dict.fromkeys(self.reads)]
+        if edges:
+            seen = self.spark.createDataFrame(edges, "target string, source string, job_ids array<string>")
+            tables.append_history(seen, self.name("ops", "lineage_edges"), "seen_at")
+        return out
+
     def history(self, table: str) -> DataFrame | None:
         return tables.table_or_none(self.spark, self.name("ops", table))
 
     def raw(self, source: str) -> DataFrame:
+        self.reads.append(self.full("bronze", source))
         return landing.read_raw(self.spark, f"{self.root}/bronze/{source}", CONTRACTS[source])
 
     def store(self, df: DataFrame, step: str) -> DataFrame:
@@ -89,13 +92,18 @@ def ingest_bronze(ws: Workspace, sources: tuple[str, ...] = tuple(CONTRACTS)) ->
 
 def build_silver(ws: Workspace) -> DataFrame:
     """Rebuild silver; returns the row accounting, one row per source.  Raises if rows are unaccounted for."""
+    job = f"silver-{uuid4().hex}"
     built: dict[str, DataFrame] = {}
     fx, accounting = None, None
     for source, contract in CONTRACTS.items():
+        ws.begin()
         bronze = ws.raw(source)
         audited = ws.store(validation.audit(bronze, contract, built, fx).audited, f"audited_{source}")
         parts = validation.split(audited, contract)
-        built[source] = tables.replace_table(parts.accepted, ws.name("silver", source))
+        accepted, by = parts.accepted, ()
+        if source in FACTS:
+            accepted, by = accepted.withColumn("month", month_of("business_date")), ("month",)
+        built[source] = ws.publish(accepted, source, job, "silver", by)
         held = parts.rejected.withColumn("_quarantined_at", F.current_timestamp())
         quarantine = ws.name("silver", "quarantine")
         tables.replace_slice(held, quarantine, "source", source)
@@ -106,12 +114,12 @@ def build_silver(ws: Workspace) -> DataFrame:
         if source == "fx_rates":
             day = F.expr("try_cast(business_date as date)")  # one impossible date must not end the job
             first, until = ws.raw("pos_sales").agg(F.min(day), F.max(day)).first()
-            fx = tables.replace_table(rates.daily_rates(built[source], first, until), ws.name("silver", "fx_daily"))
+            fx = ws.publish(rates.daily_rates(built[source], first, until), "fx_daily", job, "silver")
     return accounting
 
 
 def silver_tables(ws: Workspace) -> dict[str, DataFrame]:
-    return {t: ws.table("silver", t) for t in (*SNAPSHOT, "quarantine")}
+    return {t: ws.read("silver", t) for t in (*SNAPSHOT, "quarantine")}
 
 
 def _record(ws: Workspace, results: DataFrame, run_id: str) -> DataFrame:
@@ -133,27 +141,34 @@ def gate_silver(ws: Workspace, run_id: str) -> DataFrame:
     return results
 
 
-def reconcile_ledger(ws: Workspace, answer_key: str | None = None) -> None:
-    pos, gl, fx = (ws.table("silver", t) for t in ("pos_sales", "gl_journal", "fx_daily"))
-    reconcile.require_complete(pos, gl, fx, ws.table("silver", "quarantine"))
-    journals = ws.store(reconcile.revenue_journals(gl), "revenue_journals")
-    daily = tables.replace_table(
-        reconcile.compare_days(journals, reconcile.till_totals(pos, fx)), ws.name("gold", "recon_gl_pos")
-    )
-    tables.replace_table(reconcile.compare_months(daily), ws.name("gold", "recon_gl_pos_monthly"))
-    found = tables.replace_table(reconcile.explain_differences(daily, journals), ws.name("gold", "recon_exceptions"))
+def reconcile_ledger(ws: Workspace, run_id: str, answer_key: str | None = None) -> None:
+    ws.begin()
+    pos, gl, fx = (ws.read("silver", t) for t in ("pos_sales", "gl_journal", "fx_daily"))
+    reconcile.require_complete(pos, gl, fx, ws.read("silver", "quarantine"))
+    found = reconcile.reconcile(pos, gl, fx)
+    for name, report in zip(RECONCILED, found):
+        ws.publish(report, name, run_id)
     planted = reconcile.read_answer_key(ws.spark, answer_key) if answer_key else None
     if planted is not None:
-        score = reconcile.detection_score(found, planted).select(
+        score = reconcile.detection_score(ws.table("gold", "recon_exceptions"), planted).select(
             F.lit("gl_pos_reconciliation").alias("control"), F.lit(reconcile.PLANTED_ANOMALY).alias("anomaly"), "*"
         )
         tables.append_history(score, ws.name("ops", "detection_scores"), "scored_at")
 
 
-def build_marts(ws: Workspace) -> None:
-    """Compute the gold tables aside, prove that they add up to silver, then publish them."""
+def require_access(grants: DataFrame, me: str) -> None:
+    """Refuse to publish while grants are visible and wrong; grants nobody shows prove nothing."""
+    if evidence.grants_visible(grants, me).first()["visible"]:
+        problems = [r["problem"] for r in evidence.grant_problems(grants).orderBy("problem").limit(20).collect()]
+        if problems:
+            raise RuntimeError("gold refused, wrong grants: " + "; ".join(problems))
+
+
+def build_marts(ws: Workspace, run_id: str, grants: DataFrame | None = None, me: str = "") -> None:
+    """Compute the gold tables aside, prove that they add up to silver and that access is as agreed, then publish them."""
+    ws.begin()
     pos, refunds, products, stores, fx, budget = (
-        ws.table("silver", t) for t in ("pos_sales", "refunds", "products", "stores", "fx_daily", "budget")
+        ws.read("silver", t) for t in ("pos_sales", "refunds", "products", "stores", "fx_daily", "budget")
     )
     rolled = ws.store(marts.rollup_lines(marts.sales_lines(pos, products, stores, fx)), "rolled")
     gold = {
@@ -163,24 +178,19 @@ def build_marts(ws: Workspace) -> None:
     off = marts.tie_outs(gold, pos, refunds, budget).where("not ok").collect()  # eight rows at most
     if off:
         raise RuntimeError("gold refused: " + "; ".join(f"{r['check']}: {r['actual']} against {r['expected']}" for r in off))
+    if grants is not None:
+        require_access(grants, me)
     for name, df in gold.items():
-        tables.replace_table(df, ws.name("gold", name))
-        tables.describe_table(ws.spark, ws.name("gold", name), {"quality": "gold"}, COMMENTS)
-
-
-def lineage_edges(ws: Workspace, run_id: str) -> DataFrame:
-    def full(layer: str, table: str) -> str:
-        return f"{ws.prefix}.{layer}.{table}"
-
-    edges = [(full("gold", g), full("silver", s), [run_id]) for g, origins in LINEAGE.items() for s in origins]
-    edges += [(full("silver", s), full("bronze", s), [run_id]) for s in CONTRACTS]
-    edges += [(full("silver", "fx_daily"), full("bronze", s), [run_id]) for s in ("fx_rates", "pos_sales")]
-    return ws.spark.createDataFrame(edges, "target string, source string, job_ids array<string>")
+        ws.publish(df, name, run_id)
+        tables.describe_table(ws.spark, ws.name("gold", name), {"quality": "gold"}, marts.MEANING)
 
 
 def record_lineage(ws: Workspace, run_id: str) -> DataFrame:
     """Write the evidence and return the check that every gold table is traced to its raw tables."""
-    chains = evidence.lineage_chains(lineage_edges(ws, run_id), run_id)
+    edges = ws.history("lineage_edges")
+    if edges is None:
+        edges = ws.spark.createDataFrame([], "target string, source string, job_ids array<string>")
+    chains = evidence.lineage_chains(edges, run_id)
     trace = evidence.row_trace(ws.table("gold", "recon_gl_pos"), ws.table("silver", "pos_sales"), ws.raw("pos_sales"))
     rows = chains.select(F.lit("table").alias("kind"), "gold", "silver", "bronze", F.lit("").alias("source_file")).unionByName(
         trace.select(
@@ -188,12 +198,12 @@ def record_lineage(ws: Workspace, run_id: str) -> DataFrame:
             F.format_string("recon_gl_pos %s %s pos_net_eur=%s", "store_id", F.col("business_date").cast("string"), F.col("pos_net_eur").cast("string")).alias("gold"),
             F.format_string("%d silver rows", "silver_rows").alias("silver"),
             F.format_string("%d bronze rows", "bronze_rows").alias("bronze"),
-            "source_file",
+            F.coalesce("source_file", F.lit("")).alias("source_file"),
         )
     )
     tables.replace_table(rows, ws.name("ops", "lineage_evidence"))
-    required = ws.spark.createDataFrame([(f"{ws.prefix}.gold.{t}",) for t in LINEAGE], "gold string")
-    missing = evidence.untraced(required, chains).agg(
+    required = ws.spark.createDataFrame([(ws.full("gold", t),) for t in (*GOLD, *RECONCILED)], "gold string")
+    missing = evidence.untraced(required, chains.where("bronze <> ''")).agg(
         F.count("*").alias("violations"), F.array_join(F.sort_array(F.collect_list("gold")), ", ").alias("names")
     )
     detail = F.when(F.col("violations") > 0, F.concat(F.lit("not traced: "), "names")).otherwise("every gold table is traced")
@@ -218,12 +228,12 @@ def gate_gold(ws: Workspace, run_id: str) -> DataFrame:
     return results
 
 
-def build_gold(ws: Workspace, run_id: str | None = None, answer_key: str | None = None) -> str:
+def build_gold(ws: Workspace, run_id: str | None = None, answer_key: str | None = None, grants: DataFrame | None = None, me: str = "") -> str:
     """Gate silver, reconcile, build the marts, gate gold.  Only a run that reaches the end is certified."""
     run_id = run_id or uuid4().hex
     gate_silver(ws, run_id)
-    reconcile_ledger(ws, answer_key)
-    build_marts(ws)
+    reconcile_ledger(ws, run_id, answer_key)
+    build_marts(ws, run_id, grants, me)
     gate_gold(ws, run_id)
     return run_id
 
@@ -236,8 +246,11 @@ def certified_run(ws: Workspace) -> str:
     return quality.require_certified(history, approved, quality.snapshot({t: ws.table("gold", t) for t in GOLD}))
 
 
-def score_models(ws: Workspace, rounds: int = forecasting.ROUNDS, trees: int = forest.TREES) -> dict:
-    """Detectors, forecast and drift on certified gold; returns the backtest summary."""
+def score_models(ws: Workspace, rounds: int = forecasting.ROUNDS, trees: int = forest.TREES, answer_key: str | None = None) -> dict:
+    """Detectors, forecast and drift on certified gold; returns the backtest summary.
+
+    With an answer key the detectors are scored too: the rank of each planted entity in the months checked, and the flags on others.
+    """
     run_id = certified_run(ws)
     gold = {t: ws.table("gold", t) for t in GOLD}
     last = forecasting.last_complete_month(gold["budget_variance"])
@@ -286,10 +299,32 @@ def score_models(ws: Workspace, rounds: int = forecasting.ROUNDS, trees: int = f
     metrics = metrics.unionByName(
         dropped.select(F.lit("fraud_store_margin").alias("model"), F.lit("store_months_without_history").alias("metric"), "value")
     )
+    settings = {
+        "revenue_forecast": {"rounds": rounds, "tree_depth": forecasting.TREE_DEPTH, "learning_rate": forecasting.LEARNING_RATE, "subsample": forecasting.SUBSAMPLE},
+        "fraud_cashier_refunds": {"trees": trees, "contamination": detectors.CASHIER_CONTAMINATION},
+        "fraud_store_margin": {"trees": trees, "contamination": detectors.MARGIN_CONTAMINATION},
+    }
+    named = [(model, f"parameter_{k}", float(v)) for model, chosen in settings.items() for k, v in chosen.items()]
+    learnt = forecasting.training_rows(panel, last).groupBy(F.format_string("training_rows_%d", "horizon").alias("metric")).agg(F.count("*").cast("double").alias("value"))
+    metrics = metrics.unionByName(ws.spark.createDataFrame(named, "model string, metric string, value double"))
+    metrics = metrics.unionByName(learnt.select(F.lit("revenue_forecast").alias("model"), "metric", "value"))
     tables.append_history(metrics.withColumn("gold_run", F.lit(run_id)), ws.name("ops", "model_metrics"), "logged_at")
+    key = reconcile.answer_key(ws.spark, answer_key) if answer_key else None
+    if key is not None:
+        score_detectors(ws, key, checked, run_id)
     return {"run_id": run_id, "winner": method, "last_complete": last}
 
 
+def score_detectors(ws: Workspace, key: DataFrame, months: list[str], run_id: str) -> None:
+    """Append (model, anomaly, entity, month, rank, in_top, false_flags, flags_total) for the key's entities."""
+    for model, (anomaly, column) in PLANTED.items():
+        entities = [r["entity_id"] for r in key.where(F.col("anomaly") == anomaly).select("entity_id").distinct().collect()]  # planted by hand
+        for entity in sorted(entities):
+            score = detectors.evaluate_detector(ws.table("gold", model), column, entity, months)
+            named = {"model": F.lit(model), "anomaly": F.lit(anomaly), "entity": F.lit(entity), "gold_run": F.lit(run_id)}
+            tables.append_history(score.withColumns(named), ws.name("ops", "detector_scores"), "scored_at")
+
+
 def register_functions(ws: Workspace) -> list[str]:
     """Make the month-end table functions available in this session."""
     names = ("daily_revenue", "margin", "budget_variance", "margin_alerts", "recon_exceptions", "revenue_forecast", "fraud_scores")

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.contracts import CONTRACTS
-from tallyward.operators.joins import lookup
 
 INGESTED_AT = "2026-01-01 00:00:00"
 
@@ -38,7 +37,7 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), "n_name", (F.col("n_regionkey") == 0).alias("swiss")
     )
-    return lookup(read(spark, sf_dir, "supplier"), nation, ["s_nationkey"]).selectExpr(
+    return read(spark, sf_dir, "supplier").join(nation, "s_nationkey", "left").selectExpr(
         "concat('S', lpad(cast(s_suppkey as string), 8, '0')) as store_id",
         "s_name as store_name",
         "if(swiss, 'CH', 'DE') as country",
@@ -107,7 +106,7 @@ def tills(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr("*", "(200 * gross_c + (100 + vat_pct)) div (2 * (100 + vat_pct)) as net_c")
         .selectExpr("*", "gross_c - net_c as vat_c", "to_date(l_shipdate) as day", "int(l_quantity) as qty")
     )
-    return lookup(lines, store, ["l_suppkey"])
+    return lines.join(store, "l_suppkey", "left")
 
 
 def bronze_stores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,12 +10,21 @@ QUARANTINE = """source STRING, record_key STRING, reasons ARRAY<STRING>, record
 
 
 def replace_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Full refresh; the new schema replaces the old one."""
-    writer = df.write.mode("overwrite").format("parquet")
+    """Full refresh; the new schema replaces the old one.
+
+    The new table is written aside and takes the name only when it is complete, so a run that dies on the way leaves the old one.
+    A partitioned table, whose partitions cannot be renamed with it, is overwritten in place, its rows gathered by partition.
+    """
+    spark = df.sparkSession
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+        gathered = df.hint("rebalance", *partition_by)  # few files per partition; large partitions are split
+        gathered.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
+        return spark.table(name)
+    aside = f"{name}__new"
+    df.write.mode("overwrite").format("parquet").saveAsTable(aside)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+    return spark.table(name)
 
 
 def append_history(df: DataFrame, name: str, stamp: str) -> None:

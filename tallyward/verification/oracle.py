@@ -662,7 +662,7 @@ def text(mi: str) -> str:
     return f"(({mi}) // 12 || '-' || lpad((({mi}) % 12 + 1)::VARCHAR, 2, '0'))"
 
 
-def baseline(last: int) -> str:
+def baseline(last: str) -> str:
     return f"""
 SELECT store_id, {last} + h AS mi, h::BIGINT AS horizon, base * (coalesce(recent, 0) / older) AS forecast FROM (
   SELECT s.store_id, h, (SELECT sum(v) FROM o_panel p WHERE p.store_id = s.store_id AND mi BETWEEN {last} - 2 AND {last}) AS recent,
@@ -671,19 +671,20 @@ SELECT store_id, {last} + h AS mi, h::BIGINT AS horizon, base * (coalesce(recent
   FROM (SELECT DISTINCT store_id FROM o_panel WHERE mi <= {last}) s, (SELECT unnest([1, 2, 3]) AS h))"""
 
 
-JUNE = 2000 * 12 + 5
-CTE["o_base_june"] = baseline(JUNE)
-CTE["o_base_march"] = baseline(JUNE - 3)
-ORACLE["baseline_forecast"] = sql(f"SELECT store_id, {text('mi')} AS month, horizon, round(forecast, 4) AS forecast FROM o_base_june")
+CTE["o_last"] = "SELECT max((substr(month, 1, 4)::BIGINT * 12 + substr(month, 6, 2)::BIGINT - 1)) AS last FROM o_variance WHERE complete"
+END = "(SELECT last FROM o_last)"
+CTE["o_base_end"] = baseline(END)
+CTE["o_base_cut"] = baseline("(SELECT last - 3 FROM o_last)")
+ORACLE["baseline_forecast"] = sql(f"SELECT store_id, {text('mi')} AS month, horizon, round(forecast, 4) AS forecast FROM o_base_end")
 ORACLE["forecast_training_rows"] = sql(f"""
 SELECT a.store_id, a.month AS asof, t.month, round(l12.v, 4) AS lag_12, round(a.v, 4) AS lag_1, round(l2.v, 4) AS lag_2, t.mi % 12 + 1 AS month_of_year,
   h::BIGINT AS horizon, round(a.level + 0.0000003::DOUBLE, 4) AS store_level, round(t.v / l12.v, 4) AS y
 FROM (SELECT *, avg(v) OVER (PARTITION BY store_id ORDER BY mi) AS level, unnest([1, 2, 3]) AS h FROM o_panel) a
 JOIN o_panel t ON t.store_id = a.store_id AND t.mi = a.mi + h JOIN o_panel l12 ON l12.store_id = a.store_id AND l12.mi = a.mi + h - 12
 JOIN o_panel l2 ON l2.store_id = a.store_id AND l2.mi = a.mi - 1
-WHERE t.mi <= {JUNE}""")
-CTE["o_errors"] = "SELECT horizon, p.mi, (forecast - v) / v AS e FROM o_base_march p JOIN o_panel a ON a.store_id = p.store_id AND a.mi = p.mi WHERE forecast IS NOT NULL AND v > 0"
-ORACLE["backtest_baseline"] = sql(f"SELECT 'baseline' AS method, {text('mi')} AS month, horizon, round(avg(abs(e)), 6) AS mape FROM o_errors GROUP BY mi, horizon")
+WHERE t.mi <= {END}""")
+CTE["o_errors_end"] = "SELECT horizon, p.mi, (forecast - v) / v AS e FROM o_base_cut p JOIN o_panel a ON a.store_id = p.store_id AND a.mi = p.mi WHERE forecast IS NOT NULL AND v > 0"
+ORACLE["backtest_baseline"] = sql(f"SELECT 'baseline' AS method, {text('mi')} AS month, horizon, round(avg(abs(e)), 6) AS mape FROM o_errors_end GROUP BY mi, horizon")
 
 
 def bands(table: str) -> str:
@@ -694,13 +695,7 @@ FROM {table} JOIN (SELECT horizon, quantile_cont(e, 0.1) AS lo, quantile_cont(e,
 WHERE forecast IS NOT NULL"""
 
 
-CTE["o_errors_june"] = "SELECT * FROM o_errors"
-ORACLE["forecast_bands"] = sql(bands("o_base_june"))
-CTE["o_last"] = "SELECT max((substr(month, 1, 4)::BIGINT * 12 + substr(month, 6, 2)::BIGINT - 1)) AS last FROM o_variance WHERE complete"
-CTE["o_base_end"] = baseline(0).replace("0 + h", "(SELECT last FROM o_last) + h").replace("mi BETWEEN 0 - 2 AND 0", "mi BETWEEN (SELECT last FROM o_last) - 2 AND (SELECT last FROM o_last)").replace(
-    "mi BETWEEN 0 - 14 AND 0 - 12", "mi BETWEEN (SELECT last FROM o_last) - 14 AND (SELECT last FROM o_last) - 12").replace("mi <= 0", "mi <= (SELECT last FROM o_last)")
-CTE["o_base_cut"] = CTE["o_base_end"].replace("(SELECT last FROM o_last)", "(SELECT last - 3 FROM o_last)")
-CTE["o_errors_end"] = "SELECT horizon, (forecast - v) / v AS e FROM o_base_cut p JOIN o_panel a ON a.store_id = p.store_id AND a.mi = p.mi WHERE forecast IS NOT NULL AND v > 0"
+ORACLE["forecast_bands"] = sql(bands("o_base_end"))
 CTE["o_forecast"] = bands("o_base_end")
 ORACLE["revenue_outlook"] = sql("""
 SELECT month, round(sum(forecast_eur), 2) AS forecast_eur, round(sum(low_80_eur), 2) AS low_80_eur, round(sum(high_80_eur), 2) AS high_80_eur,
@@ -709,7 +704,7 @@ FROM o_forecast WHERE month > '2000-05' GROUP BY month""")
 
 FEATURES = ["log_refunds", "log_no_receipt_eur", "no_receipt_share", "peer_no_receipt_ratio", "peer_refunds_ratio"]
 CTE["o_features"] = " UNION ALL ".join(f"SELECT month, '{f}' AS feature, round({f}, 6) + 0 AS x FROM o_cfeat" for f in FEATURES)
-CTE["o_checked"] = "SELECT unnest(['2000-01', '2000-02', '2000-03', '2000-04', '2000-05', '2000-06', '1995-03']) AS checked"
+CTE["o_checked"] = "SELECT DISTINCT month AS checked FROM o_cfeat"
 CTE["o_windows"] = """
 SELECT checked, strftime((checked || '-01')::DATE - to_months(k::INT), '%Y-%m') AS month
 FROM o_checked, (SELECT unnest(generate_series(4, 12)) AS k)"""
@@ -758,12 +753,14 @@ SELECT c_name AS cashier_id, 'S' || lpad(c_nationkey::VARCHAR, 8, '0') AS store_
 FROM customer""")
 ORACLE["slice_overwrite"] = sql("""
 SELECT source, count(*) AS n FROM o_quarantine WHERE source = 'pos_sales' OR reasons LIKE '%ref:original_transaction_id%' GROUP BY source""")
-ORACLE["row_trace"] = sql(f"""
+CTE["o_top"] = "SELECT * FROM o_recon ORDER BY abs(diff_c) DESC, store_id, day LIMIT 1"
+CTE["o_traced"] = f"""
 SELECT t.store_id, t.day::VARCHAR AS business_date, {eur("pos_c")} AS pos_net_eur,
   (SELECT count(*) FROM o_pos p WHERE p.store_id = t.store_id AND p.day = t.day) AS silver_rows,
-  (SELECT count(*) FROM o_bpos b WHERE b.store_id = t.store_id AND b.business_date = t.day::VARCHAR) AS bronze_rows,
-  'pos_sales.csv' AS source_file, (SELECT count(*) FROM o_pos p WHERE p.store_id = t.store_id AND p.day = t.day) AS file_rows
-FROM (SELECT * FROM o_recon ORDER BY abs(diff_c) DESC, store_id, day LIMIT 1) t""")
+  (SELECT count(*) FROM o_bpos b WHERE b.store_id = t.store_id AND b.business_date = t.day::VARCHAR) AS bronze_rows FROM o_top t"""
+ORACLE["row_trace"] = sql("""
+SELECT *, CASE WHEN silver_rows > 0 THEN 'pos_sales.csv' END AS source_file, silver_rows AS file_rows FROM o_traced
+UNION ALL SELECT store_id, business_date, pos_net_eur, 0, bronze_rows, NULL, 0 FROM o_traced""")
 CTE["o_chains"] = """
 SELECT DISTINCT 'c.gold.' || g.p_size AS gold, 'c.silver.' || g.p_brand AS silver, coalesce('c.bronze.' || b.p_type, '') AS bronze
 FROM part g LEFT JOIN part b ON b.p_brand = g.p_brand AND b.p_brand <> 'Brand#7' WHERE g.p_partkey % 3 = 1"""

@@ -129,6 +129,9 @@ class Stage:
             "budget_variance": self.budget_variance,
         }
 
+    def last_complete(self) -> str:
+        return forecasting.last_complete_month(self.budget_variance)
+
     def reconcile(self) -> reconcile.Reconciliation:
         return reconcile.reconcile(self.pos_sales, self.gl_journal, self.rates)
 

@@ -19,33 +19,25 @@ def skewed(spark):
     return left, right.union(spark.sql("select 'hot', 999L"))
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join_equals_plain_join(skewed, how):
+def test_mark_known(skewed):
     left, right = skewed
-    want = rows(left.join(right, "k", how).select("id", "k", "v"), "id")
-    assert rows(joins.salted_join(left, right, ["k"], how).select("id", "k", "v"), "id") == want
-
-
-def test_lookup_beyond_the_broadcast_bound(skewed, monkeypatch):
-    left, right = skewed
-    want = rows(joins.lookup(left, right, ["k"]).select("id", "v"), "id")
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
-    assert not joins.fits_broadcast(right)
-    assert rows(joins.lookup(left, right, ["k"]).select("id", "v"), "id") == want
-
-
-@pytest.mark.parametrize("is_lookup", [True, False])
-def test_mark_known(skewed, is_lookup):
-    left, right = skewed
-    got = joins.mark_known(left, "k", right.union(right).select("k"), "known", is_lookup)
+    got = joins.mark_known(left, "k", right.union(right).select("k"), "known")
     known = {r[0] for r in right.select("k").collect()}
     assert got.count() == 2000
     assert all(r["known"] == (r["k"] in known) for r in got.collect())
 
 
-@pytest.mark.parametrize("buckets", [4, 4096])
-def test_quantiles_equal_numpy(spark, monkeypatch, buckets):
-    monkeypatch.setattr(ordering, "BUCKETS", buckets)
+@pytest.mark.parametrize("ranges", [1, 13])
+def test_quantiles_equal_numpy(spark, ranges):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        check_quantiles(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def check_quantiles(spark):
     rng = np.random.default_rng(5)
     data = [("normal", float(x)) for x in rng.normal(size=301)]
     data += [("zeros", float(x)) for x in np.where(rng.random(200) < 0.7, 0, rng.random(200))]
@@ -59,6 +51,17 @@ def test_quantiles_equal_numpy(spark, monkeypatch, buckets):
     assert overall[0] == pytest.approx(np.quantile([x for _, x in data if x is not None], 0.25))
 
 
+def test_a_far_value_does_not_fill_a_range(spark):
+    values = spark.range(4000).select(F.when(F.col("id") == 7, 1e12).otherwise(F.col("id").cast("double")).alias("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one range
+    try:
+        sizes = [r["count"] for r in ordering.in_ranges(values, [F.col("x")]).groupBy("__range").count().collect()]
+        assert len(sizes) >= 3 and max(sizes) < 0.5 * sum(sizes)
+        assert ordering.group_quantiles(values, [], "x", [0.5]).first()[0] == [2000.5]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_weighted_quantiles_count_repeats(spark):
     df = spark.createDataFrame([(1.0, 3), (5.0, 1)], "x double, n long")
     assert ordering.group_quantiles(df, [], "x", [0.5, 1.0], weight="n").first()[0] == [1.0, 5.0]
