@@ -81,8 +81,8 @@ def main() -> None:
                 "queries": times,
                 "sf": Path(sf_dir).name.removeprefix("sf"),
                 "all_tables_from_raw_sec": round(staged, 3),
-                "silver_sales_lines": lines,
-                "silver_sales_lines_per_sec": round(lines / times["silver_pos"]),
+                "audited_sales_lines": lines,
+                "audited_sales_lines_per_sec": round(lines / times["silver_pos"]),
             }
         )
     )
