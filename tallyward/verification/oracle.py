@@ -558,6 +558,21 @@ ORACLE["volume_collapse"] = sql("SELECT store_id, day::VARCHAR AS business_date,
 ORACLE["gold_adds_up"] = sql(check_sql("gold_adds_up"))
 ORACLE["dq_results"] = sql(" UNION ALL ".join(check_sql(n) for n in CHECKS))
 
+CTE["o_silver_checks"] = " UNION ALL ".join(check_sql(n) for n in CHECKS if n != "gold_adds_up")
+ORACLE["certified"] = sql("""
+SELECT 'gate' AS step, count(*) FILTER (severity = 'critical' AND NOT passed) = 0 AS certified,
+  coalesce(string_agg("check", ', ' ORDER BY "check") FILTER (severity = 'critical' AND NOT passed), '') AS failed FROM o_silver_checks
+UNION ALL SELECT 'latest', true, '' UNION ALL SELECT 'rewritten', false, 'gold tables rewritten after run clean was certified: stores'
+UNION ALL SELECT 'failed', false, 'quality gate failed on ' || count(*) FILTER (severity = 'critical' AND NOT passed) || ' critical check(s)' FROM o_silver_checks""")
+ORACLE["input_problems"] = sql("""
+SELECT (SELECT count(*) FROM o_pos WHERE currency <> 'EUR') || ' till lines have no exchange rate' AS problem
+UNION ALL SELECT (SELECT count(*) FROM o_quarantine WHERE source IN ('pos_sales', 'gl_journal')) || ' sales or ledger rows are in quarantine'
+UNION ALL SELECT 'there are no revenue lines in the ledger'""")
+ORACLE["table_sinks"] = sql("""
+SELECT 'replaced' AS what, count(*) AS n, 'country' AS said FROM o_stores
+UNION ALL SELECT 'kept', 2 * count(*), 'two runs' FROM o_stores UNION ALL SELECT 'partitioned', count(*), 'one country' FROM o_stores WHERE country = 'CH'
+UNION ALL SELECT 'absent', 0, 'none'""")
+
 CTE["o_counts"] = """
 SELECT 'refunds' AS table_name, (SELECT count(*) FROM o_refunds) AS was, (SELECT count(*) FROM o_refunds WHERE receipt) AS now,
   (SELECT count(*) FROM o_refunds WHERE NOT receipt) > 0 AS changed

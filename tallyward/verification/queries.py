@@ -27,6 +27,7 @@ from tallyward.operators import (
 )
 from tallyward.sources import driver_tables as raw
 from tallyward.sources import tables
+from tallyward.sources.storage import keep
 from tallyward.streaming import landing
 from tallyward.verification.stage import BUDGET_YEAR, OFF_TIES, Stage, sales_span
 
@@ -254,6 +255,60 @@ def dq_results(s: Stage) -> DataFrame:
     return quality.run_checks(s.dq_tables(), "silver").unionByName(quality.run_checks(s.dq_tables(), "gold"))
 
 
+def _refusal(step) -> str:
+    """What a step that must refuse says."""
+    try:
+        step()
+    except RuntimeError as refused:
+        return str(refused)
+    return "accepted"
+
+
+@query
+def certified(s: Stage) -> DataFrame:
+    """The silver gate's certification, then a certified run, gold rewritten after it, and a gate that must stop."""
+    results = keep(quality.run_checks(s.dq_tables(), "silver"), "gate")
+    row = quality.certification(results, "gate").select(F.col("run_id").alias("step"), "certified", "failed")
+    clean = quality.certification(results.where("passed"), "clean")
+    history = quality.certification(results, "before").withColumn("certified_at", F.lit("2000-01-01").cast("timestamp")).unionByName(clean)
+    approved = quality.snapshot({"stores": s.stores})
+    latest = quality.require_certified(history, approved, approved)
+    late = _refusal(lambda: quality.require_certified(history, approved, quality.snapshot({"stores": s.stores.where("country = 'CH'")})))
+    stopped = _refusal(lambda: quality.enforce(results)).split(":")[0]
+    said = [("latest", latest == "clean", ""), ("rewritten", False, late), ("failed", False, stopped)]
+    return row.unionByName(s.spark.createDataFrame(said, "step string, certified boolean, failed string"))
+
+
+@query
+def input_problems(s: Stage) -> DataFrame:
+    """What a reconciliation is refused for: sales without a rate, held rows, a ledger without revenue."""
+    home, no_revenue = s.rates.where("currency = 'EUR'"), s.gl_journal.where("account_code <> '4000'")
+    problems = reconcile.input_problems(s.pos_sales, no_revenue, home, s.quarantine)
+    return s.spark.createDataFrame([(p,) for p in problems], "problem string")
+
+
+@query
+def table_sinks(s: Stage) -> DataFrame:
+    """Replace a table by another layout, append to a history twice, partition, describe; read everything back."""
+    db = f"sinks_{uuid4().hex}"
+    s.spark.sql(f"CREATE DATABASE {db} LOCATION '{s.folder}/{db}'")
+    stores = s.stores
+    tables.replace_table(stores.select("store_id"), f"{db}.fresh")
+    fresh = tables.replace_table(stores, f"{db}.fresh")
+    tables.describe_table(s.spark, f"{db}.fresh", {"quality": "test"}, {"country": "where it trades"})
+    for _ in range(2):
+        tables.append_history(stores, f"{db}.history", "seen_at")
+    parts = tables.replace_table(stores, f"{db}.parts", ("country",)).where("country = 'CH'")
+    said = [r["col_name"] for r in s.spark.sql(f"DESCRIBE {db}.fresh").collect() if r["comment"] == "where it trades"]
+    count = lambda what, df, text: df.agg(F.lit(what).alias("what"), F.count("*").alias("n")).withColumn("said", text)
+    history = s.spark.table(f"{db}.history")
+    runs = F.when(history.select(F.count_distinct("seen_at")).scalar() == 2, "two runs").otherwise("not two runs")
+    nation = F.when(parts.select(F.count_distinct("country")).scalar() <= 1, "one country").otherwise("several")
+    gone = tables.table_or_none(s.spark, f"{db}.nowhere")
+    absent = s.spark.createDataFrame([("absent", 0, "none" if gone is None else "there")], "what string, n long, said string")
+    return count("replaced", fresh, F.lit(",".join(said))).unionByName(count("kept", history, runs)).unionByName(count("partitioned", parts, nation)).unionByName(absent)
+
+
 def _snapshots(s: Stage) -> tuple[DataFrame, DataFrame]:
     """The silver tables, and the same with edited sales, fewer refunds and a doubled budget."""
     before = {"pos_sales": s.pos_sales, "refunds": s.refunds, "gl_journal": s.gl_journal, "budget": s.budget}

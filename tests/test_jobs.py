@@ -95,6 +95,31 @@ def test_whole_chain(spark, ws, tmp_path):
         jobs.certified_run(ws)
 
 
+def test_lineage_is_what_was_read(ws):
+    assert jobs.record_lineage(ws, "run1").first()["passed"]
+    ws.begin()
+    ws.publish(ws.table("gold", "margin").limit(1), "unread", "run1")  # nothing was read through the workspace for it
+    edges = ws.table("ops", "lineage_edges")
+    assert edges.where("target like '%unread'").isEmpty() and edges.where("target = 'shop.gold.margin' and source = 'shop.silver.pos_sales'").count() == 1
+    other = jobs.record_lineage(ws, "a run that published nothing").first()
+    assert not other["passed"] and other["violations"] == len(jobs.GOLD) + len(jobs.RECONCILED)
+
+
+def test_wrong_grants_stop_publication(spark):
+    schema = "principal string, privilege string, object_type string, object_name string"
+    seen = spark.createDataFrame([("finance-analysts", "MODIFY", "SCHEMA", "c.gold")], schema)
+    with pytest.raises(RuntimeError, match="finance-analysts has MODIFY"):
+        jobs.require_access(seen, "me")
+    jobs.require_access(seen.where("false"), "me")  # nothing visible: nothing proven
+
+
+def test_detectors_are_scored_against_a_key(spark, ws):
+    key = spark.createDataFrame([("A1_no_receipt_refunds", "S1-C1"), ("A2_discount_creep", "S2"), ("A3_unsupported_manual_revenue", "J")], "anomaly string, entity_id string")
+    jobs.score_detectors(ws, key, ["2026-06", "2026-07"], "run1")
+    scores = ws.table("ops", "detector_scores").collect()
+    assert {(r["model"], r["entity"]) for r in scores} == {("fraud_scores", "S1-C1"), ("margin_alerts", "S2")} and len(scores) == 4
+
+
 def test_a_failed_gate_is_recorded_but_not_certified(spark, ws):
     ledger_name = ws.name("silver", "gl_journal")
     spark.sql(f"insert into {ledger_name} select 'JX', 1, posting_date, account_code, account_name, store_id, 1.00, 0.00, source, description, _source_file, _ingested_at from {ledger_name} limit 1")

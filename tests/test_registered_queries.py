@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -15,7 +16,8 @@ TABLES = ("nation", "supplier", "part", "orders", "lineitem", "customer")
 
 def test_every_sql_belongs_to_a_query():
     assert set(registry.oracle_sql()) <= set(registry.queries())
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"isolation_scores", "gbt_forecast"}
+    own = {n for n in registry.queries() if n != "pipeline" and not re.match("op[0-9]", n)}  # the text operators are tested beside them
+    assert own - set(registry.oracle_sql()) == {"isolation_scores", "gbt_forecast"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
