@@ -28,8 +28,8 @@ from tallyward.llm.text import pieces, prefix_sums, ship, span_hashes, texts_of
 WINDOW = 16  # bytes under the rolling hash
 MEAN_CHUNK = 512  # bytes between two cuts, on average
 LEAST_CHUNK = 64
-KNOWN_PIECES = 400_000  # remembered by a worker; forgotten together when there are more
-KNOWN_CHUNKS = 20_000
+KNOWN_PIECES = 200_000  # remembered by a worker; forgotten together when there are more
+KNOWN_CHUNKS = 4_000
 
 
 def separable(settings: dict) -> bool:

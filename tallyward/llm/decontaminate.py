@@ -106,4 +106,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The input without the contaminated documents."""
     bad = decontaminate(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(stored(bad, "contaminated"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")
+    return docs.join(stored(bad, "contaminated").hint("merge"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")

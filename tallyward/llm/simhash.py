@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.components import components
-from tallyward.llm.text import ascii_lower, let, ship, stored, words
+from tallyward.llm.text import ascii_lower, let, pieces, ship, stored, words
 
 SHINGLE = 3  # words
 RADIUS = 2  # differing bits of a link; cells and flips below reach half of it
 SEGMENT = 3  # bits
+HASHES = 1 << 18  # counted at once
 #: Eight bits as eight bytes, so that sums count each bit apart.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
@@ -65,9 +66,12 @@ def _majorities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = batch.column("h")
         lists = pa.array(lists.to_pylist(), lists.type) if lists.null_count and lists.offset else lists
         bounds = np.asarray(lists.offsets, np.int64)
-        values = np.asarray(lists.values, np.int64).view(np.uint64)[bounds[0] : bounds[-1]]
-        kept = [batch.column("doc_id"), batch.column("text_hash")]
-        yield pa.record_batch([*kept, pa.array(majorities(values, bounds - bounds[0]))], ["doc_id", "text_hash", "fp"])
+        values = np.asarray(lists.values, np.int64).view(np.uint64)
+        for lo, hi in pieces(bounds, HASHES):
+            part = bounds[lo : hi + 1]
+            fp = pa.array(majorities(values[part[0] : part[-1]], part - part[0]))
+            kept = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_hash")]
+            yield pa.record_batch([*kept, fp], ["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -129,4 +133,4 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The input without the documents that do not stay.  Rows with one id and text are one document."""
     gone = near_duplicates(docs, shingle).where(~F.col("stays")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(stored(gone, "near-copies"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")
+    return docs.join(stored(gone, "near-copies").hint("merge"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import shutil
 import tempfile
 from collections.abc import Iterator
-from functools import cache
 from pathlib import Path
 from uuid import uuid4
 
@@ -18,7 +17,7 @@ from tallyward.sources.storage import shared_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = "[ \\t-\\r]+"  # \x20 and \x09-\x0D, as a Java pattern
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 _shipped: dict[str, str] = {}
 RADIX = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
@@ -77,16 +76,22 @@ def pieces(offsets: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
-@cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(size: int, known: list = []) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006  remembered between calls
+    """The powers of RADIX and of its inverse; only the longest series asked for is remembered, up to a few pieces."""
+    if known and len(known[0][0]) >= size:
+        return known[0]
+    size = -(-size // (1 << 18)) << 18
     up, down = np.full(size, RADIX, np.uint64), np.full(size, pow(RADIX, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    powers = np.multiply.accumulate(up, out=up), np.multiply.accumulate(down, out=down)
+    if size <= 4 * PIECE_BYTES:
+        known[:] = [powers]
+    return powers
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Sums of ``(byte + 1) * RADIX^position`` (modulo 2^64) before each position."""
-    up, _ = _powers(1 << max(16, int(len(data)).bit_length()))
+    up, _ = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     return sums
@@ -94,7 +99,7 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans; equal spans hash alike wherever they stand."""
-    _, down = _powers(1 << max(16, int(len(sums) - 1).bit_length()))
+    _, down = _powers(len(sums))
     return mixed((sums[ends] - sums[starts]) * down[starts])
 
 
