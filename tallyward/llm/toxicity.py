@@ -93,27 +93,32 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, ra
     share = float(labels.mean()) if len(bags) else 0.0
     if share in (0.0, 1.0):
         return Model(np.zeros(1 << BITS, np.float32), -40.0 if share == 0 else 40.0, share)
-    index = np.concatenate([b[0] for b in bags])
-    sizes = np.concatenate([np.diff(b[1]) for b in bags])
-    by_sentence = np.concatenate([[0], np.cumsum(sizes)])
-    by_text = np.concatenate([[0], np.cumsum([len(b[1]) - 1 for b in bags])])
-    counts = np.diff(by_text)
     # Only what several toxic documents share, and clean ones show less often, can be offensive; all else stays at zero.
-    owner = np.repeat(np.repeat(labels, counts), sizes)
-    held = np.zeros((2, 1 << BITS))
+    held, seen = np.zeros((2, 1 << BITS)), np.zeros((2, 1 << BITS))
     for features, _, label in bags:
-        held[label, np.unique(features)] += 1
-    held_share = held / np.array([[len(bags) - labels.sum()], [labels.sum()]])
-    names = np.flatnonzero((held[1] >= LEAST_DOCS) & (held_share[1] > 2 * held_share[0]))
+        names, times = np.unique(features, return_counts=True)
+        held[label, names] += 1
+        seen[label, names] += times
+    held /= np.array([[len(bags) - labels.sum()], [labels.sum()]]) / len(bags)
+    names = np.flatnonzero((held[1] >= LEAST_DOCS * len(bags) / labels.sum()) & (held[1] > 2 * held[0]))
     if not len(names):
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))), share)
-    short = np.full(1 << BITS, len(names), np.int64)
+    short = np.full(1 << BITS, -1, np.int32)
     short[names] = np.arange(len(names))
-    index = short[index]
+    kept, ends, first = [], [], 0
+    for features, bounds, _ in bags:  # of each text only the useful features stay
+        useful = short[features] >= 0
+        kept.append(short[features[useful]])
+        ends.append(first + np.concatenate([[0], np.cumsum(useful)])[bounds[1:]])
+        first += len(kept[-1])
+    index = np.concatenate(kept)
+    by_sentence = np.concatenate([[0], *ends])
+    sizes = np.diff(by_sentence)
+    by_text = np.concatenate([[0], np.cumsum([len(b[1]) - 1 for b in bags])])
+    counts = np.diff(by_text)
     # How often a feature is seen in toxic and in clean documents gives the start; the noisy-or does the rest.
-    seen = np.array([np.bincount(index[owner == y], minlength=len(names) + 1) for y in (0, 1)], np.float64)
-    w = np.clip(np.log((seen[1] + 0.1) / (seen[0] + 1.0)) - np.log(seen[1].sum() / seen[0].sum()), 0, 3) * 0.5
-    w[-1] = 0
+    odds = np.log((seen[1, names] + 0.1) / (seen[0, names] + 1.0)) - np.log(seen[1].sum() / seen[0].sum())
+    w = np.clip(odds, 0, 3) * 0.5
     bias = np.log(share / max(1.0, counts.mean())) - 1.0
     total, total_bias = np.full(len(w), 1e-2), 1e-2
     y = np.repeat(labels, counts)
@@ -123,13 +128,12 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, ra
         toxic = np.repeat(toxic, counts)
         slope = np.where(y > 0, -(1 - toxic) / toxic * p, p)  # of the negative log-likelihood, by sentence score before the logistic
         g = np.bincount(index, np.repeat(slope, sizes), minlength=len(w)) + l2 * len(bags) * w / len(w)
-        g[-1] = 0
         total += g * g
         total_bias += slope.sum() ** 2
         w -= rate * g / np.sqrt(total)
         bias -= rate * slope.sum() / np.sqrt(total_bias)
     weights = np.zeros(1 << BITS, np.float32)
-    weights[names] = w[:-1]
+    weights[names] = w
     return Model(weights, float(bias), float(1 / (1 + np.exp(-bias))))
 
 
