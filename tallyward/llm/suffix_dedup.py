@@ -3,14 +3,16 @@
 A byte goes if it lies in a ``LENGTH``-byte string that also starts in a document with a smaller id.  To sort only what can repeat, and to let
 equal strings meet wherever they are:
 
-1. Documents are packed, as they lie, into compressed packs of bounded size, and stored.
-2. Each string of LENGTH bytes holds an anchor: the smallest of the hashes of its GRAM-byte grams.  An anchor depends on the string alone, so
-   copies hold the same.  Anchors that only one document has are done with.
-3. Around the others the bytes of all strings that hold the anchor are cut out, one segment per different text in a pack.  Segments of one
+1. Documents are packed, as they lie, into compressed packs of bounded size, and stored.  Exact copies are found by hashes of the texts: a copy
+   of a document with a smaller id goes whole, and everything it could say about others that document says too.
+2. Each string of LENGTH bytes holds an anchor: the leftmost of its GRAM-byte grams with the smallest hash.  An anchor depends on the string
+   alone, so copies hold the same.  Anchors that only one document has are done with.
+3. The bytes of neighbouring strings with one shared anchor are a segment.  Different segments of one
    anchor meet in one block; segments of an anchor that many documents share are first cut into their single strings, which are
    dealt out by their own hash, so that no frequent passage fills a block.
-4. A block's segments form one text whose suffix array is built by two-stage sorting; neighbours with a common prefix of LENGTH bytes
-   or more are one string, and the smallest id among them its first document.
+4. In a block, a segment that is alone with its anchor holds strings that nothing else there holds.  All others form one text whose suffix array is
+   built by two-stage sorting; neighbours with a common prefix of LENGTH bytes or more are one string, and the smallest id
+   among them its first document.
 5. Packs are told the first documents, and remove what occurs earlier.
 
 Edge cases: NULL and empty texts have no bytes.  Texts shorter than LENGTH stay.  Rows with the same id are one document here: they do not
@@ -21,6 +23,7 @@ An empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,11 +36,12 @@ from tallyward.llm.suffix_array import equal_runs, suffix_array
 from tallyward.llm.text import mixed, ship, stored, texts_of
 
 LENGTH = 50  # bytes of a string that is removed
-GRAM = 24  # bytes under an anchor's hash; a multiple of eight
+GRAM = 20  # bytes under an anchor's hash
 SPAN = LENGTH - GRAM + 1  # grams in a string
 PACK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20  # of anchors that one task compares
 BLOCK_BYTES = 2 << 20  # of segments under one suffix array
+ALONE = 255  # stands for the place of an anchor in a segment that is a single string
 HOT = 64  # documents that share an anchor, above which its segments are cut into strings
 NO_ID = (1 << 63) - 1
 PART = 1 << 20  # bytes of a long document looked at once
@@ -47,15 +51,16 @@ SEPARATOR = 0xFF  # no byte of UTF-8
 # Packs
 
 
-def pack(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[int, bytes]:
-    """A pack's number (a hash of what it holds) and its bytes, documents in the order of their ids."""
+def pack(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[int, bytes, bytes]:
+    """A pack's number (a hash of what it holds), its bytes, documents in the order of their ids, and the ids with hashes of the texts."""
     import zstandard
 
     order = np.argsort(ids, kind="stable")
-    texts = b"".join(data[offsets[k] : offsets[k + 1]].tobytes() for k in order)
-    raw = np.int64(len(ids)).tobytes() + ids[order].tobytes() + np.diff(offsets)[order].astype(np.int64).tobytes() + texts
+    texts = [data[offsets[k] : offsets[k + 1]].tobytes() for k in order]
+    raw = np.int64(len(ids)).tobytes() + ids[order].tobytes() + np.array([len(t) for t in texts], np.int64).tobytes() + b"".join(texts)
     number = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "big", signed=True)
-    return number, zstandard.ZstdCompressor(level=3).compress(raw)
+    names = b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in texts)
+    return number, zstandard.ZstdCompressor(level=9).compress(raw), ids[order].tobytes() + names
 
 
 def unpack(blob: bytes) -> Iterator[tuple[int, np.ndarray]]:
@@ -76,8 +81,9 @@ def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> pa.RecordBatch:
         data = np.concatenate(texts) if texts else np.zeros(0, np.uint8)
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        number, blob = pack(np.array(ids, np.int64), data, offsets)
-        return pa.record_batch([pa.array([number]), pa.array([len(data)]), pa.array([blob], pa.binary())], ["pack", "size", "blob"])
+        number, blob, names = pack(np.array(ids, np.int64), data, offsets)
+        columns = [pa.array([number]), pa.array([len(data)]), pa.array([blob], pa.binary()), pa.array([names], pa.binary())]
+        return pa.record_batch(columns, ["pack", "size", "blob", "names"])
 
     for batch in batches:
         data, offsets = texts_of(batch.column("text"))
@@ -92,61 +98,84 @@ def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per document: pack, place in the pack, id and the two halves of the hash of its text."""
+    for batch in batches:
+        for number, blob in zip(batch.column("pack").to_pylist(), batch.column("names").to_pylist()):
+            n = len(blob) // 24
+            halves = np.frombuffer(blob, np.int64, 2 * n, 8 * n).reshape(n, 2)
+            columns = [np.full(n, number), np.arange(n), np.frombuffer(blob, np.int64, n), halves[:, 0], halves[:, 1]]
+            yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in columns], ["pack", "place", "id", "a", "b"])
+
+
+def copies(packs: DataFrame) -> DataFrame:
+    """(pack, place) of every document whose text a document with a smaller id has too."""
+    named = packs.select("pack", "names").mapInArrow(_names, "pack bigint, place bigint, id bigint, a bigint, b bigint")
+    first = named.groupBy("a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
+    return named.join(stored(first, "first-copies"), ["a", "b"]).where("id > first").select("pack", "place")
+
+
 # Anchors
 
 
-def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
-    """``best`` of every ``width`` values in a row, by doubling."""
-    out, span = values, 1
-    while 2 * span <= width:
-        out, span = best(out[:-span], out[span:]), 2 * span
-    count = len(values) - width + 1
-    return best(out[:count], out[width - span : width - span + count]) if span < width else out
+def _leftmost(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the leftmost smallest of every ``width`` values in a row, by doubling."""
+    best, at, span = values, np.arange(len(values), dtype=np.int32), 1
+    while span < width:
+        step = min(span, width - span)
+        left, right = slice(None, len(best) - step), slice(step, None)
+        earlier = best[left] <= best[right]
+        best, at = np.where(earlier, best[left], best[right]), np.where(earlier, at[left], at[right])
+        span += step
+    return at
 
 
-def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes (56 bits, shifted up by eight) of the grams that are smallest in a string of LENGTH bytes."""
-    places, hashes = [], []
+def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors, and the first and last start of the strings that each is the anchor of."""
+    parts = []
     for lo in range(0, max(0, len(text) - LENGTH + 1), PART):
         part = text[lo : lo + PART + LENGTH - 1]
         count = len(part) - GRAM + 1
         rows = np.lib.stride_tricks.as_strided(part, (len(part) - 7, 8), (1, 1))
         words = np.ascontiguousarray(rows).view(np.uint64).ravel()
         h = np.zeros(count, np.uint64)
-        for k in range(0, GRAM, 8):
+        for k in sorted({*range(0, GRAM - 7, 8), GRAM - 8}):
             h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + count])
-        h &= ~np.uint64(255)
-        least = _sliding(h, SPAN, np.minimum)
-        # A gram is an anchor if it equals the minimum of one of the strings that hold it.
-        edge = np.zeros(SPAN - 1, np.uint64)
-        at = np.flatnonzero(h == _sliding(np.concatenate([edge, least, edge]), SPAN, np.maximum))
-        places.append(at + lo)
-        hashes.append(h[at])
-    if not places:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at, first = np.unique(np.concatenate(places), return_index=True)  # parts overlap
-    return at, np.concatenate(hashes)[first]
+        owner = _leftmost(h, SPAN)
+        start = np.flatnonzero(np.diff(owner, prepend=-1))  # places of leftmost minima never fall
+        parts.append((owner[start] + lo, h[owner[start]], start + lo, np.append(start[1:], len(owner)) - 1 + lo))
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return none, np.zeros(0, np.uint64), none, none
+    at, h, first, last = (np.concatenate(c) for c in zip(*parts))
+    fresh = np.flatnonzero(np.diff(at, prepend=-1))  # an anchor on both sides of a cut is one anchor
+    return at[fresh], h[fresh], first[fresh], last[np.append(fresh[1:], len(at)) - 1]
+
+
+def keys(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each hash, and the 40 bits that tell it from others there."""
+    return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)), (h >> np.uint64(8)) & np.uint64((1 << 40) - 1)
 
 
 def _pack_anchors(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per pack and bucket the anchors, each with the number of documents that hold it (255 at most) in its lowest byte."""
+        """Per pack and bucket the anchors, five bytes each, and the number of documents that hold each (255 at most), a byte."""
         for batch in batches:
             for number, blob in zip(batch.column("pack").to_pylist(), batch.column("blob").to_pylist()):
-                last, found = None, []
-                held: list[np.ndarray] = []
+                last, held, found = None, [], []
                 for i, text in unpack(blob):
-                    if i != last:
-                        found += [np.unique(np.concatenate(held))] if held else []
-                        held, last = [], i
+                    if i != last and held:
+                        found.append(np.unique(np.concatenate(held)))
+                        held = []
+                    last = i
                     held.append(anchors(text)[1])
-                found += [np.unique(np.concatenate(held))] if held else []
-                h, n = np.unique(np.concatenate(found), return_counts=True)
-                bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # ascending, like h
-                cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-                h = h | np.minimum(n, 255).astype(np.uint64)
+                found.append(np.unique(np.concatenate(held)))
+                bucket, key = keys(np.concatenate(found), buckets)
+                whole, n = np.unique(bucket << np.uint64(40) | key, return_counts=True)
+                cuts = np.searchsorted(whole >> np.uint64(40), np.arange(buckets + 1).astype(np.uint64))
+                short, n = whole.view(np.uint8).reshape(-1, 8)[:, :5], np.minimum(n, 255).astype(np.uint8)
                 some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-                blobs = [h[cuts[b] : cuts[b + 1]].tobytes() for b in some]
+                blobs = [short[cuts[b] : cuts[b + 1]].tobytes() + n[cuts[b] : cuts[b + 1]].tobytes() for b in some]
                 yield pa.record_batch(
                     [pa.array(some, pa.int64()), pa.array([number] * len(some), pa.int64()), pa.array(blobs, pa.binary())],
                     ["bucket", "pack", "blob"],
@@ -156,15 +185,19 @@ def _pack_anchors(buckets: int):
 
 
 def _shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
-    """Per pack those of its anchors that two documents or more hold; the lowest bit tells the hot ones."""
-    parts = [np.frombuffer(b, np.uint64) for b in group["blob"]]
-    every = np.concatenate(parts)
-    names, where = np.unique(every >> np.uint64(8), return_inverse=True)
-    docs = np.bincount(where, (every & np.uint64(255)).astype(np.float64), minlength=len(names))
-    keep = docs[where] >= 2
-    marked = (every & ~np.uint64(255)) | (docs[where] > HOT).astype(np.uint64)
-    bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    blobs = [marked[a:b][keep[a:b]] for a, b in zip(bounds[:-1], bounds[1:])]
+    """Per pack those of its anchors that two documents or more hold, with their bucket; the lowest bit tells the hot ones."""
+    sizes = [len(b) // 6 for b in group["blob"]]
+    wide = np.zeros((sum(sizes), 8), np.uint8)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    counts = np.zeros(bounds[-1], np.float64)
+    for lo, n, blob in zip(bounds, sizes, group["blob"]):
+        wide[lo : lo + n, :5] = np.frombuffer(blob, np.uint8, 5 * n).reshape(n, 5)
+        counts[lo : lo + n] = np.frombuffer(blob, np.uint8, n, 5 * n)
+    every = wide.view(np.uint64).ravel() | np.uint64(int(group["bucket"].iloc[0]) << 40)
+    names, where = np.unique(every, return_inverse=True)
+    docs = np.bincount(where, counts, minlength=len(names))[where]
+    marked = every << np.uint64(1) | (docs > HOT).astype(np.uint64)
+    blobs = [marked[a:b][docs[a:b] >= 2] for a, b in zip(bounds[:-1], bounds[1:])]
     out = pd.DataFrame({"pack": group["pack"].to_numpy(), "n": [len(b) for b in blobs], "blob": [b.tobytes() for b in blobs]})
     return out[out["n"] > 0]
 
@@ -172,68 +205,103 @@ def _shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
 # Segments
 
 
-def segments(text: np.ndarray, shared: np.ndarray, hot: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """(hash to deal by, place, bytes) of the segments around the shared anchors: all strings of LENGTH bytes that hold the anchor.
+class Shared:
+    """What a pack knows of its anchors and copies."""
+
+    def __init__(self, side: pd.DataFrame, buckets: int):
+        parts = [np.frombuffer(b, np.uint64) for b in side.loc[side["kind"] == SHARED, "blob"]]
+        every = np.sort(np.concatenate([*parts, np.zeros(0, np.uint64)]))
+        self.known, self.hot, self.buckets = every >> np.uint64(1), (every & np.uint64(1)).astype(bool), buckets
+        self.copies = set(side.loc[side["kind"] == COPY, "place"])
+
+    def segments(self, text: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
+        """(hash to deal by, start, place of the anchor, bytes): the strings of LENGTH bytes of each shared anchor, in one piece.
+
+        Around a hot anchor each string is a segment of its own.
+        """
+        at, h, first, last = anchors(text)
+        if not len(at) or not len(self.known):
+            return
+        bucket, key = keys(h, self.buckets)
+        key |= bucket << np.uint64(40)
+        k = np.minimum(np.searchsorted(self.known, key), len(self.known) - 1)
+        held = np.flatnonzero(self.known[k] == key)
+        raw = text.tobytes()
+        for name, place, lo, hi, hot in zip(*(c[held].tolist() for c in (key, at, first, last)), self.hot[k[held]].tolist()):
+            if not hot:
+                yield name, lo, place - lo, raw[lo : hi + LENGTH]
+            else:
+                for s in range(lo, hi + 1):
+                    segment = raw[s : s + LENGTH]
+                    yield name_of(segment), s, ALONE, segment
 
-    Around a hot anchor each string is a segment of its own.
-    """
-    at, h = anchors(text)
-    if not len(at) or not len(shared):
-        return
-    k = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
-    held = np.flatnonzero(shared[k] == h)
-    raw = text.tobytes()
-    for place, name, is_hot in zip(at[held].tolist(), h[held].tolist(), hot[k[held]].tolist()):
-        lo, hi = max(0, place - SPAN + 1), min(len(raw), place + LENGTH)
-        if not is_hot:
-            yield name, lo, raw[lo:hi]
-        else:
-            for s in range(lo, hi - LENGTH + 1):
-                yield -1, s, raw[s : s + LENGTH]
-
-
-def _known(side: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.frombuffer(b, np.uint64) for b in side["blob"]]
-    every = np.sort(np.concatenate([*parts, np.zeros(0, np.uint64)]))
-    return every & ~np.uint64(255), (every & np.uint64(1)).astype(bool)
+
+SHARED, NEWS, COPY = 0, 1, 2  # kinds of what a pack is told
 
 
 def name_of(segment: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(segment, digest_size=8).digest(), "big")
 
 
-def _pack_segments(blocks: int):
+def _pack_segments(buckets: int, blocks: int):
     def run(packs: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
         """Per pack and block the different segments with the smallest id that has them."""
-        out: dict[int, dict[bytes, int]] = {}
+        import zstandard
+
+        out: dict[int, dict[bytes, tuple[int, int]]] = {}
         if len(packs) and len(side):
-            shared, hot = _known(side)
-            seen: set[bytes] = set()
-            for i, text in sorted((x for b in packs["blob"].drop_duplicates() for x in unpack(b)), key=lambda x: x[0]):
-                for name, _, segment in segments(text, shared, hot):
+            shared, seen = Shared(side, buckets), set()
+            for place, (i, text) in enumerate(unpack(packs["blob"].iloc[0])):
+                for key, _, anchor, segment in shared.segments(text) if place not in shared.copies else ():
                     if segment not in seen:  # ids ascend: the first to have it is the smallest
                         seen.add(segment)
-                        key = (name >> 8) if name >= 0 else name_of(segment)
-                        out.setdefault(key % blocks, {})[segment] = i
-        rows = [(b, packs["pack"].iloc[0], np.fromiter(map(len, s), np.uint8).tobytes(), np.fromiter(s.values(), np.int64).tobytes(), b"".join(s)) for b, s in out.items()]
-        return pd.DataFrame(rows, columns=["block", "pack", "sizes", "ids", "data"])
+                        out.setdefault(key % blocks, {})[segment] = (anchor, i)
+        rows = []
+        for block, held in out.items():
+            sizes, places = np.fromiter(map(len, held), np.uint8), np.array([p for p, _ in held.values()], np.uint8)
+            ids = np.array([i for _, i in held.values()], np.int64)
+            data = zstandard.ZstdCompressor(level=6).compress(sizes.tobytes() + places.tobytes() + ids.tobytes() + b"".join(held))
+            rows.append((block, packs["pack"].iloc[0], len(held), data))
+        return pd.DataFrame(rows, columns=["block", "pack", "n", "data"])
 
     return run
 
 
 def _first_documents(group: pd.DataFrame) -> pd.DataFrame:
     """The block's suffix array; per pack what it has to know: (name, smallest id, strings that start in a smaller id) of its segments."""
+    import zstandard
+
     firsts: dict[bytes, int] = {}
+    anchor_of: dict[bytes, bytes] = {}
     mine = []
-    for sizes, ids, data in zip(group["sizes"], group["ids"], group["data"]):
-        at, own = 0, []
-        for size, i in zip(sizes, np.frombuffer(ids, np.int64).tolist()):
-            segment = data[at : at + size]
+    for n, data in zip(group["n"], group["data"]):
+        raw = zstandard.ZstdDecompressor().decompress(data)
+        at, own = 10 * n, []
+        ids = np.frombuffer(raw, np.int64, n, 2 * n) if not (2 * n) % 8 else np.frombuffer(raw[2 * n : 10 * n], np.int64)
+        for size, place, i in zip(raw[:n], raw[n : 2 * n], ids.tolist()):
+            segment = raw[at : at + size]
             at += size
             own.append((segment, i))
             if i < firsts.get(segment, NO_ID + 1):
                 firsts[segment] = i
+                anchor_of[segment] = segment if place == ALONE else segment[place : place + GRAM]
         mine.append(own)
+    # A segment alone with its anchor has no string in common with any other; so has one that is a single string.
+    company = Counter(anchor_of.values())
+    told = {segment: (first, 0) for segment, first in firsts.items()}
+    firsts = {segment: first for segment, first in firsts.items() if company[anchor_of[segment]] > 1}
+    if firsts:
+        told.update(_sorted_out(firsts))
+    rows = []
+    for number, own in zip(group["pack"], mine):
+        news = [(name_of(s), *told[s]) for s, i in own if told[s][0] < i or told[s][1]]
+        if news:
+            rows.append((number, len(news), b"".join(np.array(c, t).tobytes() for c, t in zip(zip(*news), (np.uint64, np.int64, np.uint64)))))
+    return pd.DataFrame(rows, columns=["pack", "n", "blob"])
+
+
+def _sorted_out(firsts: dict[bytes, int]) -> dict[bytes, tuple[int, int]]:
+    """Per segment its smallest id and the strings in it (as bits) that start in a document with a smaller one."""
     first = np.fromiter(firsts.values(), np.int64)
     sizes = np.fromiter(map(len, firsts), np.int64)
     text = np.frombuffer(bytes([SEPARATOR]).join(firsts) + bytes([SEPARATOR]), np.uint8)
@@ -252,32 +320,27 @@ def _first_documents(group: pd.DataFrame) -> pd.DataFrame:
     early = least < first[own]
     masks = np.zeros(len(sizes), np.uint64)
     np.bitwise_or.at(masks, own[early], np.uint64(1) << (order[early] - begin[own[early]]).astype(np.uint64))
-    told = dict(zip(firsts, zip(first.tolist(), masks.tolist())))
-    rows = []
-    for number, own in zip(group["pack"], mine):
-        news = [(name_of(s), *told[s]) for s, i in own if told[s][0] < i or told[s][1]]
-        if news:
-            rows.append((number, len(news), b"".join(np.array(c, t).tobytes() for c, t in zip(zip(*news), (np.uint64, np.int64, np.uint64)))))
-    return pd.DataFrame(rows, columns=["pack", "n", "blob"])
+    return dict(zip(firsts, zip(first.tolist(), masks.tolist())))
 
 
 # Removal
 
 
-def _removal(digest: bool):
+def _removal(digest: bool, buckets: int):
     def run(packs: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
-        shared, hot = _known(side[side["kind"] == 0])
+        shared = Shared(side, buckets)
         news: dict[int, tuple[int, int]] = {}
-        for blob in side.loc[side["kind"] == 1, "blob"]:
+        for blob in side.loc[side["kind"] == NEWS, "blob"]:
             n = len(blob) // 24
             columns = [np.frombuffer(blob, t, n, 8 * n * k).tolist() for k, t in enumerate((np.uint64, np.int64, np.uint64))]
             news.update(zip(columns[0], zip(columns[1], columns[2])))
         local: dict[bytes, tuple[int, int]] = {}  # segment: smallest id that has it, strings of that one which start earlier
         rows = []
-        copies = packs["blob"].value_counts()
-        for times, (i, text) in sorted(((n, x) for b, n in copies.items() for x in unpack(b)), key=lambda x: x[1][0]):
+        for place, (i, text) in enumerate(unpack(packs["blob"].iloc[0]) if len(packs) else ()):
             strings = np.zeros(len(text) + 1, np.int64)
-            for _, lo, segment in segments(text, shared, hot):
+            if place in shared.copies:
+                strings[: max(0, len(text) - LENGTH + 1)] = 1
+            for _, lo, _, segment in shared.segments(text) if place not in shared.copies else ():
                 known = local.get(segment)
                 if known is None:
                     known = local[segment] = news.get(name_of(segment), (i, 0))
@@ -296,7 +359,7 @@ def _removal(digest: bool):
             gone = np.cumsum(change[:-1]) > 0
             kept = text[~gone].tobytes()
             spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-            rows += [(i, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest() if digest else kept)] * times
+            rows += [(i, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest() if digest else kept)] * len(packs)
         return pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"])
 
     return run
@@ -309,17 +372,20 @@ def dedup_strings(docs: DataFrame, digest: bool = False) -> DataFrame:
     """
     ship(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), "text")
-    packs = stored(rows.mapInArrow(_packs, "pack bigint, size bigint, blob binary"), "packs")
+    packs = stored(rows.mapInArrow(_packs, "pack bigint, size bigint, blob binary, names binary"), "packs")
     total = packs.agg(F.sum("size")).first()[0] or 0
-    buckets = 4 + int(total * 0.07 * 8) // BUCKET_BYTES
+    buckets = 4 + int(total * 0.065 * 6) // BUCKET_BYTES
     anchored = packs.select("pack", "blob").mapInArrow(_pack_anchors(buckets), "bucket bigint, pack bigint, blob binary")
     shared = stored(anchored.groupBy("bucket").applyInPandas(_shared_anchors, "pack bigint, n bigint, blob binary"), "shared-anchors")
-    blocks = 4 + int((shared.agg(F.sum("n")).first()[0] or 0) * (LENGTH + SPAN)) // BLOCK_BYTES
+    blocks = 4 + int((shared.agg(F.sum("n")).first()[0] or 0) * (LENGTH + SPAN // 2)) // BLOCK_BYTES
+    none = F.lit(None).cast("binary"), F.lit(None).cast("bigint")
+    twins = stored(copies(packs), "copies").select("pack", F.lit(COPY).alias("kind"), none[0].alias("blob"), "place")
+    told = shared.select("pack", F.lit(SHARED).alias("kind"), "blob", none[1].alias("place")).union(twins)
     by_pack = packs.select("pack", "blob").groupBy("pack")
-    found = by_pack.cogroup(shared.select("pack", "blob").groupBy("pack"))
-    cut = found.applyInPandas(_pack_segments(blocks), "block bigint, pack bigint, sizes binary, ids binary, data binary")
+    cut = by_pack.cogroup(told.groupBy("pack")).applyInPandas(_pack_segments(buckets, blocks), "block bigint, pack bigint, n bigint, data binary")
     news = stored(cut.groupBy("block").applyInPandas(_first_documents, "pack bigint, n bigint, blob binary"), "first-documents")
-    side = shared.select("pack", F.lit(0).alias("kind"), "blob").union(news.select("pack", F.lit(1), "blob"))
+    told = told.union(news.select("pack", F.lit(NEWS), "blob", none[1]))
     kept = "kept_sha256 string" if digest else "kept binary"
-    out = by_pack.cogroup(side.groupBy("pack")).applyInPandas(_removal(digest), f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, {kept}")
+    schema = f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, {kept}"
+    out = by_pack.cogroup(told.groupBy("pack")).applyInPandas(_removal(digest, buckets), schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
