@@ -76,7 +76,8 @@ def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     found = found.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("starts").alias("__starts"))
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs", "__id", "__th", "__starts")]
     same = ident.eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th"))
-    joined = docs.select(*kept).join(found, same, "left")
+    # Texts are moved to their runs whatever the size of these: a broadcast would fit small inputs only, and change the plan.
+    joined = docs.select(*kept).join(found.hint("merge"), same, "left")
 
     places = F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + run - 1))))
     apart = lambda s: F.filter(s, lambda x, i: F.coalesce(x - F.get(s, i - 1) > run, F.lit(True)))
