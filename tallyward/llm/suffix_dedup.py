@@ -60,7 +60,7 @@ def pack(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[int, b
     raw = np.int64(len(ids)).tobytes() + ids[order].tobytes() + np.array([len(t) for t in texts], np.int64).tobytes() + b"".join(texts)
     number = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "big", signed=True)
     names = b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in texts)
-    return number, zstandard.ZstdCompressor(level=9).compress(raw), ids[order].tobytes() + names
+    return number, zstandard.ZstdCompressor(level=3).compress(raw), ids[order].tobytes() + names
 
 
 def unpack(blob: bytes) -> Iterator[tuple[int, np.ndarray]]:
@@ -125,7 +125,7 @@ def _leftmost(values: np.ndarray, width: int) -> np.ndarray:
         step = min(span, width - span)
         left, right = slice(None, len(best) - step), slice(step, None)
         earlier = best[left] <= best[right]
-        best, at = np.where(earlier, best[left], best[right]), np.where(earlier, at[left], at[right])
+        best, at = np.minimum(best[left], best[right]), np.where(earlier, at[left], at[right])
         span += step
     return at
 
@@ -260,7 +260,7 @@ def _pack_segments(buckets: int, blocks: int):
         for block, held in out.items():
             sizes, places = np.fromiter(map(len, held), np.uint8), np.array([p for p, _ in held.values()], np.uint8)
             ids = np.array([i for _, i in held.values()], np.int64)
-            data = zstandard.ZstdCompressor(level=6).compress(sizes.tobytes() + places.tobytes() + ids.tobytes() + b"".join(held))
+            data = zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + places.tobytes() + ids.tobytes() + b"".join(held))
             rows.append((block, packs["pack"].iloc[0], len(held), data))
         return pd.DataFrame(rows, columns=["block", "pack", "n", "data"])
 
