@@ -20,8 +20,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Delete later copies of runs of lines; n_chars follows the text."""
-    cut = line_dedup.dedup_lines(docs.select(*COLUMNS))
+    """Delete later copies of runs of lines, and of one or two lines of over 50 words; n_chars follows the text."""
+    cut = line_dedup.dedup_lines(docs.select(*COLUMNS), passage=line_dedup.PASSAGE)
     return cut.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*COLUMNS)
 
 

@@ -128,6 +128,33 @@ def test_line_dedup(spark, documents):
     assert sum(v[2] for v in want.values()) > 100
 
 
+def test_line_dedup_of_long_passages(spark):
+    """One or two lines of over 50 words are runs too where asked: brute force over all windows, and passages planted by hand."""
+    rng = random.Random(8)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    one, fifty, short, left, right = line(51), line(50), line(4), line(30), line(21)
+    rows = [(1, one), (2, f"{line(3)}\n{one}\n{line(3)}"), (3, one), (4, f"{fifty}\n{line(9)}"), (5, fifty), (6, f"{left}\n\n{right}\nx"), (7, f"y\n{left}\n{right}")]
+    rows += [(8, f"{short}\n{line(2)}"), (9, short), (10, f"{one}\n{short}"), (11, f"{line(1)}\n{one}\n{short}"), (12, f"{line(60)}\n" + one), (13, None), (None, one), (14, "")]
+    rows += [(15 + k, "\n".join(rng.choice([one, fifty, short, left, right, "z", " "]) for _ in range(rng.randint(1, 7)))) for k in range(60)]
+    seen, want = set(), Counter()
+    for i, t in sorted(rows, key=lambda d: (d[0] is None, d[0] or 0)):
+        lines = (t or "").split("\n")
+        at, gone = [k for k, x in enumerate(lines) if x.strip()], set()
+        for k in range(len(at)):
+            for size in (1, 2, 3):
+                window = tuple(lines[j] for j in at[k : k + size])
+                if len(window) == size and (size == 3 or len(" ".join(window).split()) > 50):
+                    gone |= set(at[k : k + size]) if window in seen else set()
+                    seen.add(window)
+        places = [k for k, j in enumerate(at) if j in gone]
+        want[i, "\n".join(x for k, x in enumerate(lines) if k not in gone), len(places), sum(k - 1 not in places for k in places)] += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = line_dedup.dedup_lines(docs, passage=50).collect()
+    assert Counter((r.doc_id, r.text, r.n_removed, r.n_runs) for r in out) == want
+    text = {r.doc_id: r.text for r in out}
+    assert text[3] == "" and text[None] == "" and text[5] == fifty and text[7] == "y" and text[9] == short and text[11].count("\n") == 0
+
+
 def brute_print(text, size):
     w = re.findall(r"[^\x20\x09-\x0d]+", (text or "").translate(LOW))
     if not w:
