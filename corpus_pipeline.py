@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, decontaminate, line_dedup, quality_classifier, simhash
+from tallyward.llm import bpe, decontaminate, line_dedup, near_copies, quality_classifier, simhash
 from tallyward.llm.queries import table, tokenizer
 from tallyward.llm.text import stored
 
@@ -26,7 +26,7 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
+    """Keep one document of each group of equal or nearly equal fingerprints."""
     return simhash.keep_one(docs.select(*COLUMNS))
 
 
@@ -35,6 +35,11 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.keep_clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies: five-word shingles, Jaccard similarity 0.8 or more."""
+    return near_copies.keep_one(docs.select(*COLUMNS))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document."""
     return bpe.encode(docs, tokenizer("word_bpe_49k.json"))
@@ -45,6 +50,7 @@ STAGES = [
     ("line dedup", cut_lines),
     ("simhash near-dedup", keep_one_of_each),
     ("benchmark decontamination", keep_clean),
+    ("near copies", drop_near_copies),
     ("bpe encoding", encode),
 ]
 

@@ -130,7 +130,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The input without the documents that do not stay.  Rows with one id and text are one document."""
-    gone = near_duplicates(docs, shingle).where(~F.col("stays")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+def without(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """``docs`` without what is marked (doc_id, text_hash, stays) as not staying.  Rows with one id and text are one document."""
+    gone = marked.where(~F.col("stays")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     return docs.join(stored(gone, "near-copies").hint("merge"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The input without the documents that do not stay."""
+    return without(docs, near_duplicates(docs, shingle))

@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from tallyward.llm import decontaminate, line_dedup, quality_rules, simhash, suffix_dedup
+import corpus_pipeline
+from tallyward.llm import decontaminate, line_dedup, near_copies, quality_rules, simhash, suffix_dedup
 from tallyward.llm.components import components
 from tallyward.llm.suffix_array import equal_runs, suffix_array
 
@@ -203,6 +204,39 @@ def test_simhash_links_every_close_fingerprint(spark):
                 assert root(a) == root(b)
 
 
+def test_near_copies_at_every_similarity(spark):
+    """Planted near copies from 0.6 to 1 against all pairs; SimHash at two bits finds few of them."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts = [None, "", " \n", "a b", "A  b", "a b c", "a b c d e f", "A b c d e f"]
+    for _ in range(25):
+        base = [word() for _ in range(rng.choice([30, 90, 400]))]
+        for _ in range(5):
+            changed = {rng.randrange(len(base)) for _ in range(int(len(base) * rng.choice([0, 0.005, 0.015, 0.02, 0.03, 0.05])))}
+            texts.append(" ".join(word() if k in changed else w for k, w in enumerate(base)))
+    hot = [word() for _ in range(300)]
+    texts += [" ".join([*hot[:k], word(), *hot[k + 1 :]]) for k in range(60)]
+
+    def shingles(text):
+        w = re.findall(r"[^\x20\x09-\x0d]+", (text or "").translate(LOW))
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)} - {()}
+
+    sets, group = [shingles(t) for t in texts], list(range(len(texts)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if group[a] != group[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                group = [min(group[a], group[b]) if g in (group[a], group[b]) else g for g in group]
+    rows = [(k, t, "en", "x", len(t or "")) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    marked = near_copies.near_copies(docs).collect()
+    assert {r.doc_id: r.component_id for r in marked} == dict(enumerate(group))
+    kept = dict(corpus_pipeline.STAGES)["near copies"](spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(group))
+    assert near_copies.keep_one(docs.limit(0)).count() == 0
+    bits = [brute_print(t, 3) for t in texts]
+    assert sum((bits[k] ^ bits[g]).bit_count() > 2 for k, g in enumerate(group)) > 20
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(k + 1, k) for k in range(200)] + [(1001, 1000), (1003, 1002), (1003, 1001)]
     random.Random(1).shuffle(edges)
