@@ -6,7 +6,8 @@ Addresses of e-mail keep their domain, and access keys and passwords their alpha
 length only, so equal values get equal pseudonyms in all documents, whatever separators they are written with, and two values never share one.
 
 Edge cases: a NULL text stays NULL with nothing found; an empty text stays empty.  Rows are treated one by one, so repeated
-rows give equal results; other columns are passed on, an input column named n_replaced or kinds is replaced.  What fails validation is left alone.
+rows give equal results; other columns are passed on, an input column named n_replaced or kinds is replaced.  Of a match that fails validation
+the shorter ends are tried, then the search goes on one token later, so values beside other digits or capitals are found; the rest is left alone.
 """
 
 from __future__ import annotations
@@ -40,6 +41,12 @@ PATTERNS = {
     r"|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4})(?![0-9])",
 }
 FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
+KINDS = {k: re.compile(p) for k, p in PATTERNS.items()}
+RETRIED = ("iban", "card", "phone")  # kinds of no fixed length, whose match may have taken neighbours in
+TOKEN_END = re.compile(r"(?<=[A-Za-z0-9])(?![A-Za-z0-9])")
+#: Inside a longer match a card has groups of four digits and more, but for the last; else nearly every row of small numbers would hold one.
+CARD_GROUPS = re.compile(r"(?:[0-9]{4,}[ -])*[0-9]+")
+LEAST_IBAN = 15  # the shortest of any country
 HINT = re.compile(r"[0-9@]|AKIA|ASIA|[=:][ ]?[\"']?[A-Za-z0-9_-]{12}")
 
 
@@ -210,21 +217,64 @@ class Pseudonyms:
             local = lambda s: not (s[0] > "1" and s[3] > "1")
         return refill(text, kept + self.digits(f"phone{kept}", rest, local), str.isdigit)
 
+    def shorter(self, kind: str, text: str, start: int) -> tuple[str, int] | None:
+        """The pseudonym and end of the longest valid value of the kind at ``start`` that ends with a token inside the pattern's match."""
+        found = KINDS[kind].match(text, start)
+        ends = [e.start() for e in TOKEN_END.finditer(text, start, found.end() + 1) if e.start() <= found.end()] if found else []
+        for end in reversed(ends):
+            if not KINDS[kind].fullmatch(text, start, end) or kind == "card" and not CARD_GROUPS.fullmatch(text, start, end):
+                continue
+            if kind == "iban" and end - start - text.count(" ", start, end) < LEAST_IBAN or kind == "phone" and self.cuts_card(text, start, end):
+                continue
+            new = getattr(self, kind)(text[start:end])
+            if new is not None:
+                return new, end
+        return None
+
+    def cuts_card(self, text: str, start: int, end: int) -> bool:
+        """Does a valid card begin inside the span and end behind it?"""
+        if not re.compile("[ -]?[0-9]").match(text, end):
+            return False
+        begins = (e.end() for e in re.compile(r"[^0-9]+(?=[0-9])").finditer(text, start + 1, end))
+        cards = (self.shorter("card", text, at) for at in begins)
+        return any(card is not None and card[1] > end for card in cards)
+
+    def value(self, text: str, found: re.Match, inside: bool) -> tuple[str, str, int] | None:
+        """Kind, pseudonym and end of the value at the start of the match: the whole match, or as much of it as is valid.
+
+        ``inside`` tells that the match begins in one that failed.
+        """
+        kinds, start = list(PATTERNS)[list(PATTERNS).index(found.lastgroup) :], found.start()
+        # What is no valid value of the first kind that fits may still be one of a later kind.
+        for kind in kinds:
+            if kind == found.lastgroup or KINDS[kind].fullmatch(found[0]):
+                if kind == "card" and inside and not CARD_GROUPS.fullmatch(found[0]):
+                    continue
+                if kind == "phone" and self.cuts_card(text, start, found.end()) and (less := self.shorter(kind, text, start)):
+                    return kind, *less
+                new = getattr(self, kind)(found[0])
+                if new is not None:
+                    return kind, new, found.end()
+        for kind in kinds:
+            if kind in RETRIED and (less := self.shorter(kind, text, start)):
+                return kind, *less
+        return None
+
     def replace(self, text: str) -> tuple[str, list[str]]:
         """The text with all valid values replaced, and the kinds found, one per value."""
         kinds: list[str] = []
-
-        def one(found: re.Match) -> str:
-            # What is no valid value of the first kind that fits may still be one of a later kind.
-            for kind in list(PATTERNS)[list(PATTERNS).index(found.lastgroup) :]:
-                if kind == found.lastgroup or re.fullmatch(PATTERNS[kind], found[0]):
-                    new = getattr(self, kind)(found[0])
-                    if new is not None:
-                        kinds.append(kind)
-                        return new
-            return found[0]
-
-        return FIND.sub(one, text), kinds
+        out, done, failed, found = [], 0, 0, FIND.search(text)
+        while found:
+            value = self.value(text, found, found.start() < failed)
+            if value:
+                kind, new, at = value
+                kinds.append(kind)
+                out += text[done : found.start()], new
+                done = at
+            else:  # go on one token later: a valid value may begin inside
+                at, failed = TOKEN_END.search(text, found.start() + 1).start(), max(failed, found.end())
+            found = FIND.search(text, at)
+        return "".join([*out, text[done:]]), kinds
 
 
 def refill(text: str, new: str, slot: Callable[[str], bool]) -> str:

@@ -160,6 +160,25 @@ def test_pseudonyms_keep_formats_and_links(spark):
     )
 
 
+def test_pseudonyms_of_values_beside_other_tokens():
+    """What a greedy match takes in beside a valid value does not hide it, and equal values keep equal pseudonyms."""
+    p = pii.Pseudonyms(b"k")
+    card, spaced = p.replace("4337166598464399")[0], p.replace("4337 1665 9846 4399")[0]
+    phone, iban = p.replace("+1 (456) 555-2186")[0], p.replace("BE68 5390 0754 7034")[0]
+    assert iban != "BE68 5390 0754 7034"
+    cases = {
+        "4337166598464399 12/26": (f"{card} 12/26", ["card"]),
+        "no 12 4337 1665 9846 4399": (f"no 12 {spaced}", ["card"]),
+        "+1 (456) 555-2186 4337 1665 9846 4399": (f"{phone} {spaced}", ["phone", "card"]),
+        "BE68 5390 0754 7034 IS": (f"{iban} IS", ["iban"]),
+        "4337 1665 9846 4399 123, BE68 5390 0754 7034 ISBN": (f"{spaced} 123, {iban} ISBN", ["card", "iban"]),
+        "AB12 3456 BE68 5390 0754 7034": (f"AB12 3456 {iban}", ["iban"]),
+        "30.02.2024 4337166598464399": (f"30.02.2024 {card}", ["card"]),
+        "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15": ("1 2 3 4 5 6 7 8 9 10 11 12 13 14 15", []),
+    }
+    assert {t: p.replace(t) for t in cases} == cases
+
+
 @needs_tables
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name):
