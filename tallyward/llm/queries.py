@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, decontaminate, line_dedup, pii, quality_classifier, quality_rules, simhash, suffix_dedup, toxicity
+from tallyward.llm import bpe, chat, decontaminate, line_dedup, neighbours, pii, quality_classifier, quality_rules, runs, simhash, suffix_dedup, toxicity, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +93,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
@@ -104,6 +116,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_simhash": op9_simhash,
     "op10_chat": op10_chat,
+    "op11_whitening": op11_whitening,
+    "op12_runs": op12_runs,
+    "op13_neighbours": op13_neighbours,
 }
 
 ORACLE: dict[str, str] = {

@@ -89,14 +89,19 @@ def _powers(size: int, known: list = []) -> tuple[np.ndarray, np.ndarray]:  # no
     return powers
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Sums of ``(byte + 1) * RADIX^position`` (modulo 2^64) before each position."""
-    up, _ = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+def prefix_sums_of(values: np.ndarray) -> np.ndarray:
+    """Sums of ``value * RADIX^position`` (modulo 2^64) before each position."""
+    up, _ = _powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
     return sums
 
 
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """``prefix_sums_of`` the bytes plus one."""
+    return prefix_sums_of(data.astype(np.uint64) + np.uint64(1))
+
+
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans; equal spans hash alike wherever they stand."""
     _, down = _powers(len(sums))
