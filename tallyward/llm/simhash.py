@@ -131,9 +131,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def without(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """``docs`` without what is marked (doc_id, text_hash, stays) as not staying.  Rows with one id and text are one document."""
-    gone = marked.where(~F.col("stays")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(stored(gone, "near-copies").hint("merge"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")
+    """``docs`` without what is marked (doc_id, text_hash, stays) as not staying.  Rows with one id and text are one document: one row stays."""
+    id_and_hash = F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
+    counted = marked.groupBy(*id_and_hash).agg(F.max("stays").alias("stays"), F.count("*").alias("n")).where(~F.col("stays") | (F.col("n") > 1))
+    counted = stored(counted, "near-copies")
+    own = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
+    kept = docs.join(counted.select("__id", "__hash").hint("merge"), own, "left_anti")
+    repeated = counted.where("stays").select("__id", "__hash")
+    if repeated.isEmpty():
+        return kept
+    single = docs.join(repeated.hint("merge"), own).dropDuplicates(["__id", "__hash"]).select(*[docs[c] for c in docs.columns])
+    return kept.union(single)
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

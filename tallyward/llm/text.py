@@ -22,11 +22,21 @@ _shipped: dict[str, str] = {}
 RADIX = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the cluster's shared folder and read it back: lineage ends, sizes become known."""
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the cluster's shared folder and read it back: lineage ends, sizes become known.  Also tells where it is."""
     path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return stored_at(df, name)[0]
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a stored intermediate that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ship(spark: SparkSession) -> None:

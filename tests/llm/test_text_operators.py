@@ -230,13 +230,53 @@ def test_near_copies_at_every_similarity(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
     marked = near_copies.near_copies(docs).collect()
     assert {r.doc_id: r.component_id for r in marked} == dict(enumerate(group))
-    kept = dict(corpus_pipeline.STAGES)["near copies"](spark, docs, "")
+    kept = near_copies.keep_one(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(group))
     assert near_copies.keep_one(docs.limit(0)).count() == 0
     bits = [brute_print(t, 3) for t in texts]
     assert sum((bits[k] ^ bits[g]).bit_count() > 2 for k, g in enumerate(group)) > 20
 
 
+def test_near_copies_in_a_crowd(spark):
+    """Documents that share most words but are no copies fill the cells; the planted pairs among them are found, and candidates grow with the rows."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    blocks = [[word() for _ in range(10)] for _ in range(30)]
+    made = {}
+    for size in (150, 300):
+        texts = []
+        for k in range(size):  # eight blocks in ten are everyone's: unlike sets with a similarity of about 0.55
+            own = [b if rng.random() < 0.8 else [word() for _ in b] for b in blocks]
+            texts.append([w for b in own for w in b])
+        pairs = []
+        for k in range(0, 60, 2):
+            near = list(texts[k])
+            for at in rng.sample(range(0, 300, 30), 6):  # six words in 300 touch thirty shingles: a similarity of about 0.82
+                near[at] = word()
+            texts[k + 1] = near
+            pairs.append((k, k + 1))
+        docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+        prints = near_copies.shingle_sets(docs)
+        sets = near_copies.stored(prints.selectExpr("key", "n", "sketch", "struct(false as unknown, doc_id, text_hash) as first"), "test")
+        made[size] = near_copies.candidates(sets).count()
+        group = {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()}
+        whole = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+        alike = [(a, b) for a in range(size) for b in range(a) if 5 * len(whole[a] & whole[b]) >= 4 * len(whole[a] | whole[b])]
+        assert len(alike) >= len(pairs) // 2
+        assert sum(group[a] == group[b] for a, b in alike) >= 0.9 * len(alike)
+    assert all(n <= 3 * size for size, n in made.items())  # all pairs would be 75 and 150 a document
+
+
+def test_repeated_rows_are_thinned_to_one(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(None, text)] * 4 + [(None, text + " more")] * 3 + [(7, "x y z")] * 5 + [(8, None)] * 2 + [(9, "a b")]
+    docs = spark.createDataFrame([(i, t, "n") for i, t in rows], "doc_id long, text string, stays string").repartition(4)
+    for kept in (simhash.keep_one(docs), near_copies.keep_one(docs), near_copies.keep_one(docs, among=simhash.near_duplicates(docs))):
+        got = sorted(map(repr, collected(kept)))
+        assert kept.columns == docs.columns and len(got) == len(set(got)) and {repr((7, "x y z")), repr((8, None)), repr((9, "a b"))} <= set(got)
+        assert sum("'one" in g for g in got) in (1, 2)
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(k + 1, k) for k in range(200)] + [(1001, 1000), (1003, 1002), (1003, 1001)]
     random.Random(1).shuffle(edges)
