@@ -26,8 +26,12 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of equal or nearly equal fingerprints."""
-    return simhash.keep_one(docs.select(*COLUMNS))
+    """Keep one document of each group of equal or nearly equal fingerprints, then of near copies (five-word shingles, Jaccard similarity 0.8 or more).
+
+    Both marks come first; texts move once.
+    """
+    docs = docs.select(*COLUMNS)
+    return near_copies.keep_one(docs, among=simhash.near_duplicates(docs))
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +39,6 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.keep_clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies: five-word shingles, Jaccard similarity 0.8 or more."""
-    return near_copies.keep_one(docs.select(*COLUMNS))
-
-
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document."""
     return bpe.encode(docs, tokenizer("word_bpe_49k.json"))
@@ -50,7 +49,6 @@ STAGES = [
     ("line dedup", cut_lines),
     ("simhash near-dedup", keep_one_of_each),
     ("benchmark decontamination", keep_clean),
-    ("near copies", drop_near_copies),
     ("bpe encoding", encode),
 ]
 
