@@ -23,7 +23,6 @@ An empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.suffix_array import equal_runs, suffix_array
-from tallyward.llm.text import mixed, ship, stored, texts_of
+from tallyward.llm.text import mixed, prefix_sums, ship, span_hashes, stored, texts_of
 
 LENGTH = 50  # bytes of a string that is removed
 GRAM = 20  # bytes under an anchor's hash
 SPAN = LENGTH - GRAM + 1  # grams in a string
 PACK_BYTES = 4 << 20
-BUCKET_BYTES = 4 << 20  # of anchors that one task compares
+BUCKET_BYTES = 1 << 20  # of anchors that one task compares
 BLOCK_BYTES = 2 << 20  # of segments under one suffix array
 ALONE = 255  # stands for the place of an anchor in a segment that is a single string
 HOT = 64  # documents that share an anchor, above which its segments are cut into strings
@@ -63,16 +62,14 @@ def pack(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[int, b
     return number, zstandard.ZstdCompressor(level=3).compress(raw), ids[order].tobytes() + names
 
 
-def unpack(blob: bytes) -> Iterator[tuple[int, np.ndarray]]:
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, bytes and offsets of a pack's documents."""
     import zstandard
 
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     ids, sizes = np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.int64, n, 8 + 8 * n)
-    at = 8 + 16 * n
-    for i, size in zip(ids.tolist(), sizes.tolist()):
-        yield i, np.frombuffer(raw, np.uint8, size, at)
-        at += size
+    return ids, np.frombuffer(raw, np.uint8, -1, 8 + 16 * n), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,26 +127,46 @@ def _leftmost(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def anchors(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors, and the first and last start of the strings that each is the anchor of."""
+def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Document, place and hash of the anchors, and the first and last start of the strings that each is the anchor of.
+
+    ``data`` holds the documents one behind the other; strings do not cross their bounds, so neither do anchors.
+    """
     parts = []
-    for lo in range(0, max(0, len(text) - LENGTH + 1), PART):
-        part = text[lo : lo + PART + LENGTH - 1]
+    room = np.maximum(np.diff(offsets) - LENGTH + 1, 0)  # strings of each document
+    marks = np.zeros(int(offsets[-1]) + 1, np.int32)
+    np.add.at(marks, offsets[:-1], room > 0)
+    np.add.at(marks, offsets[:-1] + room, -(room > 0).astype(np.int32))
+    valid = np.cumsum(marks)[:-1] > 0
+    for lo in range(0, max(0, len(data) - LENGTH + 1), PART):
+        part = data[lo : lo + PART + LENGTH - 1]
         count = len(part) - GRAM + 1
         rows = np.lib.stride_tricks.as_strided(part, (len(part) - 7, 8), (1, 1))
         words = np.ascontiguousarray(rows).view(np.uint64).ravel()
         h = np.zeros(count, np.uint64)
         for k in sorted({*range(0, GRAM - 7, 8), GRAM - 8}):
-            h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + count])
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h += words[k : k + count]
+            h ^= h >> np.uint64(32)
+        h *= np.uint64(0xC4CEB9FE1A85EC53)
+        h ^= h >> np.uint64(29)
         owner = _leftmost(h, SPAN)
-        start = np.flatnonzero(np.diff(owner, prepend=-1))  # places of leftmost minima never fall
-        parts.append((owner[start] + lo, h[owner[start]], start + lo, np.append(start[1:], len(owner)) - 1 + lo))
+        own = valid[lo : lo + len(owner)]
+        fresh = own.copy()
+        fresh[1:] &= (owner[1:] != owner[:-1]) | ~own[:-1]
+        final = own.copy()
+        final[:-1] &= (owner[1:] != owner[:-1]) | ~own[1:]
+        start = np.flatnonzero(fresh)  # documents of one string or more are apart: LENGTH - 1 starts between them are none
+        parts.append((owner[start].astype(np.int64) + lo, h[owner[start]], start + lo, np.flatnonzero(final) + lo))
     if not parts:
         none = np.zeros(0, np.int64)
-        return none, np.zeros(0, np.uint64), none, none
+        return none, none, np.zeros(0, np.uint64), none, none
     at, h, first, last = (np.concatenate(c) for c in zip(*parts))
-    fresh = np.flatnonzero(np.diff(at, prepend=-1))  # an anchor on both sides of a cut is one anchor
-    return at[fresh], h[fresh], first[fresh], last[np.append(fresh[1:], len(at)) - 1]
+    fresh = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(first, prepend=-LENGTH) >= LENGTH + SPAN))  # an anchor on both sides of a cut is one
+    fresh = fresh if len(at) else np.zeros(0, np.int64)
+    last = last[np.append(fresh[1:], len(at)) - 1] if len(at) else last
+    at, h, first = at[fresh], h[fresh], first[fresh]
+    return np.searchsorted(offsets, first, "right") - 1, at, h, first, last
 
 
 def keys(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,28 +174,31 @@ def keys(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)), (h >> np.uint64(8)) & np.uint64((1 << 40) - 1)
 
 
+def joined(bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """One even number for bucket and key, whatever the number of buckets."""
+    return mixed(bucket * np.uint64(0x9E3779B97F4A7C15) ^ key) & ~np.uint64(1)
+
+
 def _pack_anchors(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per pack and bucket the anchors, five bytes each, and the number of documents that hold each (255 at most), a byte."""
         for batch in batches:
             for number, blob in zip(batch.column("pack").to_pylist(), batch.column("blob").to_pylist()):
-                last, held, found = None, [], []
-                for i, text in unpack(blob):
-                    if i != last and held:
-                        found.append(np.unique(np.concatenate(held)))
-                        held = []
-                    last = i
-                    held.append(anchors(text)[1])
-                found.append(np.unique(np.concatenate(held)))
-                bucket, key = keys(np.concatenate(found), buckets)
-                whole, n = np.unique(bucket << np.uint64(40) | key, return_counts=True)
-                cuts = np.searchsorted(whole >> np.uint64(40), np.arange(buckets + 1).astype(np.uint64))
-                short, n = whole.view(np.uint8).reshape(-1, 8)[:, :5], np.minimum(n, 255).astype(np.uint8)
-                some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-                blobs = [short[cuts[b] : cuts[b + 1]].tobytes() + n[cuts[b] : cuts[b + 1]].tobytes() for b in some]
+                ids, data, offsets = unpack(blob)
+                doc, _, h, _, _ = anchors(data, offsets)
+                document = np.cumsum(np.diff(ids, prepend=ids[:1]) != 0)[doc]  # rows with one id are one document
+                order = np.lexsort((document, h))
+                h, document = h[order], document[order]
+                single = np.ones(len(h), bool)
+                single[1:] = (h[1:] != h[:-1]) | (document[1:] != document[:-1])
+                whole, n = np.unique(h[single], return_counts=True)
+                bucket, key = keys(whole, buckets)  # hashes rise, so buckets do
+                cuts = np.concatenate([np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1)), [len(bucket)]])
+                short, n = key.view(np.uint8).reshape(-1, 8)[:, :5], np.minimum(n, 255).astype(np.uint8)
+                blobs = [short[a:b].tobytes() + n[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+                some = bucket[cuts[:-1]].astype(np.int64)
                 yield pa.record_batch(
-                    [pa.array(some, pa.int64()), pa.array([number] * len(some), pa.int64()), pa.array(blobs, pa.binary())],
-                    ["bucket", "pack", "blob"],
+                    [pa.array(some), pa.array([number] * len(some), pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "pack", "blob"]
                 )
 
     return run
@@ -193,10 +213,10 @@ def _shared_anchors(group: pd.DataFrame) -> pd.DataFrame:
     for lo, n, blob in zip(bounds, sizes, group["blob"]):
         wide[lo : lo + n, :5] = np.frombuffer(blob, np.uint8, 5 * n).reshape(n, 5)
         counts[lo : lo + n] = np.frombuffer(blob, np.uint8, n, 5 * n)
-    every = wide.view(np.uint64).ravel() | np.uint64(int(group["bucket"].iloc[0]) << 40)
+    every = joined(np.uint64(int(group["bucket"].iloc[0])), wide.view(np.uint64).ravel())
     names, where = np.unique(every, return_inverse=True)
     docs = np.bincount(where, counts, minlength=len(names))[where]
-    marked = every << np.uint64(1) | (docs > HOT).astype(np.uint64)
+    marked = every | (docs > HOT).astype(np.uint64)
     blobs = [marked[a:b][docs[a:b] >= 2] for a, b in zip(bounds[:-1], bounds[1:])]
     out = pd.DataFrame({"pack": group["pack"].to_numpy(), "n": [len(b) for b in blobs], "blob": [b.tobytes() for b in blobs]})
     return out[out["n"] > 0]
@@ -211,36 +231,41 @@ class Shared:
     def __init__(self, side: pd.DataFrame, buckets: int):
         parts = [np.frombuffer(b, np.uint64) for b in side.loc[side["kind"] == SHARED, "blob"]]
         every = np.sort(np.concatenate([*parts, np.zeros(0, np.uint64)]))
-        self.known, self.hot, self.buckets = every >> np.uint64(1), (every & np.uint64(1)).astype(bool), buckets
-        self.copies = set(side.loc[side["kind"] == COPY, "place"])
+        self.known, self.hot, self.buckets = every & ~np.uint64(1), (every & np.uint64(1)).astype(bool), buckets
+        self.copies = side.loc[side["kind"] == COPY, "place"].to_numpy(np.int64)
 
-    def segments(self, text: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
-        """(hash to deal by, start, place of the anchor, bytes): the strings of LENGTH bytes of each shared anchor, in one piece.
+    def segments(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Document, hash to deal by, name, first byte, end and place of the anchor of the strings of LENGTH bytes of each shared anchor, in one piece.
 
-        Around a hot anchor each string is a segment of its own.
+        Around a hot anchor each string is a segment of its own.  Copies have none.
         """
-        at, h, first, last = anchors(text)
-        if not len(at) or not len(self.known):
-            return
-        bucket, key = keys(h, self.buckets)
-        key |= bucket << np.uint64(40)
-        k = np.minimum(np.searchsorted(self.known, key), len(self.known) - 1)
-        held = np.flatnonzero(self.known[k] == key)
-        raw = text.tobytes()
-        for name, place, lo, hi, hot in zip(*(c[held].tolist() for c in (key, at, first, last)), self.hot[k[held]].tolist()):
-            if not hot:
-                yield name, lo, place - lo, raw[lo : hi + LENGTH]
-            else:
-                for s in range(lo, hi + 1):
-                    segment = raw[s : s + LENGTH]
-                    yield name_of(segment), s, ALONE, segment
+        doc, at, h, first, last = anchors(data, offsets)
+        key = joined(*keys(h, self.buckets))
+        if len(self.known) and len(doc):
+            k = np.minimum(np.searchsorted(self.known, key), len(self.known) - 1)
+            copied = np.zeros(len(offsets) - 1, bool)
+            copied[self.copies] = True
+            held = np.flatnonzero((self.known[k] == key) & ~copied[doc])
+            hot = self.hot[k[held]]
+        else:
+            held, hot = np.zeros(0, np.int64), np.zeros(0, bool)
+        doc, at, key, first, last = doc[held], at[held], key[held], first[held], last[held]
+        times = np.where(hot, last - first + 1, 1)
+        piece = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        doc, at, key, first, last, hot = (np.repeat(c, times) for c in (doc, at, key, first, last, hot))
+        lo = first + piece
+        hi = np.where(hot, lo, last) + LENGTH
+        name = span_hashes(prefix_sums(data), lo, hi)
+        return doc, np.where(hot, name, key >> np.uint64(1)), name, lo, hi, np.where(hot, ALONE, at - lo).astype(np.uint8)
 
 
 SHARED, NEWS, COPY = 0, 1, 2  # kinds of what a pack is told
 
 
-def name_of(segment: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(segment, digest_size=8).digest(), "big")
+def gathered(data: np.ndarray, lo: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of many spans, one behind the other."""
+    at = np.arange(sizes.sum()) + np.repeat(lo - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+    return data[at]
 
 
 def _pack_segments(buckets: int, blocks: int):
@@ -248,20 +273,20 @@ def _pack_segments(buckets: int, blocks: int):
         """Per pack and block the different segments with the smallest id that has them."""
         import zstandard
 
-        out: dict[int, dict[bytes, tuple[int, int]]] = {}
-        if len(packs) and len(side):
-            shared, seen = Shared(side, buckets), set()
-            for place, (i, text) in enumerate(unpack(packs["blob"].iloc[0])):
-                for key, _, anchor, segment in shared.segments(text) if place not in shared.copies else ():
-                    if segment not in seen:  # ids ascend: the first to have it is the smallest
-                        seen.add(segment)
-                        out.setdefault(key % blocks, {})[segment] = (anchor, i)
         rows = []
-        for block, held in out.items():
-            sizes, places = np.fromiter(map(len, held), np.uint8), np.array([p for p, _ in held.values()], np.uint8)
-            ids = np.array([i for _, i in held.values()], np.int64)
-            data = zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + places.tobytes() + ids.tobytes() + b"".join(held))
-            rows.append((block, packs["pack"].iloc[0], len(held), data))
+        if len(packs) and len(side):
+            ids, data, offsets = unpack(packs["blob"].iloc[0])
+            doc, deal, name, lo, hi, place = Shared(side, buckets).segments(data, offsets)
+            _, first = np.unique(name, return_index=True)  # ids ascend: the first to have it is the smallest
+            block = (deal[first] % np.uint64(blocks)).astype(np.int64)
+            order = np.argsort(block, kind="stable")
+            first, block = first[order], block[order]
+            cuts = np.concatenate([np.flatnonzero(np.diff(block, prepend=-1)), [len(block)]])
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                own = first[a:b]
+                sizes = hi[own] - lo[own]
+                raw = ids[doc[own]].tobytes() + sizes.astype(np.uint8).tobytes() + place[own].tobytes() + gathered(data, lo[own], sizes).tobytes()
+                rows.append((int(block[a]), packs["pack"].iloc[0], len(own), zstandard.ZstdCompressor(level=3).compress(raw)))
         return pd.DataFrame(rows, columns=["block", "pack", "n", "data"])
 
     return run
@@ -271,41 +296,44 @@ def _first_documents(group: pd.DataFrame) -> pd.DataFrame:
     """The block's suffix array; per pack what it has to know: (name, smallest id, strings that start in a smaller id) of its segments."""
     import zstandard
 
-    firsts: dict[bytes, int] = {}
-    anchor_of: dict[bytes, bytes] = {}
-    mine = []
-    for n, data in zip(group["n"], group["data"]):
-        raw = zstandard.ZstdDecompressor().decompress(data)
-        at, own = 10 * n, []
-        ids = np.frombuffer(raw, np.int64, n, 2 * n) if not (2 * n) % 8 else np.frombuffer(raw[2 * n : 10 * n], np.int64)
-        for size, place, i in zip(raw[:n], raw[n : 2 * n], ids.tolist()):
-            segment = raw[at : at + size]
-            at += size
-            own.append((segment, i))
-            if i < firsts.get(segment, NO_ID + 1):
-                firsts[segment] = i
-                anchor_of[segment] = segment if place == ALONE else segment[place : place + GRAM]
-        mine.append(own)
+    counts = group["n"].to_numpy(np.int64)
+    raws = [zstandard.ZstdDecompressor().decompress(d) for d in group["data"]]
+    ids = np.concatenate([np.frombuffer(r, np.int64, n) for r, n in zip(raws, counts)])
+    sizes = np.concatenate([np.frombuffer(r, np.uint8, n, 8 * n) for r, n in zip(raws, counts)]).astype(np.int64)
+    places = np.concatenate([np.frombuffer(r, np.uint8, n, 9 * n) for r, n in zip(raws, counts)]).astype(np.int64)
+    data = np.concatenate([np.frombuffer(r, np.uint8, -1, 10 * n) for r, n in zip(raws, counts)])
+    del raws
+    lo = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    sums = prefix_sums(data)
+    name = span_hashes(sums, lo, lo + sizes)
+    _, one, which = np.unique(name, return_index=True, return_inverse=True)
+    first = np.full(len(one), NO_ID)
+    np.minimum.at(first, which, ids)
+    masks = np.zeros(len(one), np.uint64)
     # A segment alone with its anchor has no string in common with any other; so has one that is a single string.
-    company = Counter(anchor_of.values())
-    told = {segment: (first, 0) for segment, first in firsts.items()}
-    firsts = {segment: first for segment, first in firsts.items() if company[anchor_of[segment]] > 1}
-    if firsts:
-        told.update(_sorted_out(firsts))
+    anchor = lo[one] + places[one]
+    alone = places[one] == ALONE
+    anchor_name = np.where(alone, name[one], span_hashes(sums, np.where(alone, lo[one], anchor), np.where(alone, lo[one], anchor + GRAM)))
+    _, kind, company = np.unique(anchor_name, return_inverse=True, return_counts=True)
+    some = np.flatnonzero((company[kind] > 1) & ~alone)
+    if len(some):
+        masks[some] = _sorted_out(data, lo[one[some]], sizes[one[some]], first[some])
     rows = []
-    for number, own in zip(group["pack"], mine):
-        news = [(name_of(s), *told[s]) for s, i in own if told[s][0] < i or told[s][1]]
-        if news:
-            rows.append((number, len(news), b"".join(np.array(c, t).tobytes() for c, t in zip(zip(*news), (np.uint64, np.int64, np.uint64)))))
+    known, mask = first[which], masks[which]
+    told = (known < ids) | (mask != 0)
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    for number, a, b in zip(group["pack"], bounds[:-1], bounds[1:]):
+        own = np.flatnonzero(told[a:b]) + a
+        if len(own):
+            rows.append((number, len(own), name[own].tobytes() + known[own].tobytes() + mask[own].tobytes()))
     return pd.DataFrame(rows, columns=["pack", "n", "blob"])
 
 
-def _sorted_out(firsts: dict[bytes, int]) -> dict[bytes, tuple[int, int]]:
-    """Per segment its smallest id and the strings in it (as bits) that start in a document with a smaller one."""
-    first = np.fromiter(firsts.values(), np.int64)
-    sizes = np.fromiter(map(len, firsts), np.int64)
-    text = np.frombuffer(bytes([SEPARATOR]).join(firsts) + bytes([SEPARATOR]), np.uint8)
+def _sorted_out(data: np.ndarray, lo: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per segment (its smallest id in ``first``) the strings in it, as bits, that start in a document with a smaller one."""
     begin = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
+    text = np.full(int(sizes.sum()) + len(sizes), SEPARATOR, np.uint8)
+    text[np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)), sizes)] = gathered(data, lo, sizes)
     strings = sizes - LENGTH + 1
     owner = np.full(len(text), -1, np.int64)
     number = np.repeat(np.arange(len(sizes)), strings)
@@ -320,7 +348,7 @@ def _sorted_out(firsts: dict[bytes, int]) -> dict[bytes, tuple[int, int]]:
     early = least < first[own]
     masks = np.zeros(len(sizes), np.uint64)
     np.bitwise_or.at(masks, own[early], np.uint64(1) << (order[early] - begin[own[early]]).astype(np.uint64))
-    return dict(zip(firsts, zip(first.tolist(), masks.tolist())))
+    return masks
 
 
 # Removal
@@ -328,39 +356,48 @@ def _sorted_out(firsts: dict[bytes, int]) -> dict[bytes, tuple[int, int]]:
 
 def _removal(digest: bool, buckets: int):
     def run(packs: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"]
+        if not len(packs):
+            return pd.DataFrame([], columns=names)
         shared = Shared(side, buckets)
-        news: dict[int, tuple[int, int]] = {}
-        for blob in side.loc[side["kind"] == NEWS, "blob"]:
-            n = len(blob) // 24
-            columns = [np.frombuffer(blob, t, n, 8 * n * k).tolist() for k, t in enumerate((np.uint64, np.int64, np.uint64))]
-            news.update(zip(columns[0], zip(columns[1], columns[2])))
-        local: dict[bytes, tuple[int, int]] = {}  # segment: smallest id that has it, strings of that one which start earlier
-        rows = []
-        for place, (i, text) in enumerate(unpack(packs["blob"].iloc[0]) if len(packs) else ()):
-            strings = np.zeros(len(text) + 1, np.int64)
-            if place in shared.copies:
-                strings[: max(0, len(text) - LENGTH + 1)] = 1
-            for _, lo, _, segment in shared.segments(text) if place not in shared.copies else ():
-                known = local.get(segment)
-                if known is None:
-                    known = local[segment] = news.get(name_of(segment), (i, 0))
-                first, mask = known
-                size = len(segment) - LENGTH + 1
-                if first < i:
-                    strings[lo : lo + size] = 1
-                elif mask:
-                    for j in range(size):
-                        if mask >> j & 1:
-                            strings[lo + j] = 1
-            at = np.flatnonzero(strings)
-            change = np.zeros(len(text) + 1, np.int64)
-            change[at] += 1
+        ids, data, offsets = unpack(packs["blob"].iloc[0])
+        doc, _, name, lo, hi, _ = shared.segments(data, offsets)
+        news = [np.frombuffer(b, np.uint64).reshape(3, -1) for b in side.loc[side["kind"] == NEWS, "blob"]]
+        news = np.concatenate([*news, np.zeros((3, 0), np.uint64)], axis=1)
+        news = news[:, np.argsort(news[0], kind="stable")]
+        # Who has a segment first: the pack itself, unless it was told of someone earlier.
+        _, one, which = np.unique(name, return_index=True, return_inverse=True)
+        first, mask = ids[doc[one]].copy(), np.zeros(len(one), np.uint64)
+        if news.shape[1] and len(one):
+            k = np.minimum(np.searchsorted(news[0], name[one]), news.shape[1] - 1)
+            told = news[0][k] == name[one]
+            first[told], mask[told] = news[1][k[told]].view(np.int64), news[2][k[told]]
+        change = np.zeros(len(data) + 1, np.int32)  # bytes that go: the strings that start earlier, LENGTH bytes each
+        late = first[which] < ids[doc]
+        np.add.at(change, lo[late], 1)
+        np.add.at(change, hi[late], -1)
+        some = np.flatnonzero(~late & (mask[which] != 0))
+        own = mask[which[some]]
+        for j in range(SPAN):
+            at = lo[some[(own >> np.uint64(j)) & np.uint64(1) != 0]] + j
+            np.add.at(change, at, 1)
             np.add.at(change, at + LENGTH, -1)
-            gone = np.cumsum(change[:-1]) > 0
-            kept = text[~gone].tobytes()
-            spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-            rows += [(i, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest() if digest else kept)] * len(packs)
-        return pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"])
+        whole = shared.copies[np.diff(offsets)[shared.copies] >= LENGTH]
+        np.add.at(change, offsets[whole], 1)
+        np.add.at(change, offsets[whole + 1], -1)
+        gone = np.cumsum(change[:-1]) > 0
+        begins = gone.copy()
+        begins[1:] &= ~gone[:-1]
+        begins[offsets[:-1][np.diff(offsets) > 0]] = gone[offsets[:-1][np.diff(offsets) > 0]]
+        removed, spans = (np.concatenate([[0], np.cumsum(c)]) for c in (gone, begins))
+        kept, stays = [], np.concatenate([[0], np.cumsum(~gone)])
+        left = data[~gone].tobytes()
+        for a, b in zip(stays[offsets[:-1]].tolist(), stays[offsets[1:]].tolist()):
+            kept.append(hashlib.sha256(left[a:b]).hexdigest() if digest else left[a:b])
+        between = lambda c: c[offsets[1:]] - c[offsets[:-1]]
+        columns = (ids, np.diff(offsets), between(removed), between(spans), kept)
+        out = pd.DataFrame(dict(zip(names, columns)))
+        return pd.concat([out] * len(packs)) if len(packs) > 1 else out
 
     return run
 

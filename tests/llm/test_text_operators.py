@@ -8,6 +8,8 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -318,6 +320,28 @@ def test_suffix_dedup(spark, documents, hot, monkeypatch):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == want
 
 
+@pytest.mark.parametrize("buckets", [4, (1 << 24) + 3, (1 << 31) - 1])
+def test_anchors_are_recognised_at_any_number_of_buckets(buckets):
+    rng = np.random.default_rng(1)
+    text = rng.integers(97, 123, 5000).astype(np.uint8)
+    others = [rng.integers(97, 123, n).astype(np.uint8) for n in (700, 0, 49, 50)]
+    packs = []
+    for number, texts in enumerate(([text, *others[:2]], [*others[2:], text[100:4000]])):
+        ids, offsets = np.arange(len(texts)) + 10 * number, np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        packs.append(suffix_dedup.pack(ids, np.concatenate(texts), offsets)[:2])
+    batch = pa.record_batch([pa.array([n for n, _ in packs]), pa.array([b for _, b in packs], pa.binary())], ["pack", "blob"])
+    held = pd.concat([b.to_pandas() for b in suffix_dedup._pack_anchors(buckets)(iter([batch]))])
+    told = pd.concat([suffix_dedup._shared_anchors(g) for _, g in held.groupby("bucket")])
+    told["kind"], told["place"] = suffix_dedup.SHARED, None
+    found = []
+    for number, blob in packs:
+        ids, data, offsets = suffix_dedup.unpack(blob)
+        doc, _, name, lo, hi, _ = suffix_dedup.Shared(told[told["pack"] == number], buckets).segments(data, offsets)
+        found.append({data[a:b].tobytes() for a, b in zip(lo, hi)})
+        assert all(offsets[d] <= a and b <= offsets[d + 1] for d, a, b in zip(doc, lo, hi))
+    assert found[0] & found[1] and sum(map(len, found[0] & found[1])) >= 3900  # every string of the passage is in a segment of both
+
+
 def test_empty_tables(spark, documents):
     none = documents.limit(0)
     items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
