@@ -8,6 +8,7 @@ step and nothing is computed twice.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyward.contracts import CONTRACTS
 from tallyward.functions import table_functions
-from tallyward.functions.expressions import month_of
-from tallyward.operators import detectors, drift, evidence, forecasting, forest, marts, quality, rates, reconcile, validation
+from tallyward.operators import detectors, drift, evidence, forecasting, forest, incremental, marts, quality, rates, reconcile, validation
 from tallyward.sources import tables
 from tallyward.streaming import landing
 
@@ -24,6 +24,7 @@ GOLD = ("daily_revenue", "margin", "refunds", "budget_variance")
 RECONCILED = ("recon_gl_pos", "recon_gl_pos_monthly", "recon_exceptions")
 SNAPSHOT = ("pos_sales", "refunds", "gl_journal", "budget", "stores", "products", "fx_daily")
 FACTS = ("pos_sales", "refunds")  # partitioned by month
+MASTERS = ("stores", "products", "cashiers")  # what facts refer to
 CHECKED_MONTHS = 6
 # The planted anomalies of the detectors in an answer key, and the column that names their entity.
 PLANTED = {"fraud_scores": ("A1_no_receipt_refunds", "cashier_id"), "margin_alerts": ("A2_discount_creep", "store_id")}
@@ -64,11 +65,15 @@ class Workspace:
     def publish(self, df: DataFrame, table: str, job: str, layer: str = "gold", partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Replace a table and record which tables the step has read for it."""
         out = tables.replace_table(df, self.name(layer, table), partition_by)
+        self.trace(table, job, layer)
+        return out
+
+    def trace(self, table: str, job: str, layer: str = "gold") -> None:
+        """Record the tables that the step has read for ``table``."""
         edges = [(self.full(layer, table), source, [job]) for source in dict.fromkeys(self.reads)]
         if edges:
             seen = self.spark.createDataFrame(edges, "target string, source string, job_ids array<string>")
             tables.append_history(seen, self.name("ops", "lineage_edges"), "seen_at")
-        return out
 
     def history(self, table: str) -> DataFrame | None:
         return tables.table_or_none(self.spark, self.name("ops", table))
@@ -79,7 +84,7 @@ class Workspace:
 
     def store(self, df: DataFrame, step: str) -> DataFrame:
         """Write an intermediate result below the workspace and read it back."""
-        path = f"{self.root}/steps/{step}"
+        path = f"{self.root}/steps/{step}"  # a step never reads its own earlier result
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
@@ -95,29 +100,136 @@ def build_silver(ws: Workspace) -> DataFrame:
     job = f"silver-{uuid4().hex}"
     built: dict[str, DataFrame] = {}
     fx, accounting = None, None
-    for source, contract in CONTRACTS.items():
-        ws.begin()
-        bronze = ws.raw(source)
-        audited = ws.store(validation.audit(bronze, contract, built, fx).audited, f"audited_{source}")
-        parts = validation.split(audited, contract)
-        accepted, by = parts.accepted, ()
-        if source in FACTS:
-            accepted, by = accepted.withColumn("month", month_of("business_date")), ("month",)
-        built[source] = ws.publish(accepted, source, job, "silver", by)
-        held = parts.rejected.withColumn("_quarantined_at", F.current_timestamp())
-        quarantine = ws.name("silver", "quarantine")
-        tables.replace_slice(held, quarantine, "source", source)
-        rejected = ws.spark.table(quarantine).where(F.col("source") == source)
-        row = validation.account(source, bronze, audited, built[source], rejected)
-        validation.require_balanced(row)
+    for source in CONTRACTS:
+        row, built[source] = _rebuild(ws, source, built, fx, job)
         accounting = row if accounting is None else accounting.unionByName(row)
         if source == "fx_rates":
-            day = F.expr("try_cast(business_date as date)")  # one impossible date must not end the job
-            first, until = ws.raw("pos_sales").agg(F.min(day), F.max(day)).first()
-            fx = ws.publish(rates.daily_rates(built[source], first, until), "fx_daily", job, "silver")
+            fx = ws.publish(rates.daily_rates(built[source], *_sold_span(ws.raw("pos_sales"))), "fx_daily", job, "silver")
+    _mark_built(ws, {source: _landed(ws, source) for source in CONTRACTS}, job)
     return accounting
 
 
+def _sold_span(sales: DataFrame) -> tuple:
+    day = F.expr("try_cast(business_date as date)")  # one impossible date must not end the job
+    return tuple(sales.agg(F.min(day), F.max(day)).first())
+
+
+def _rebuild(ws: Workspace, source: str, built: dict[str, DataFrame], fx: DataFrame | None, job: str) -> tuple[DataFrame, DataFrame]:
+    """One silver table and its quarantine from all of its raw rows; returns the accounting and the table."""
+    contract = CONTRACTS[source]
+    ws.begin()
+    bronze = ws.raw(source)
+    audited = ws.store(validation.audit(bronze, contract, built, fx).audited, f"audited_{source}")
+    parts = validation.split(audited, contract)
+    accepted, by = parts.accepted, ()
+    if source in FACTS:
+        accepted, by = incremental.by_month(accepted), (incremental.MONTH,)
+    table = ws.publish(accepted, source, job, "silver", by)
+    held = parts.rejected.withColumn("_quarantined_at", F.current_timestamp())
+    quarantine = ws.name("silver", "quarantine")
+    tables.replace_slice(held, quarantine, "source", source)
+    rejected = ws.spark.table(quarantine).where(F.col("source") == source)
+    row = validation.account(source, bronze, audited, table, rejected)
+    validation.require_balanced(row)
+    return row, table
+
+
+def _landed(ws: Workspace, source: str) -> set[int]:
+    """The numbers of the batches landed so far."""
+    return {r["_batch"] for r in ws.raw(source).select("_batch").distinct().collect()}
+
+
+def _mark_built(ws: Workspace, batches: dict[str, set[int]], job: str) -> None:
+    """Remember which batches silver holds; written last, so an update that died is done again."""
+    rows = [(source, batch, job) for source, held in batches.items() for batch in sorted(held)]
+    if rows:
+        marks = ws.spark.createDataFrame(rows, "source string, batch int, job string")
+        tables.append_history(marks, ws.name("ops", "silver_batches"), "built_at")
+
+
+def update_silver(ws: Workspace) -> DataFrame:
+    """Bring silver up to the batches landed since; returns the accounting of the rows audited, one row per source that was worked on.
+
+    Sales and refunds are merged by the months that new rows touch.  Rows held back for an unknown sale or a missing rate are judged again when sales or rates of
+    new days came.  The
+    other sources are small and rebuilt where they changed.  Everything is rebuilt if there is nothing to build on, or if what old facts were judged by changed: master
+    tables, or a rate of a day that silver covers already.  Running it again after a failure gives the same tables.
+    """
+    done = ws.history("silver_batches")
+    if done is None:
+        return build_silver(ws)
+    known: dict[str, set[int]] = {}
+    for r in done.select("source", "batch").distinct().collect():  # a row per source and batch
+        known.setdefault(r["source"], set()).add(r["batch"])
+    fresh = {source: _landed(ws, source) - known.get(source, set()) for source in CONTRACTS}
+    fresh = {source: batches for source, batches in fresh.items() if batches}
+    if any(source in MASTERS for source in fresh):
+        return build_silver(ws)
+    job = f"silver-{uuid4().hex}"
+    built = {source: ws.table("silver", source) for source in CONTRACTS}
+    accounting: list[DataFrame] = []
+    fx, grew = ws.table("silver", "fx_daily"), False
+    if "fx_rates" in fresh or "pos_sales" in fresh:
+        if "fx_rates" in fresh:
+            row, built["fx_rates"] = _rebuild(ws, "fx_rates", built, None, job)
+            accounting.append(row)
+        first, until = fx.agg(F.min("rate_date"), F.max("rate_date")).first()
+        ws.begin()
+        sold = _sold_span(_batches_of(ws, "pos_sales", fresh.get("pos_sales", set())))
+        span = min([first, *sold[:1]] if sold[0] else [first]), max([until, *sold[1:]] if sold[1] else [until])
+        daily = ws.store(rates.daily_rates(built["fx_rates"], *span), "fx_daily")
+        covered = daily.where(F.col("rate_date").between(first, until))
+        if not quality.changed_tables(quality.fingerprint(fx, "fx"), quality.fingerprint(covered.select(*fx.columns), "fx")).isEmpty():
+            return build_silver(ws)
+        grew = covered.count() < daily.count()
+        fx = ws.publish(daily, "fx_daily", job, "silver")
+    for source in CONTRACTS:
+        if source in FACTS and (source in fresh or grew or set(fresh) & _fact_parents(source)):
+            accounting.append(_merge(ws, source, fresh.get(source, set()), built, fx, job, grew))
+            built[source] = ws.table("silver", source)
+        elif source in fresh and source not in FACTS and source != "fx_rates":
+            accounting.append(_rebuild(ws, source, built, fx, job)[0])
+    _mark_built(ws, fresh, job)
+    if not accounting:
+        return ws.spark.createDataFrame([], "source string, bronze long, silver long, quarantined long, duplicates long, balanced boolean")
+    return reduce(DataFrame.unionByName, accounting)
+
+
+def _fact_parents(source: str) -> set[str]:
+    return {r.parent for r in CONTRACTS[source].references} & set(FACTS)
+
+
+def _batches_of(ws: Workspace, source: str, batches: set[int]) -> DataFrame:
+    return ws.raw(source).where(F.col("_batch").isin(sorted(batches)))
+
+
+def _merge(ws: Workspace, source: str, batches: set[int], built: dict[str, DataFrame], fx: DataFrame, job: str, rates_grew: bool) -> DataFrame:
+    """Audit the new rows of a fact and put them into the months they touch."""
+    contract = CONTRACTS[source]
+    ws.begin()
+    raw, fresh = ws.raw(source), _batches_of(ws, source, batches)
+    quarantine = ws.name("silver", "quarantine")
+    held = ws.spark.table(quarantine).where(F.col("source") == source)
+    waiting = ws.store(incremental.waiting_keys(held, contract, tuple(_fact_parents(source)), rates_grew), f"waiting_{source}")
+    rows = fresh
+    if not waiting.isEmpty():  # else older raw rows are not read
+        older = raw.where(~F.col("_batch").isin(sorted(batches)))
+        rows = fresh.unionByName(incremental.held_again(older, waiting, contract))
+    rows = ws.store(rows, f"fresh_{source}")
+    audited = ws.store(validation.audit(rows, contract, built, fx).audited, f"audited_{source}")
+    parts = validation.split(audited, contract)
+    row = validation.account(source, rows, audited, parts.accepted, parts.rejected)
+    validation.require_balanced(row)
+    accepted = ws.store(incremental.by_month(parts.accepted), f"accepted_{source}")
+    months, merged = incremental.merged(ws.table("silver", source), accepted, contract)
+    tables.replace_partitions(ws.store(merged, f"merged_{source}"), ws.name("silver", source), incremental.MONTH, months)
+    kept = incremental.still_held(held, fresh, waiting).drop("source")
+    now_held = kept.unionByName(parts.rejected.withColumn("_quarantined_at", F.current_timestamp()))
+    tables.replace_slice(ws.store(now_held, f"held_{source}"), quarantine, "source", source)
+    ws.trace(source, job, "silver")
+    return row
+
+
 def silver_tables(ws: Workspace) -> dict[str, DataFrame]:
     return {t: ws.read("silver", t) for t in (*SNAPSHOT, "quarantine")}
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ def replace_slice(df: DataFrame, name: str, column: str, value: str) -> None:
     """
     spark = df.sparkSession
     columns = [c for c in spark.table(name).columns if c != column]
-    view = f"slice_{column}_{value}"
+    view = f"slice_{uuid4().hex}"
     df.select(*columns).createOrReplaceTempView(view)
     try:
         spark.sql(
@@ -57,6 +59,27 @@ def replace_slice(df: DataFrame, name: str, column: str, value: str) -> None:
         spark.catalog.dropTempView(view)
 
 
+def replace_partitions(df: DataFrame, name: str, column: str, values: list[str]) -> None:
+    """Replace the rows of the named partition values by those of ``df``, which holds no others; a value without rows is emptied.
+
+    Other partitions' files are not touched.  ``df`` must not read the table itself.
+    """
+    spark = df.sparkSession
+    held = [r[column] for r in df.select(column).distinct().collect()]  # partition values
+    if set(held) - set(values):
+        raise ValueError(f"rows outside of the partitions to replace: {sorted(set(held) - set(values))}")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        if held:
+            df.select(*spark.table(name).columns).hint("rebalance", column).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+    for value in sorted(set(values) - set(held)):
+        replace_slice(df.where("false"), name, column, value)
+
+
 def describe_table(spark: SparkSession, name: str, properties: dict[str, str], comments: dict[str, str]) -> None:
     """Set table properties and comment the columns the table has."""
     listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
