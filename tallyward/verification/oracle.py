@@ -770,11 +770,11 @@ ORACLE["slice_overwrite"] = sql("""
 SELECT source, count(*) AS n FROM o_quarantine WHERE source = 'pos_sales' OR reasons LIKE '%ref:original_transaction_id%' GROUP BY source""")
 ORACLE["incremental_silver"] = ORACLE["silver_pos"]
 ORACLE["incremental_months"] = sql("""
-WITH moved AS (SELECT day FROM o_pos_valid WHERE day BETWEEN DATE '1997-03-01' AND DATE '1997-04-30'),
-touched AS (
-  SELECT strftime(day, '%Y-%m') AS month FROM moved UNION SELECT strftime(day - INTERVAL 40 DAY, '%Y-%m') FROM moved
-  UNION SELECT strftime(day, '%Y-%m') FROM o_pos_valid WHERE day >= DATE '2000-01-01')
-SELECT month, count(*) AS n, month IN (SELECT month FROM touched) AS rewritten FROM o_pos GROUP BY month""".replace("o_pos_valid", "o_pos"))
+SELECT month, count(*) FILTER (own) AS n, bool_or(NOT own OR chosen) AS rewritten
+FROM (SELECT chosen, own, CASE WHEN own THEN month ELSE strftime(day - INTERVAL 40 DAY, '%Y-%m') END AS month
+      FROM (SELECT *, unnest(CASE WHEN chosen AND day >= DATE '1995-03-01' THEN [true, false] ELSE [true] END) AS own
+            FROM (SELECT day, month, substr(transaction_id, 2)::BIGINT % 5000 = 1 AS chosen FROM o_pos)))
+GROUP BY month""")
 CTE["o_top"] = "SELECT * FROM o_recon ORDER BY abs(diff_c) DESC, store_id, day LIMIT 1"
 CTE["o_traced"] = f"""
 SELECT t.store_id, t.day::VARCHAR AS business_date, {eur("pos_c")} AS pos_net_eur,
