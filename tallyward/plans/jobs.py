@@ -230,6 +230,20 @@ def _merge(ws: Workspace, source: str, batches: set[int], built: dict[str, DataF
     return row
 
 
+def fingerprinted(ws: Workspace, layer: str, held: dict[str, DataFrame]) -> DataFrame:
+    """The snapshot of some tables of a layer; only files written since the last one are read.
+
+    A file counts as unchanged while its name, time and size are the same.
+    """
+    known = ws.history("file_fingerprints")
+    names = [f"{layer}.{t}" for t in held]
+    parts = [quality.file_fingerprints(df, f"{layer}.{t}", known) for t, df in held.items()]
+    parts = ws.store(reduce(DataFrame.unionByName, parts), f"files_{uuid4().hex}")
+    kept = parts if known is None else parts.unionByName(known.where(~F.col("table_name").isin(names)))
+    tables.replace_table(kept, ws.name("ops", "file_fingerprints"))
+    return quality.composed(parts, names).withColumn("table_name", F.substring_index("table_name", ".", -1))
+
+
 def silver_tables(ws: Workspace) -> dict[str, DataFrame]:
     return {t: ws.read("silver", t) for t in (*SNAPSHOT, "quarantine")}
 
@@ -243,7 +257,7 @@ def _record(ws: Workspace, results: DataFrame, run_id: str) -> DataFrame:
 
 def gate_silver(ws: Workspace, run_id: str) -> DataFrame:
     silver = silver_tables(ws)
-    now = ws.store(quality.snapshot({t: silver[t] for t in SNAPSHOT}), f"snapshot_{run_id}")
+    now = ws.store(fingerprinted(ws, "silver", {t: silver[t] for t in SNAPSHOT}), f"snapshot_{run_id}")
     results = quality.run_checks(silver, "silver")
     history = ws.history("silver_snapshot")
     before = now if history is None else quality.latest_snapshot(history)
@@ -324,7 +338,7 @@ def record_lineage(ws: Workspace, run_id: str) -> DataFrame:
 
 def gate_gold(ws: Workspace, run_id: str) -> DataFrame:
     silver = silver_tables(ws)
-    now = quality.snapshot({t: silver[t] for t in SNAPSHOT})
+    now = fingerprinted(ws, "silver", {t: silver[t] for t in SNAPSHOT})
     approved = ws.table("ops", "silver_snapshot").where(F.col("run_id") == run_id)
     results = (
         quality.run_checks({**silver, "daily_revenue": ws.table("gold", "daily_revenue")}, "gold")
@@ -332,7 +346,7 @@ def gate_gold(ws: Workspace, run_id: str) -> DataFrame:
         .unionByName(record_lineage(ws, run_id))
     )
     results = _record(ws, results, run_id)
-    published = quality.snapshot({t: ws.table("gold", t) for t in GOLD})
+    published = fingerprinted(ws, "gold", {t: ws.table("gold", t) for t in GOLD})
     tables.append_history(published.withColumn("run_id", F.lit(run_id)), ws.name("ops", "gold_snapshot"), "taken_at")
     verdict = quality.certification(results, run_id).drop("certified_at")
     tables.append_history(verdict, ws.name("ops", "gold_certification"), "certified_at")
@@ -355,7 +369,7 @@ def certified_run(ws: Workspace) -> str:
     history = ws.table("ops", "gold_certification")
     last = quality.latest_certification(history).select("run_id")
     approved = ws.table("ops", "gold_snapshot").join(F.broadcast(last), "run_id", "left_semi")  # a single row
-    return quality.require_certified(history, approved, quality.snapshot({t: ws.table("gold", t) for t in GOLD}))
+    return quality.require_certified(history, approved, fingerprinted(ws, "gold", {t: ws.table("gold", t) for t in GOLD}))
 
 
 def score_models(ws: Workspace, rounds: int = forecasting.ROUNDS, trees: int = forest.TREES, answer_key: str | None = None) -> dict:

@@ -586,6 +586,10 @@ ORACLE["snapshot_diff"] = sql(result("silver_unchanged", "critical", "gold", """
 SELECT count(*) AS n, coalesce('silver changed during the run: ' || string_agg(table_name, ', ' ORDER BY table_name), 'silver unchanged since its gate') AS detail
 FROM o_counts WHERE changed"""))
 
+ORACLE["snapshot_composed"] = sql("""
+SELECT 'before' AS state, count(*) AS row_count, true AS equals_scan, count(DISTINCT month) AS months_read FROM o_pos
+UNION ALL SELECT 'after', count(*), true, count(DISTINCT month) FILTER (month = '1999-06') FROM o_pos""")
+
 # ------------------------------------------------------------------ table functions
 
 

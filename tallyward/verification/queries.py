@@ -332,6 +332,28 @@ def snapshot_diff(s: Stage) -> DataFrame:
     return quality.silver_unchanged(*_snapshots(s))
 
 
+@query
+def snapshot_composed(s: Stage) -> DataFrame:
+    """Fingerprints of the sales composed of their files', before and after one month is edited: equal to full scans, and which months were read."""
+    db = f"composed_{uuid4().hex}"
+    s.spark.sql(f"CREATE DATABASE {db} LOCATION '{s.folder}/{db}'")
+    stored = lambda: s.spark.table(f"{db}.sales")
+    tables.replace_table(incremental.by_month(s.pos_sales), f"{db}.sales", (incremental.MONTH,))
+
+    def state(name: str, parts: DataFrame, known: DataFrame | None) -> DataFrame:
+        new = parts if known is None else parts.join(known, list(quality.FILE), "left_anti")
+        read = new.select(F.count_distinct(F.regexp_extract("file", "month=([^/]+)", 1))).scalar()
+        same = quality.changed_tables(quality.fingerprint(stored(), "sales"), quality.composed(parts, ["sales"])).agg(F.count("*") == 0).scalar()
+        return quality.composed(parts, ["sales"]).select(F.lit(name).alias("state"), "row_count", same.alias("equals_scan"), read.alias("months_read"))
+
+    first = keep(quality.file_fingerprints(stored(), "sales"), "parts")
+    before = keep(state("before", first, None), "state")
+    edited = keep(stored().where("month = '1999-06'").withColumn("quantity", F.col("quantity") + 1), "edited")
+    tables.replace_partitions(edited, f"{db}.sales", incremental.MONTH, ["1999-06"])
+    second = keep(quality.file_fingerprints(stored(), "sales", first), "parts")
+    return before.unionByName(state("after", second, first))
+
+
 # ------------------------------------------------------------------ table functions
 
 CLOSE = "2000-05"
