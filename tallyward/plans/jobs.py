@@ -248,10 +248,10 @@ def silver_tables(ws: Workspace) -> dict[str, DataFrame]:
     return {t: ws.read("silver", t) for t in (*SNAPSHOT, "quarantine")}
 
 
-def _record(ws: Workspace, results: DataFrame, run_id: str) -> DataFrame:
+def _record(ws: Workspace, results: DataFrame, run_id: str, stage: str) -> DataFrame:
     """Store the results before anyone acts on them."""
     stored = ws.store(results, f"checks_{run_id}_{uuid4().hex}")
-    tables.append_history(stored.withColumn("run_id", F.lit(run_id)), ws.name("ops", "dq_results"), "checked_at")
+    tables.append_history(stored.withColumn("run_id", F.lit(run_id)), ws.name("ops", "dq_results"), "checked_at", f"{run_id}-{stage}")
     return stored
 
 
@@ -261,8 +261,8 @@ def gate_silver(ws: Workspace, run_id: str) -> DataFrame:
     results = quality.run_checks(silver, "silver")
     history = ws.history("silver_snapshot")
     before = now if history is None else quality.latest_snapshot(history)
-    results = _record(ws, results.unionByName(quality.row_count_drop(before, now)), run_id)
-    tables.append_history(now.withColumn("run_id", F.lit(run_id)), ws.name("ops", "silver_snapshot"), "taken_at")
+    results = _record(ws, results.unionByName(quality.row_count_drop(before, now)), run_id, "silver")
+    tables.append_history(now.withColumn("run_id", F.lit(run_id)), ws.name("ops", "silver_snapshot"), "taken_at", run_id)
     quality.enforce(results)
     return results
 
@@ -279,7 +279,7 @@ def reconcile_ledger(ws: Workspace, run_id: str, answer_key: str | None = None)
         score = reconcile.detection_score(ws.table("gold", "recon_exceptions"), planted).select(
             F.lit("gl_pos_reconciliation").alias("control"), F.lit(reconcile.PLANTED_ANOMALY).alias("anomaly"), "*"
         )
-        tables.append_history(score, ws.name("ops", "detection_scores"), "scored_at")
+        tables.append_history(score, ws.name("ops", "detection_scores"), "scored_at", run_id)
 
 
 def require_access(grants: DataFrame, me: str) -> None:
@@ -345,11 +345,11 @@ def gate_gold(ws: Workspace, run_id: str) -> DataFrame:
         .unionByName(quality.silver_unchanged(approved, now))
         .unionByName(record_lineage(ws, run_id))
     )
-    results = _record(ws, results, run_id)
+    results = _record(ws, results, run_id, "gold")
     published = fingerprinted(ws, "gold", {t: ws.table("gold", t) for t in GOLD})
-    tables.append_history(published.withColumn("run_id", F.lit(run_id)), ws.name("ops", "gold_snapshot"), "taken_at")
+    tables.append_history(published.withColumn("run_id", F.lit(run_id)), ws.name("ops", "gold_snapshot"), "taken_at", run_id)
     verdict = quality.certification(results, run_id).drop("certified_at")
-    tables.append_history(verdict, ws.name("ops", "gold_certification"), "certified_at")
+    tables.append_history(verdict, ws.name("ops", "gold_certification"), "certified_at", run_id)
     quality.enforce(results)
     return results
 
@@ -414,7 +414,7 @@ def score_models(ws: Workspace, rounds: int = forecasting.ROUNDS, trees: int = f
     stamp = {"gold_run": F.lit(run_id), "scored_at": F.current_timestamp()}
     for name, df in out.items():
         tables.replace_table(df.withColumns(stamp), ws.name("gold", name))
-    tables.append_history(shifts.withColumn("gold_run", F.lit(run_id)), ws.name("ops", "model_drift"), "scored_at")
+    tables.append_history(shifts.withColumn("gold_run", F.lit(run_id)), ws.name("ops", "model_drift"), "scored_at", run_id)
     metrics = forecasting.mean_errors(errors).select(
         F.lit("revenue_forecast").alias("model"), F.concat_ws("_", "method", F.lit("mape"), "month").alias("metric"), F.col("mape").alias("value")
     )
@@ -434,7 +434,7 @@ def score_models(ws: Workspace, rounds: int = forecasting.ROUNDS, trees: int = f
     learnt = forecasting.training_rows(panel, last).groupBy(F.format_string("training_rows_%d", "horizon").alias("metric")).agg(F.count("*").cast("double").alias("value"))
     metrics = metrics.unionByName(ws.spark.createDataFrame(named, "model string, metric string, value double"))
     metrics = metrics.unionByName(learnt.select(F.lit("revenue_forecast").alias("model"), "metric", "value"))
-    tables.append_history(metrics.withColumn("gold_run", F.lit(run_id)), ws.name("ops", "model_metrics"), "logged_at")
+    tables.append_history(metrics.withColumn("gold_run", F.lit(run_id)), ws.name("ops", "model_metrics"), "logged_at", run_id)
     key = reconcile.answer_key(ws.spark, answer_key) if answer_key else None
     if key is not None:
         score_detectors(ws, key, checked, run_id)
@@ -448,7 +448,7 @@ def score_detectors(ws: Workspace, key: DataFrame, months: list[str], run_id: st
         for entity in sorted(entities):
             score = detectors.evaluate_detector(ws.table("gold", model), column, entity, months)
             named = {"model": F.lit(model), "anomaly": F.lit(anomaly), "entity": F.lit(entity), "gold_run": F.lit(run_id)}
-            tables.append_history(score.withColumns(named), ws.name("ops", "detector_scores"), "scored_at")
+            tables.append_history(score.withColumns(named), ws.name("ops", "detector_scores"), "scored_at", f"{run_id}-{model}-{entity}")
 
 
 def register_functions(ws: Workspace) -> list[str]:

@@ -4,20 +4,51 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 QUARANTINE = """source STRING, record_key STRING, reasons ARRAY<STRING>, record STRING,
   _source_file STRING, _ingested_at TIMESTAMP, _quarantined_at TIMESTAMP"""
 
 
+SLICE = "run_slice"
+
+
+def finite_value(value: Column, kind: T.DataType) -> Column:
+    """The value with NULL in place of every NaN and infinity, also inside arrays, maps and structs."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
+    if not holds_floats(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: finite_value(v, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, v: finite_value(v, kind.valueType))
+    fields = [finite_value(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def holds_floats(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(holds_floats(f.dataType) for f in kind.fields)
+    inner = {T.ArrayType: "elementType", T.MapType: "valueType"}.get(type(kind))
+    return holds_floats(getattr(kind, inner)) if inner else isinstance(kind, (T.DoubleType, T.FloatType))
+
+
+def finite(df: DataFrame) -> DataFrame:
+    """What no reader should meet in a table, NaN and infinities, as NULL; columns without floating-point numbers are left as they are."""
+    cleaned = {f.name: finite_value(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if holds_floats(f.dataType)}
+    return df.withColumns(cleaned) if cleaned else df
+
+
 def replace_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Full refresh; the new schema replaces the old one.
 
     The new table is written aside and takes the name only when it is complete, so a run that dies on the way leaves the old one.
     A partitioned table, whose partitions cannot be renamed with it, is overwritten in place, its rows gathered by partition.
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, finite(df)
     if partition_by:
         gathered = df.hint("rebalance", *partition_by)  # few files per partition; large partitions are split
         gathered.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
@@ -29,9 +60,19 @@ def replace_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ())
     return spark.table(name)
 
 
-def append_history(df: DataFrame, name: str, stamp: str) -> None:
-    """Add rows stamped with the time of this run; earlier rows are never touched."""
-    df.withColumn(stamp, F.current_timestamp()).write.mode("append").format("parquet").saveAsTable(name)
+def append_history(df: DataFrame, name: str, stamp: str, run: str | None = None) -> None:
+    """Add rows stamped with the time of this run; rows of other runs are never touched.
+
+    With ``run`` the rows are that run's slice of the table: a run that is repeated after a failure replaces its own rows.
+    """
+    stamped = finite(df).withColumn(stamp, F.current_timestamp())
+    if run is None:
+        stamped.write.mode("append").format("parquet").saveAsTable(name)
+        return
+    if not df.sparkSession.catalog.tableExists(name):
+        empty = stamped.where("false").withColumn(SLICE, F.lit(run))
+        empty.write.mode("ignore").format("parquet").partitionBy(SLICE).saveAsTable(name)
+    replace_slice(stamped, name, SLICE, run)
 
 
 def create_quarantine(spark: SparkSession, name: str) -> None:
@@ -52,8 +93,9 @@ def replace_slice(df: DataFrame, name: str, column: str, value: str) -> None:
     view = f"slice_{uuid4().hex}"
     df.select(*columns).createOrReplaceTempView(view)
     try:
+        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = '{value}') SELECT {', '.join(columns)} FROM {view}"
+            f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = '{quoted}') SELECT {', '.join(columns)} FROM {view}"
         )
     finally:
         spark.catalog.dropTempView(view)

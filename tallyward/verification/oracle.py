@@ -772,6 +772,12 @@ SELECT c_name AS cashier_id, 'S' || lpad(c_nationkey::VARCHAR, 8, '0') AS store_
 FROM customer""")
 ORACLE["slice_overwrite"] = sql("""
 SELECT source, count(*) AS n FROM o_quarantine WHERE source = 'pos_sales' OR reasons LIKE '%ref:original_transaction_id%' GROUP BY source""")
+ORACLE["repeated_runs"] = sql("""
+SELECT 'two' AS run_id, count(*) AS n, count(DISTINCT store_id) AS stores FROM o_stores
+UNION ALL SELECT * FROM (SELECT 'one', count(*) AS n, count(DISTINCT store_id) FROM o_stores WHERE country = 'CH') WHERE n > 0""")
+ORACLE["finite_sinks"] = """
+SELECT sink, c_custkey, v AS flat, v AS listed, 3::BIGINT AS listed_n, v AS held_a, v::FLOAT::DOUBLE AS held_c, v AS named, c_custkey % 5 = 0 AS absent
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN c_custkey / 4 END AS v FROM customer), (VALUES ('fresh'), ('kept')) AS t(sink)"""
 ORACLE["incremental_silver"] = ORACLE["silver_pos"]
 ORACLE["incremental_months"] = sql("""
 SELECT month, count(*) FILTER (own) AS n, bool_or(NOT own OR chosen) AS rewritten

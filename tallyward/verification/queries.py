@@ -553,6 +553,34 @@ def slice_overwrite(s: Stage) -> DataFrame:
     return s.spark.table(name).groupBy("source").agg(F.count("*").alias("n"))
 
 
+@query
+def repeated_runs(s: Stage) -> DataFrame:
+    """A history to which two runs add rows, one of them three times (the last time with fewer rows)."""
+    db = f"runs_{uuid4().hex}"
+    s.spark.sql(f"CREATE DATABASE {db} LOCATION '{s.folder}/{db}'")
+    for run, rows in (("one", s.stores), ("two", s.stores), ("one", s.stores), ("one", s.stores.where("country = 'CH'"))):
+        tables.append_history(rows.select("store_id", F.lit(run).alias("run_id")), f"{db}.history", "seen_at", run)
+    return s.spark.table(f"{db}.history").groupBy("run_id").agg(F.count("*").alias("n"), F.count_distinct("store_id").alias("stores"))
+
+
+@query
+def finite_sinks(s: Stage) -> DataFrame:
+    """NaN and infinities in flat and nested columns, through both sinks: NULL in the tables, everything else as it was."""
+    db = f"finite_{uuid4().hex}"
+    s.spark.sql(f"CREATE DATABASE {db} LOCATION '{s.folder}/{db}'")
+    odd = "case c_custkey % 4 when 0 then double('NaN') when 1 then double('infinity') when 2 then -double('infinity') else c_custkey / 4D end"
+    rows = raw.read(s.spark, s.sf_dir, "customer").selectExpr(
+        "c_custkey", f"{odd} as flat", f"array({odd}, 1D, null) as listed", f"named_struct('a', {odd}, 'b', array(named_struct('c', float({odd})))) as held",
+        f"map('k', {odd}) as named", "if(c_custkey % 5 = 0, null, named_struct('x', 1D)) as absent",
+    )
+    tables.replace_table(rows, f"{db}.fresh")
+    tables.append_history(rows, f"{db}.kept", "seen_at", "run")
+    both = [s.spark.table(f"{db}.{t}").select(F.lit(t).alias("sink"), *rows.columns) for t in ("fresh", "kept")]
+    return both[0].unionByName(both[1]).selectExpr(
+        "sink", "c_custkey", "flat", "listed[0] as listed", "size(listed) as listed_n", "held.a as held_a", "held.b[0].c as held_c", "named['k'] as named", "absent is null as absent"
+    )
+
+
 SHIFTED_FROM = "1995-03-01"  # 40 days before, there are rates already
 
 

@@ -91,3 +91,22 @@ def test_history_and_comments(spark):
     comments = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE refreshed").collect()}
     assert comments["y"] == "it's a text"
     assert tables.table_or_none(spark, "nowhere") is None
+
+
+def test_a_repeated_run_replaces_its_own_history(spark):
+    spark.sql("DROP TABLE IF EXISTS by_run")
+    one = spark.sql("select 1 as x, double('NaN') as y")
+    for run, times in (("it's run 1", 2), ("run 2", 1)):
+        for _ in range(times):
+            tables.append_history(one, "by_run", "at", run)
+    assert rows(spark.table("by_run").select("x", "y", tables.SLICE), tables.SLICE) == [(1, None, "it's run 1"), (1, None, "run 2")]
+    tables.append_history(one.where("false"), "by_run", "at", "run 2")
+    assert spark.table("by_run").count() == 1
+
+
+def test_nan_and_infinity_become_null_at_any_depth(spark):
+    df = spark.sql("""select double('NaN') as a, array(float('infinity'), float(1)) as b, named_struct('x', -double('infinity'), 'y', 'NaN') as c,
+        map('k', array(double('NaN'), 2D)) as d, cast(null as struct<z: double>) as e, 'NaN' as f""")
+    got = tables.finite(df)
+    assert got.schema.simpleString() == df.schema.simpleString()
+    assert tuple(got.first()) == (None, [None, 1.0], (None, "NaN"), {"k": [None, 2.0]}, None, "NaN")
