@@ -48,7 +48,9 @@ class Workspace:
         return f"{self.prefix}_{layer}.{table}"
 
     def table(self, layer: str, table: str) -> DataFrame:
-        return self.spark.table(self.name(layer, table))
+        """A table without the column that tells the slices of a history apart."""
+        df = self.spark.table(self.name(layer, table))
+        return df.drop(tables.SLICE) if tables.SLICE in df.columns else df
 
     def full(self, layer: str, table: str) -> str:
         return f"{self.prefix}.{layer}.{table}"
