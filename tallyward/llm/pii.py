@@ -175,7 +175,9 @@ class Pseudonyms:
                 continue
             if FIRST_DAY <= day <= LAST_DAY:
                 span = (LAST_DAY - FIRST_DAY).days + 1
-                new = FIRST_DAY + timedelta(self.permutation("date", span).of((day - FIRST_DAY).days))
+                # Only a day after the twelfth is read in the second order, so the walk goes on to one: a string has one reading.
+                reads_back = (lambda n: (FIRST_DAY + timedelta(n)).day > 12) if k else (lambda n: True)
+                new = FIRST_DAY + timedelta(self.permutation("date", span).of((day - FIRST_DAY).days, reads_back))
                 day_first = (text[2] == ".") == (k == 0)
                 parts = (new.year, new.month, new.day) if iso else (new.day, new.month, new.year) if day_first else (new.month, new.day, new.year)
                 return refill(text, "".join(f"{x:02d}" for x in parts), str.isdigit)

@@ -7,6 +7,7 @@ import os
 import random
 import re
 from collections import Counter
+from datetime import timedelta
 from pathlib import Path
 
 import duckdb
@@ -163,6 +164,19 @@ def test_pseudonyms_keep_formats_and_links(spark):
     )
 
 
+def test_no_two_dates_share_a_pseudonym():
+    """Every day in every order and separator: the pseudonyms are different, dates again, and of the order they came in."""
+    p = pii.Pseudonyms(b"k")
+    days = [pii.FIRST_DAY + timedelta(n) for n in range((pii.LAST_DAY - pii.FIRST_DAY).days + 1)]
+    for form in ("%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y"):  # the order read first; with the other order below, each string once
+        said = {d.strftime(form) for d in days}
+        if form[1] != "Y":
+            swapped = {"%d.%m.%Y": "%m.%d.%Y", "%m/%d/%Y": "%d/%m/%Y"}[form]
+            second = {d.strftime(swapped) for d in days} - said
+            assert {p.date(t) for t in second} == second  # a permutation of the strings that only the second order reads
+        assert {p.date(t) for t in said} == said
+
+
 def test_pseudonyms_of_values_beside_other_tokens():
     """What a greedy match takes in beside a valid value does not hide it, and equal values keep equal pseudonyms."""
     p = pii.Pseudonyms(b"k")
