@@ -2,40 +2,56 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.contracts import Contract
 
+# Workers get this module's functions with the task, so they need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FILES = "path string, modificationTime timestamp, length long, content binary"
 MALFORMED = "__malformed"
 SCANS = 40  # layouts read by one query; a batch with more is written by several
 
 
+WHOLE_FILES = {"spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.openCostInBytes": str(1 << 60)}  # one file, one task
+
+
+def opening(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task; the rows behind the first batch are not asked for."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
 def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """The first line of each file, through the file system it lies in; a compressed file is opened by its codec.
+    """The first line of each file, read in tasks of one file each; a compressed file is opened by its ending.
 
-    Only the beginning of a file is read.  An empty file has none and is left out.
+    A task stops after its first Arrow batch, so only the beginning of a file is read.  An empty file has no line and is left out.
+    The driver gets one line per file of the batch.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    lines = {}
-    for name in paths:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        stream = path.getFileSystem(conf).open(path)
-        codec = codecs.getCodec(path)
-        plain = codec.createInputStream(stream) if codec is not None else stream
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
-        try:
-            line = reader.readLine()
-        finally:
-            reader.close()
-        if line is not None:
-            lines[name] = line.lstrip("\ufeff")
-    return lines
+    if not paths:
+        return {}
+    before = {k: spark.conf.get(k) for k in WHOLE_FILES}
+    for k, v in WHOLE_FILES.items():
+        spark.conf.set(k, v)
+    try:
+        lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+        found = lines.mapInArrow(opening, "path string, value string").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return {unquote(row["path"]): row["value"].lstrip("\ufeff") for row in found}
 
 
 def file_layouts(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:

@@ -50,6 +50,21 @@ def test_every_name_and_any_number_of_layouts_lands(spark, tmp_path, monkeypatch
     assert got == {"C1": ("S1", None), "C2": ("S2", None), "C3": ("S3", None), "C4": (None, None), **{f"X{k}": (None, f'{{"extra{k}":"{k}"}}') for k in range(5)}}
 
 
+def test_first_lines_are_read_in_tasks_of_one_file(spark, tmp_path):
+    for k in range(60):
+        (tmp_path / f"f {k}+%.csv").write_text(f"head{k},b\n" + "x,y\n" * (20_000 if k == 0 else k % 3))
+    (tmp_path / "big.csv.gz").write_bytes(gzip.compress(b"\xef\xbb\xbfzipped,b\n" + b"1,2\n" * 50_000))
+    (tmp_path / "bare.csv").write_text("only a header")
+    (tmp_path / "blank.csv").write_text("\nx\n")
+    (tmp_path / "empty.csv").write_text("")
+    kept = {k: spark.conf.get(k) for k in landing.WHOLE_FILES}
+    paths = [f"file:{p}" for p in sorted(tmp_path.iterdir())]
+    got = {name.rsplit("/", 1)[1]: line for name, line in landing.first_lines(spark, paths).items()}
+    assert got == {**{f"f {k}+%.csv": f"head{k},b" for k in range(60)}, "big.csv.gz": "zipped,b", "bare.csv": "only a header", "blank.csv": ""}
+    assert {k: spark.conf.get(k) for k in landing.WHOLE_FILES} == kept
+    assert landing.first_lines(spark, []) == {}
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("cashier_id,store_id\nC1,S1\n")
