@@ -42,24 +42,83 @@ def finite(df: DataFrame) -> DataFrame:
     return df.withColumns(cleaned) if cleaned else df
 
 
+VERSIONS = "__versions"
+LISTED = "spark.sql.hive.manageFilesourcePartitions"
+
+
 def replace_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Full refresh; the new schema replaces the old one.
 
-    The new table is written aside and takes the name only when it is complete, so a run that dies on the way leaves the old one.
-    A partitioned table, whose partitions cannot be renamed with it, is overwritten in place, its rows gathered by partition.
+    Every version of a table is a folder of its own.  The new one is complete before one change of the table's location lets
+    readers see it, partitioned or not; a run that dies on the way leaves the old version.  The version before stays, for readers
+    that still use it; older ones and what failed runs left are deleted, so a table has one writer at a time.  ``df`` may read
+    the table itself.  Only a change of columns or partitioning, which no single statement can make, drops the old entry first.
+    Partitions are found by listing the folder, because a catalog's list of them could not change in one step.
     """
     spark, df = df.sparkSession, finite(df)
+    order = [c for c in df.columns if c not in partition_by] + list(partition_by)
+    folder, version = versions_folder(spark, name), uuid4().hex
+    df = df.select(*[f"`{c}`" for c in order])
     if partition_by:
-        gathered = df.hint("rebalance", *partition_by)  # few files per partition; large partitions are split
-        gathered.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
-        return spark.table(name)
-    aside = f"{name}__new"
-    df.write.mode("overwrite").format("parquet").saveAsTable(aside)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        df = df.hint("rebalance", *partition_by)  # few files per partition; large partitions are split
+    df.write.partitionBy(*partition_by).parquet(f"{folder}/{version}")
+    old = table_or_none(spark, name)
+    before = location(spark, name) if old is not None else ""
+    if old is not None and layout(old) == layout(df) and partition_columns(spark, name) == list(partition_by):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted(f'{folder}/{version}')}'")
+    else:
+        create_listed(spark, name, df, f"{folder}/{version}", partition_by)
+    spark.catalog.refreshTable(name)
+    keep_versions(spark, folder, {version, before.rstrip("/").rsplit("/", 1)[-1]})
     return spark.table(name)
 
 
+def quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def layout(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def versions_folder(spark: SparkSession, name: str) -> str:
+    """Beside the tables of the database."""
+    *database, table = name.split(".")
+    found = spark.catalog.getDatabase(".".join(database) or spark.catalog.currentDatabase())
+    return f"{found.locationUri.rstrip('/')}/{table}{VERSIONS}"
+
+
+def location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return next((r["data_type"] for r in described.collect()), "")
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def create_listed(spark: SparkSession, name: str, df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Point a new entry of the catalog at the files of ``path``; all columns may be NULL."""
+    columns = spark.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns]).schema.toDDL()
+    by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    before = spark.conf.get(LISTED)
+    spark.conf.set(LISTED, "false")
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{by} LOCATION '{quoted(path)}'")
+    finally:
+        spark.conf.set(LISTED, before)
+
+
+def keep_versions(spark: SparkSession, folder: str, kept: set[str]) -> None:
+    """Delete all versions of a table but the ones named."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):  # a few folders
+        if status.getPath().getName() not in kept:
+            files.delete(status.getPath(), True)
+
+
 def append_history(df: DataFrame, name: str, stamp: str, run: str | None = None) -> None:
     """Add rows stamped with the time of this run; rows of other runs are never touched.
 
@@ -93,9 +152,8 @@ def replace_slice(df: DataFrame, name: str, column: str, value: str) -> None:
     view = f"slice_{uuid4().hex}"
     df.select(*columns).createOrReplaceTempView(view)
     try:
-        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = '{quoted}') SELECT {', '.join(columns)} FROM {view}"
+            f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = '{quoted(value)}') SELECT {', '.join(columns)} FROM {view}"
         )
     finally:
         spark.catalog.dropTempView(view)

@@ -573,6 +573,25 @@ SELECT 'replaced' AS what, count(*) AS n, 'country' AS said FROM o_stores
 UNION ALL SELECT 'kept', 2 * count(*), 'two runs' FROM o_stores UNION ALL SELECT 'partitioned', count(*), 'one country' FROM o_stores WHERE country = 'CH'
 UNION ALL SELECT 'absent', 0, 'none'""")
 
+ORACLE["table_swap"] = sql("""
+SELECT 'flat' AS kind, 'opened before' AS reader, count(*) AS n, count(DISTINCT store_id) AS stores FROM o_stores
+UNION ALL SELECT 'flat', reader, count(s.store_id), count(DISTINCT s.store_id) FROM (SELECT unnest(['after', 'after a failure']) AS reader)
+  LEFT JOIN o_stores s ON s.country = 'CH' GROUP BY reader
+UNION ALL SELECT 'partitioned', 'opened before', count(*), count(DISTINCT store_id) FROM o_pos
+UNION ALL SELECT 'partitioned', reader, count(p.store_id), count(DISTINCT p.store_id) FROM (SELECT unnest(['after', 'after a failure']) AS reader)
+  LEFT JOIN o_pos p ON p.promo_flag = 'True' GROUP BY reader""")
+ORACLE["table_notes"] = sql("""
+SELECT 'held' AS what, count(*) AS n, 'raw rows that broke their contract, with every reason' AS said FROM o_quarantine WHERE source = 'pos_sales'
+UNION ALL SELECT 'margin is gold', count(*), 'month: it''s a month' FROM o_margin""")
+CTE["o_planted"] = """
+SELECT DISTINCT journal_id FROM (
+  SELECT journal_id FROM o_gl WHERE source = 'MANUAL' OR journal_id LIKE '%-DUP'
+  UNION ALL SELECT replace(journal_id, '-DUP', '') FROM o_gl WHERE journal_id LIKE '%-DUP')"""
+ORACLE["answer_keys"] = sql("""
+SELECT 'read' AS "key", (SELECT count(*) FROM o_planted) AS planted,
+  (SELECT count(*) FROM o_planted WHERE journal_id IN (SELECT journal_id FROM o_exceptions)) AS found, '' AS said
+UNION ALL SELECT 'absent', 0, 0, 'no key' UNION ALL SELECT 'other', 0, 0, 'the answer key lists no A3_unsupported_manual_revenue'""")
+
 CTE["o_counts"] = """
 SELECT 'refunds' AS table_name, (SELECT count(*) FROM o_refunds) AS was, (SELECT count(*) FROM o_refunds WHERE receipt) AS now,
   (SELECT count(*) FROM o_refunds WHERE NOT receipt) > 0 AS changed
@@ -766,6 +785,10 @@ LEFT JOIN (SELECT checked, feature, sum((c - r) * ln(c / r)) AS psi FROM o_share
 
 # ------------------------------------------------------------------ landing, sinks, evidence
 
+ORACLE["landed_files"] = sql("""
+SELECT c_mktsegment AS segment, count(*) AS n, CASE WHEN dense_rank() OVER (ORDER BY c_mktsegment) <= 2 THEN 0 ELSE 1 END AS first_batch,
+  CASE WHEN dense_rank() OVER (ORDER BY c_mktsegment) <= 2 THEN 0 ELSE 1 END AS last_batch, 0 AS unstamped, 0 AS mixed_files
+FROM customer GROUP BY c_mktsegment""")
 ORACLE["bronze_stream"] = sql("""
 SELECT c_name AS cashier_id, 'S' || lpad(c_nationkey::VARCHAR, 8, '0') AS store_id,
   CASE WHEN c_mktsegment = 'BUILDING' THEN '{"segment":"BUILDING"}' END AS _rescued_data

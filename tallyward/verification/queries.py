@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -310,6 +312,66 @@ def table_sinks(s: Stage) -> DataFrame:
     return count("replaced", fresh, F.lit(",".join(said))).unionByName(count("kept", history, runs)).unionByName(count("partitioned", parts, nation)).unionByName(absent)
 
 
+@query
+def table_swap(s: Stage) -> DataFrame:
+    """What readers see who opened a table before it is replaced, after it, and after a replacement that died on the way; flat and partitioned."""
+    db = f"swap_{uuid4().hex}"
+    s.spark.sql(f"CREATE DATABASE {db} LOCATION '{s.folder}/{db}'")
+    seen = []
+    for name, rows, fewer, by in (
+        ("flat", s.stores, "country = 'CH'", ()),
+        ("partitioned", incremental.by_month(s.pos_sales), "promo_flag", (incremental.MONTH,)),
+    ):
+        table = f"{db}.{name}"
+        tables.replace_table(rows, table, by)
+        opened = s.spark.table(table)
+        tables.replace_table(opened.where(fewer), table, by)  # reads the version that it replaces
+        try:
+            tables.replace_table(rows.where("raise_error('died on the way') is null"), table, by)
+            died = False
+        except PySparkException:
+            died = True
+        for reader, df in (("opened before", opened), ("after", s.spark.table(table)), ("after a failure", s.spark.table(table).where(F.lit(died)))):
+            seen.append(df.agg(F.lit(name).alias("kind"), F.lit(reader).alias("reader"), F.count("*").alias("n"), F.count_distinct("store_id").alias("stores")))
+    return reduce(DataFrame.unionByName, seen)
+
+
+@query
+def table_notes(s: Stage) -> DataFrame:
+    """A quarantine created twice keeps its rows; comments and properties of tables, read back, also after a replacement."""
+    db = f"notes_{uuid4().hex}"
+    s.spark.sql(f"CREATE DATABASE {db} LOCATION '{s.folder}/{db}'")
+    held = s.quarantine.where("source = 'pos_sales'").withColumn("_quarantined_at", F.current_timestamp())
+    tables.create_quarantine(s.spark, f"{db}.held")
+    tables.replace_slice(held, f"{db}.held", "source", "pos_sales")
+    tables.create_quarantine(s.spark, f"{db}.held")
+    for _ in range(2):
+        tables.replace_table(s.margin, f"{db}.margin")
+        tables.describe_table(s.spark, f"{db}.margin", {"quality": "gold"}, {"month": "it's a month", "nowhere": "not a column"})
+    tables.replace_table(s.margin, f"{db}.margin")
+    comment = s.spark.sql(f"DESCRIBE TABLE EXTENDED {db}.held").where("col_name = 'Comment'").first()["data_type"]
+    noted = [f"{r['col_name']}: {r['comment']}" for r in s.spark.sql(f"DESCRIBE {db}.margin").collect() if r["comment"]]  # a row per column
+    quality_of = s.spark.sql(f"SHOW TBLPROPERTIES {db}.margin ('quality')").first()["value"]
+    count = lambda what, df, said: df.agg(F.lit(what).alias("what"), F.count("*").alias("n"), F.lit(said).alias("said"))
+    return count("held", s.spark.table(f"{db}.held"), comment).unionByName(count(f"margin is {quality_of}", s.spark.table(f"{db}.margin"), ", ".join(noted)))
+
+
+@query
+def answer_keys(s: Stage) -> DataFrame:
+    """The planted journals as an answer key file: read and scored; a path without a file; a key that says nothing of the anomaly."""
+    folder = f"{s.folder}/keys-{uuid4().hex}"
+    planted = raw.planted_journals(s.gl_journal).select("entity_id").distinct()
+    key = planted.select(F.lit(reconcile.PLANTED_ANOMALY).alias("anomaly"), F.lit("journal").alias("entity_type"), "entity_id", F.lit("planted, by hand").alias("detail"))
+    key.write.option("header", True).csv(f"{folder}/full")
+    key.withColumn("anomaly", F.lit("another")).write.option("header", True).csv(f"{folder}/other")
+    read = reconcile.read_answer_key(s.spark, f"{folder}/full")
+    score = reconcile.detection_score(s.recon_exceptions, read).select(F.lit("read").alias("key"), "planted", "found", F.lit("").alias("said"))
+    absent = reconcile.read_answer_key(s.spark, f"{folder}/absent")
+    refused = _refusal(lambda: reconcile.read_answer_key(s.spark, f"{folder}/other"))
+    rest = [("absent", 0, 0, "no key" if absent is None else "a key"), ("other", 0, 0, refused)]
+    return score.unionByName(s.spark.createDataFrame(rest, "key string, planted long, found long, said string"))
+
+
 def _snapshots(s: Stage) -> tuple[DataFrame, DataFrame]:
     """The silver tables, and the same with edited sales, fewer refunds and a doubled budget."""
     before = {"pos_sales": s.pos_sales, "refunds": s.refunds, "gl_journal": s.gl_journal, "budget": s.budget}
@@ -507,6 +569,29 @@ def _shout(spark: SparkSession, folder: str) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).rename(path, fs.Path(home, path.getName()[:-4] + ".CSV"))
 
 
+@query
+def landed_files(s: Stage) -> DataFrame:
+    """Provenance of landed rows: customers by segment, delivered in two batches; every row names the file it came from and when it was landed."""
+    folder, contract = f"{s.folder}/landed-{uuid4().hex}", CONTRACTS["cashiers"]
+    source = keep(
+        raw.read(s.spark, s.sf_dir, "customer").select(
+            F.col("c_name").alias("cashier_id"), F.format_string("S%08d", "c_nationkey").alias("store_id"), F.col("c_mktsegment").alias("segment")
+        ),
+        "customers",
+    )
+    segments = sorted(r["segment"] for r in source.select("segment").distinct().collect())  # five market segments
+    for some in (segments[:2], segments[2:]):
+        for segment in some:
+            source.where(F.col("segment") == segment).drop("segment").write.mode("append").option("header", True).csv(f"{folder}/in")
+        landing.land(s.spark, f"{folder}/in", f"{folder}/raw", f"{folder}/state", contract)
+    landed = landing.read_raw(s.spark, f"{folder}/raw", contract).join(source.select("cashier_id", "segment"), "cashier_id")
+    strays = landed.groupBy("_source_file").agg(F.count_distinct("segment").alias("segments")).where("segments > 1")
+    return landed.groupBy("segment").agg(
+        F.count("*").alias("n"), F.min("_batch").alias("first_batch"), F.max("_batch").alias("last_batch"),
+        F.count_if(F.col("_ingested_at").isNull() | ~F.col("_source_file").endswith(".csv")).alias("unstamped"),
+    ).withColumn("mixed_files", strays.agg(F.count("*")).scalar())
+
+
 @query
 def bronze_stream(s: Stage) -> DataFrame:
     """Land customers as cashier files: plain, compressed and oddly named, in different column orders; land again: no change."""

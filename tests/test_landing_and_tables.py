@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -119,6 +120,31 @@ def test_a_repeated_run_replaces_its_own_history(spark):
     assert spark.table("by_run").count() == 1
 
 
+@pytest.mark.parametrize("by", [(), ("k",)])
+def test_readers_of_a_replaced_table_never_meet_a_gap(spark, by):
+    spark.sql("DROP TABLE IF EXISTS swapped")
+    version = lambda x: spark.sql(f"select id, id % 3 as k, {x} as x from range(30)")
+    held = lambda df: {(r["x"], r["n"]) for r in df.groupBy("x").agg(F.count("*").alias("n")).collect()}
+    tables.replace_table(version(1), "swapped", by)
+    tables.describe_table(spark, "swapped", {"quality": "gold"}, {"x": "version"})
+    old = spark.table("swapped")
+    tables.replace_table(version(2), "swapped", by)
+    assert held(old) == {(1, 30)} and held(spark.table("swapped")) == {(2, 30)}
+    with pytest.raises(Exception, match="dies on the way"):
+        tables.replace_table(version(3).where("id < 29 or raise_error('dies on the way') is null"), "swapped", by)
+    assert held(spark.table("swapped")) == {(2, 30)}
+    tables.replace_table(spark.table("swapped").where("k < 2"), "swapped", by)  # reads what it replaces
+    assert held(spark.table("swapped")) == {(2, 20)}
+    assert [r["comment"] for r in spark.sql("DESCRIBE swapped").collect() if r["col_name"] == "x"] == ["version"]
+    folder = spark._jvm.java.io.File(tables.versions_folder(spark, "swapped").removeprefix("file:"))
+    assert len(folder.list()) == 2  # this version and the one before; the failed one is gone
+    tables.replace_table(version(4).drop("id").withColumn("y", F.lit("a")), "swapped", by)
+    assert spark.table("swapped").where("y = 'a'").count() == 30 and sorted(spark.table("swapped").columns) == ["k", "x", "y"]
+    if by:
+        tables.replace_slice(spark.sql("select 9 as x, 'b' as y"), "swapped", "k", "1")
+        assert held(spark.table("swapped")) == {(4, 20), (9, 1)}
+
+
 def test_nan_and_infinity_become_null_at_any_depth(spark):
     df = spark.sql("""select double('NaN') as a, array(float('infinity'), float(1)) as b, named_struct('x', -double('infinity'), 'y', 'NaN') as c,
         map('k', array(double('NaN'), 2D)) as d, cast(null as struct<z: double>) as e, 'NaN' as f""")
