@@ -35,7 +35,7 @@ def _against_fleet(df: DataFrame, keys: list[str], values: list[str], suffix: st
 
 
 def cashier_features(refunds: DataFrame) -> DataFrame:
-    """One row per cashier-month, compared with the other cashiers of the store in that month."""
+    """Features per (store_id, cashier_id, month), from the monthly refund roll-up; peers are the rows that share (store_id, month)."""
     amounts = ("refunds", "refund_gross_eur", "no_receipt_refunds", "no_receipt_eur")
     r = refunds.withColumns({c: F.col(c).cast("double") for c in amounts})
     r = _against_peers(r, ["store_id", "month"], ["no_receipt_eur", "refunds"], "_peers")
@@ -59,8 +59,8 @@ class Features(NamedTuple):
 def margin_features(margin: DataFrame, gap: int = GAP, window: int = WINDOW) -> Features:
     """Store-months against the store's own earlier months, less what moved for every store.
 
-    The baseline is the median of the store's ``window`` months that end ``gap`` months before, so a
-    slow creep does not become its own baseline.  ``dropped`` holds the store-months without history.
+    ``gap`` and ``window`` count months: history is the ``window`` months of the store up to the one ``gap`` months back, taken as a
+    median.  Rows without enough history are returned apart, as ``dropped``.
     """
     months = store_month_margin(margin)
     # A store has one row per month: the window partitions are bounded by the calendar.
@@ -93,7 +93,7 @@ def margin_features(margin: DataFrame, gap: int = GAP, window: int = WINDOW) ->
 
 
 def ranked(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """Rank within each month by descending ``anomaly_score``, ties by key, so re-runs rank alike.
+    """Add ``rank_in_month``: 1 for the highest ``anomaly_score`` of a month; equal scores are told apart by ``keys``.
 
     The rank uses the full score; the published score is rounded afterwards.
     """

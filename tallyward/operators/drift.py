@@ -36,8 +36,8 @@ def psi(reference: DataFrame, current: DataFrame, keys: list[str], value: str =
     """PSI of ``current`` against ``reference`` for each group of ``keys``.
 
     Both frames hold (keys, value); a column ``n`` counts repeated values.  Bins are quantiles of the
-    reference, about ten current rows each.  The reference minimum stays an edge, so values tied
-    with it keep a bin of their own.  A constant reference compares "same value" with "other value".
+    reference, about ten current rows each.  The lowest bin holds exactly the values
+    equal to the least of the reference.  A constant reference compares "same value" with "other value".
 
     Quantile edges are one row per group; values are counted per bin on the map side.
     """

@@ -45,7 +45,7 @@ def _horizons(horizon: int) -> Column:
 
 
 def baseline_forecast(panel: DataFrame, last: str, horizon: int = HORIZON) -> DataFrame:
-    """Same month last year times the growth of the last three months over the same three a year before.
+    """Per store and horizon: sales twelve months before the target month, scaled by a yearly growth taken from the last three months.
 
     One aggregation per store gives every horizon.
     """

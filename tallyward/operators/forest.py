@@ -92,9 +92,8 @@ def isolation_scores(
 ) -> DataFrame:
     """Add ``anomaly_score`` (higher is more unusual) and ``flagged``.
 
-    Flagged are the rows scoring above the exact (1 - contamination) quantile: contamination sets
-    the length of the review queue, not the order.  Only tree nodes reach the driver, at most
-    ``trees`` x 511 of them.
+    ``contamination`` is used once, after scoring: rows above the exact (1 - contamination) quantile of the scores are flagged.
+    The driver collects the tree nodes, at most ``trees`` x 511.
     """
     ensure_checkpoint_dir(df.sparkSession)
     # The features are read by the count, the samples and the scoring; the scores by the threshold and the caller.
