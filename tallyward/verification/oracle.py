@@ -690,6 +690,61 @@ SELECT strftime(day, '%Y-%m') AS run_id, count(*) FILTER (abs(diff_c) > 1) < 12
 ORACLE["certification_status"] = sql("""
 SELECT certified, run_id AS gold_run, strftime(closed, '%Y-%m-%d 00:00:00') AS certified_at FROM o_certified ORDER BY closed DESC LIMIT 1""")
 
+# The isolation forest: rows drawn, nodes split and paths walked level by level, every choice by MD5.
+
+TREES, SAMPLE, LEVELS, FOREST_SEED = 300, 256, 8, 9173
+X = [f"x{i}" for i in range(5)]
+
+
+def hexadecimal(digest: str, start: int, length: int) -> str:
+    return f"('0x' || substr({digest}, {start}, {length}))::BIGINT"
+
+
+def path_length(n: str) -> str:
+    """Usual path length among n rows, in billionths."""
+    return f"(CASE WHEN {n} > 2 THEN round((2 * (ln({n} - 1) + 0.5772156649015329::DOUBLE) - 2 * ({n} - 1)::DOUBLE / {n}) * 1e9)::BIGINT WHEN {n} = 2 THEN 1000000000 ELSE 0 END)"
+
+
+CTE["o_forest_rows"] = f"""
+SELECT store_id, cashier_id, month, {", ".join(f"round({c}, 6) + 0 AS {x}" for c, x in zip(
+    ("log_refunds", "log_no_receipt_eur", "no_receipt_share", "peer_no_receipt_ratio", "peer_refunds_ratio"), X, strict=True))} FROM o_cfeat"""
+CTE["o_forest_blocks"] = f"""
+SELECT total, block, ({TREES} + block - 1) // block AS blocks, least(1, 1.3::DOUBLE * {SAMPLE} * block / total) AS share
+FROM (SELECT count(*) AS total, greatest(1, least({TREES}, floor(count(*) / (1.3::DOUBLE * {SAMPLE}))))::BIGINT AS block FROM o_forest_rows)"""
+CTE["o_forest_drawn"] = f"""
+SELECT tree, {", ".join(X)} FROM (
+  SELECT *, b * block + {hexadecimal("d", 1, 8)} % block AS tree, {hexadecimal("d", 9, 10)} AS h FROM (
+    SELECT *, md5('{FOREST_SEED}|row|' || b || '|' || store_id || '|' || cashier_id || '|' || month) AS d
+    FROM (SELECT *, unnest(generate_series(0, blocks - 1)) AS b FROM o_forest_rows, o_forest_blocks)))
+WHERE tree < {TREES} AND h <= floor(share * 1099511627776)
+QUALIFY row_number() OVER (PARTITION BY tree ORDER BY h, store_id, cashier_id, month) <= {SAMPLE}"""
+for level in range(LEVELS + 1):
+    at = f"SELECT tree, 0::BIGINT AS node, {', '.join(X)} FROM o_forest_drawn"
+    if level:
+        at = f"SELECT tree, 2 * node + CASE WHEN [{', '.join(X)}][f + 1] <= cut THEN 1 ELSE 2 END AS node, {', '.join(X)} FROM o_forest_{level - 1} WHERE f >= 0"
+    CTE[f"o_forest_{level}"] = f"""
+SELECT *, CASE WHEN f >= 0 THEN CASE WHEN low + u * (high - low) < high THEN low + u * (high - low) ELSE low END END AS cut FROM (
+  SELECT *, [{", ".join(f"low_{x}" for x in X)}][f + 1] AS low, [{", ".join(f"high_{x}" for x in X)}][f + 1] AS high, {hexadecimal("d", 9, 8)} / 4294967296::DOUBLE AS u FROM (
+    SELECT *, CASE WHEN n > 1 AND spread <> '' AND {level} < {LEVELS} THEN substr(spread, 1 + {hexadecimal("d", 1, 8)} % length(spread), 1)::BIGINT ELSE -1 END AS f FROM (
+      SELECT *, {" || ".join(f"CASE WHEN high_{x} > low_{x} THEN '{i}' ELSE '' END" for i, x in enumerate(X))} AS spread, md5('{FOREST_SEED}|cut|' || tree || '|' || node) AS d FROM (
+        SELECT *, count(*) OVER same AS n, {", ".join(f"min({x}) OVER same AS low_{x}, max({x}) OVER same AS high_{x}" for x in X)}
+        FROM ({at}) WINDOW same AS (PARTITION BY tree, node)))))"""
+CTE["o_forest_nodes"] = " UNION ALL ".join(
+    f"SELECT DISTINCT tree, node, f, cut, {level * 10**9}::BIGINT + {path_length('n')} AS depth FROM o_forest_{level}" for level in range(LEVELS + 1)
+)
+walked = f"SELECT DISTINCT {', '.join(X)}, tree, 0::BIGINT AS node FROM o_forest_rows, (SELECT DISTINCT tree FROM o_forest_drawn)"
+for _ in range(LEVELS):
+    walked = f"""SELECT {", ".join(X)}, tree, CASE WHEN f < 0 THEN node WHEN [{", ".join(X)}][f + 1] <= cut THEN 2 * node + 1 ELSE 2 * node + 2 END AS node
+FROM ({walked}) JOIN o_forest_nodes USING (tree, node)"""
+CTE["o_forest_scores"] = f"""
+SELECT store_id, cashier_id, month, pow(2::DOUBLE, -(deep::DOUBLE / (trees * usual))) AS score FROM o_forest_rows
+JOIN (SELECT {", ".join(X)}, sum(depth) AS deep, count(*) AS trees FROM ({walked}) JOIN o_forest_nodes USING (tree, node) GROUP BY {", ".join(X)}) USING ({", ".join(X)}),
+  (SELECT {path_length(f"least({SAMPLE}, greatest(total, 2))")} AS usual FROM o_forest_blocks)"""
+ORACLE["isolation_scores"] = sql("""
+SELECT store_id, cashier_id, month, round(score, 4) AS anomaly_score, row_number() OVER (PARTITION BY month ORDER BY score DESC, store_id, cashier_id) AS rank_in_month,
+  score > (SELECT quantile_cont(score, 0.995) FROM o_forest_scores) AS flagged
+FROM o_forest_scores""")
+
 CTE["o_panel"] = "SELECT store_id, strftime(day, '%Y-%m') AS month, year(day) * 12 + month(day) - 1 AS mi, sum(net_c)::DOUBLE / 100 AS v FROM o_daily GROUP BY 1, 2, 3"
 ORACLE["monthly_sales"] = sql("SELECT store_id, month, v AS net_sales_eur FROM o_panel")
 ORACLE["yoy_growth"] = sql("""

@@ -501,7 +501,8 @@ def evaluate_detector(s: Stage) -> DataFrame:
 
 @query
 def isolation_scores(s: Stage) -> DataFrame:
-    rows = detectors.cashier_features(s.refunds_month)
+    """Features go in with six digits, which every engine computes alike."""
+    rows = _rounded(detectors.cashier_features(s.refunds_month), *detectors.CASHIER_FEATURES)
     keys = ["store_id", "cashier_id"]
     scored = forest.isolation_scores(
         rows, [*keys, "month"], list(detectors.CASHIER_FEATURES), detectors.CASHIER_CONTAMINATION
