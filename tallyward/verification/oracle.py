@@ -280,6 +280,88 @@ SELECT store_id, cashier_id, month, refunds, {eur("gross_c")} AS refund_gross_eu
 FROM o_refunds_month"""
 ORACLE["refunds_month"] = sql(REFUNDS_MONTH)
 
+# What each planted fault is found as: column by column (* has a type to fail, ? may be empty), then rules, surplus, references and rates.
+FAULTS = {
+    "stores": ("store_id store_name country currency region format size_factor* open_date*", """
+        rule:country_known,rule:currency_matches_country
+        rule:currency_matches_country
+        rule:format_known
+        rule:size_positive"""),
+    "products": ("sku category reduced_vat* list_price_eur* unit_cost_eur*", """
+        rule:price_positive,rule:cost_below_price
+        rule:cost_below_price"""),
+    "cashiers": ("cashier_id store_id", "ref:store_id"),
+    "fx_rates": ("rate_date* currency units_per_eur*", "rule:rate_positive"),
+    "pos_sales": ("""transaction_id line_no* transaction_ts* business_date*! store_id cashier_id sku quantity* unit_price* discount_amount* gross_amount*
+        vat_rate* net_amount* vat_amount* currency! payment_method promo_flag*""", """
+        rule:quantity_positive
+        rule:price_positive
+        rule:discount_not_negative
+        rule:gross_equals_net_plus_vat
+        rule:date_matches_timestamp
+        rule:payment_known
+        rule:currency_known!
+        ref:store_id
+        ref:cashier_id
+        ref:sku
+        rule:date_matches_timestamp!"""),
+    "refunds": ("""refund_id refund_ts* business_date*! store_id cashier_id original_transaction_id? sku? quantity* refund_amount* vat_rate* currency!
+        receipt_present* refund_method reason""", """
+        rule:quantity_positive
+        rule:amount_positive
+        rule:receipt_means_original
+        rule:method_known
+        ref:store_id
+        ref:cashier_id
+        ref:sku
+        ref:original_transaction_id
+        !"""),
+    "gl_journal": ("journal_id line_no* posting_date* account_code account_name store_id debit_eur* credit_eur* source description", """
+        rule:amounts_not_negative
+        rule:one_side_only
+        ref:store_id"""),
+    "budget": ("store_id budget_month revenue_budget_eur* cogs_budget_eur*", """
+        rule:month_format
+        rule:amounts_not_negative
+        ref:store_id"""),
+}
+UNRATED = {"pos_sales": "no_fx_rate:gross_amount_eur,no_fx_rate:net_amount_eur", "refunds": "no_fx_rate:refund_amount_eur"}  # what ! stands for
+
+# Blank text is a value to rules and references, so it fails them beside being missing.
+BLANK_TOO = {
+    "stores": {"country": "rule:country_known,rule:currency_matches_country", "currency": "rule:currency_matches_country", "format": "rule:format_known"},
+    "cashiers": {"store_id": "ref:store_id"},
+    "pos_sales": {"store_id": "ref:store_id", "cashier_id": "ref:cashier_id", "sku": "ref:sku", "payment_method": "rule:payment_known", "currency": "rule:currency_known"},
+    "refunds": {"store_id": "ref:store_id", "cashier_id": "ref:cashier_id", "refund_method": "rule:method_known"},
+    "gl_journal": {"store_id": "ref:store_id"},
+    "budget": {"store_id": "ref:store_id", "budget_month": "rule:month_format"},
+}
+
+
+def planted_faults(source: str) -> list[str]:
+    """The reasons of each fault in order, comma-joined."""
+    columns, wrong = FAULTS[source]
+    also = BLANK_TOO.get(source, {})
+    found = [",".join(["missing:" + c.replace("*", ""), *filter(None, [also.get(c.strip("*!"))])]) for c in columns.split() if "?" not in c]
+    found += ["bad_type:" + c.replace("*", "") for c in columns.split() if "*" in c]
+    found += [*wrong.split(), "unexpected_columns"]
+    # The mark for rates may stand inside; every fault names its reasons once, in any order.
+    return [",".join([*filter(None, f.replace("!", "").split(",")), *([UNRATED[source]] if "!" in f else [])]) for f in found]
+
+
+def fault_rows(source: str, key: str, table: str) -> str:
+    """(source, reasons) of the rows of ``table``: of all faults without a ``key``, else of the fault that its digest picks."""
+    found = "[" + ", ".join(f"'{f}'" for f in planted_faults(source)) + "]"
+    picked = f"{found}[('0x' || substr(md5({key}), 1, 8))::BIGINT % {len(planted_faults(source)) + 1}]" if key else f"unnest({found})"
+    return f"SELECT '{source}' AS source, {picked} AS reasons FROM {table}"
+
+
+CTE["o_fault_rows"] = " UNION ALL ".join(fault_rows(*f) for f in (
+    ("stores", "", "o_stores"), ("products", "", "o_products"), ("cashiers", "", "(SELECT unnest(range(6)) FROM o_stores)"), ("fx_rates", "", "o_published"),
+    ("pos_sales", "transaction_id || '|' || line_no", "o_pos"), ("refunds", "refund_id", "o_refunds"),
+    ("gl_journal", "journal_id || '|' || line_no", "o_journals"), ("budget", "", "o_budget"),
+))
+ORACLE["contract_findings"] = """SELECT source, reason, count(*) AS n FROM (SELECT source, unnest(string_split(reasons, ',')) AS reason FROM o_fault_rows) WHERE reason IS NOT NULL GROUP BY ALL"""
 CTE["o_budget_plan"] = f"""
 SELECT *, {half_up("cogs_c::HUGEINT * revenue_eur * 100", "net4 * 100")} * 100 AS cost_eur FROM (
   SELECT store_id, '2000' || substr(month, 5, 3) AS budget_month, sum(net4) AS net4, sum(cogs_c) AS cogs_c,
@@ -890,3 +972,6 @@ FROM o_grants WHERE principal IN ('finance-analysts', 'users') AND NOT (object_t
   AND NOT (principal = 'finance-analysts' AND object_type = 'SCHEMA' AND schema_name = 'gold' AND privilege IN ('USE_SCHEMA', 'USE SCHEMA'))
 UNION ALL SELECT 'finance-analysts lacks SELECT on gold'""")
 ORACLE["grants_seen"] = sql("SELECT count(*) > 0 AS visible FROM o_grants WHERE principal <> 'users' AND object_type IN ('CATALOG', 'SCHEMA')")
+
+# Composed last: it reads building blocks of all parts above.
+ORACLE["contract_findings"] = sql(ORACLE["contract_findings"])

@@ -32,6 +32,7 @@ from tallyward.sources import driver_tables as raw
 from tallyward.sources import tables
 from tallyward.sources.storage import keep
 from tallyward.streaming import landing
+from tallyward.verification import faults
 from tallyward.verification.stage import BUDGET_YEAR, OFF_TIES, Stage, sales_span
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +90,21 @@ def reason_counts(s: Stage) -> DataFrame:
     return s.quarantine.select("source", F.explode("reasons").alias("reason")).groupBy("source", "reason").agg(F.count("*").alias("n"))
 
 
+@query
+def contract_findings(s: Stage) -> DataFrame:
+    """Every reason of all eight contracts, counted over deliveries that hold each fault."""
+    parents = {**s.masters(), "pos_sales": s.pos_sales}
+    found = None
+    for source, contract in CONTRACTS.items():
+        rows = s.journals if source == "gl_journal" else getattr(s, source)
+        delivery = faults.faulty(rows, contract, each=source not in ("pos_sales", "refunds", "gl_journal"))
+        audited = validation.audit(delivery, contract, parents, s.rates).audited
+        counts = audited.select(F.explode(validation.FINDINGS).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+        part = counts.select(F.lit(source).alias("source"), "reason", "n")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @query
 def row_accounting(s: Stage) -> DataFrame:
     out = None

@@ -154,3 +154,24 @@ def test_contracts_name_their_parents_first():
         assert {r.parent for r in contract.references} <= seen
         assert set(contract.key) <= set(contract.names)
         seen.add(source)
+
+
+def test_planted_faults_cover_every_reason(spark):
+    """Each contract's blanks, unreadable values, rules, references, surplus and missing rates all occur in the deliveries."""
+    import duckdb
+
+    import __spark_entry__ as registry
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("nation", "supplier", "part", "orders", "lineitem", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
+    want = sorted(con.execute("SELECT source, reason, n FROM (" + registry.oracle_sql()["contract_findings"] + ")").fetchall())
+    got = sorted(tuple(r) for r in registry.queries()["contract_findings"](spark, folder).select("source", "reason", "n").collect())
+    assert got == want
+    possible = set()
+    for source, c in CONTRACTS.items():
+        possible |= {(source, f"missing:{n}") for n in c.names if n not in c.may_be_empty} | {(source, f"bad_type:{n}") for n, kind in c.columns if kind != "string"}
+        possible |= {(source, f"rule:{n}") for n, _ in c.rules} | {(source, f"ref:{r.column}") for r in c.references}
+        possible |= {(source, f"no_fx_rate:{x.target}") for x in c.conversions} | {(source, "unexpected_columns")}
+    assert {(s, r) for s, r, _ in got} == possible
