@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions.expressions import month_index, month_of, month_text
@@ -149,6 +149,31 @@ def model_forecast(model: PipelineModel, panel: DataFrame, last: str, horizon: i
     )
 
 
+NO_NODE = -1
+
+
+def tree_table(model: PipelineModel) -> DataFrame:
+    """The fitted trees as rows (tree, weight, node, feature, threshold, below, above, value): what any engine needs to repeat a forecast.
+
+    A row goes ``below`` where its feature is at or under the threshold, else ``above``; a leaf has neither and gives ``value``.  The forecast's
+    ratio is the weighted sum of the trees' leaves.  The model's size is bounded by its rounds and depth, not by the data.
+    """
+    spark = SparkSession.getActiveSession()
+    rows = []
+    for tree, (fitted, weight) in enumerate(zip(model.stages[-1].trees, model.stages[-1].treeWeights, strict=True)):
+        todo, used = [(0, fitted._call_java("rootNode"))], 1
+        while todo:
+            node, at = todo.pop()
+            if at.subtreeDepth() == 0:
+                rows.append((tree, float(weight), node, None, None, NO_NODE, NO_NODE, float(at.prediction())))
+                continue
+            split = at.split()
+            rows.append((tree, float(weight), node, MODEL_FEATURES[split.featureIndex()], float(split.threshold()), used, used + 1, float(at.prediction())))
+            todo += [(used, at.leftChild()), (used + 1, at.rightChild())]
+            used += 2
+    return spark.createDataFrame(rows, "tree int, weight double, node int, feature string, threshold double, below int, above int, value double")
+
+
 def forecast_errors(predictions: DataFrame, panel: DataFrame) -> DataFrame:
     """Relative error of each prediction (column ``method`` says whose) with a known outcome."""
     actual = panel.select("store_id", "month", F.col("net_sales_eur").alias("actual"))

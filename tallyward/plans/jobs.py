@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyward.contracts import CONTRACTS
 from tallyward.functions import table_functions
-from tallyward.operators import detectors, drift, evidence, forecasting, forest, incremental, marts, quality, rates, reconcile, validation
+from tallyward.operators import detectors, drift, evidence, forecasting, forest, incremental, marts, quality, rates, reconcile, run_metrics, validation
 from tallyward.sources import tables
 from tallyward.streaming import landing
 
@@ -417,25 +417,13 @@ def score_models(ws: Workspace, rounds: int = forecasting.ROUNDS, trees: int = f
     for name, df in out.items():
         tables.replace_table(df.withColumns(stamp), ws.name("gold", name))
     tables.append_history(shifts.withColumn("gold_run", F.lit(run_id)), ws.name("ops", "model_drift"), "scored_at", run_id)
-    metrics = forecasting.mean_errors(errors).select(
-        F.lit("revenue_forecast").alias("model"), F.concat_ws("_", "method", F.lit("mape"), "month").alias("metric"), F.col("mape").alias("value")
-    )
-    for model, name in (("fraud_cashier_refunds", "fraud_scores"), ("fraud_store_margin", "margin_alerts")):
-        flags = ws.table("gold", name).agg(F.count_if("flagged").cast("double").alias("value"))
-        metrics = metrics.unionByName(flags.select(F.lit(model).alias("model"), F.lit("flags_total").alias("metric"), "value"))
-    dropped = stores.dropped.agg(F.count("*").cast("double").alias("value"))
-    metrics = metrics.unionByName(
-        dropped.select(F.lit("fraud_store_margin").alias("model"), F.lit("store_months_without_history").alias("metric"), "value")
-    )
     settings = {
         "revenue_forecast": {"rounds": rounds, "tree_depth": forecasting.TREE_DEPTH, "learning_rate": forecasting.LEARNING_RATE, "subsample": forecasting.SUBSAMPLE},
         "fraud_cashier_refunds": {"trees": trees, "contamination": detectors.CASHIER_CONTAMINATION},
         "fraud_store_margin": {"trees": trees, "contamination": detectors.MARGIN_CONTAMINATION},
     }
-    named = [(model, f"parameter_{k}", float(v)) for model, chosen in settings.items() for k, v in chosen.items()]
-    learnt = forecasting.training_rows(panel, last).groupBy(F.format_string("training_rows_%d", "horizon").alias("metric")).agg(F.count("*").cast("double").alias("value"))
-    metrics = metrics.unionByName(ws.spark.createDataFrame(named, "model string, metric string, value double"))
-    metrics = metrics.unionByName(learnt.select(F.lit("revenue_forecast").alias("model"), "metric", "value"))
+    scored = {name: ws.table("gold", name) for name in ("fraud_scores", "margin_alerts")}
+    metrics = run_metrics.run_metrics(errors, scored, stores.dropped, forecasting.training_rows(panel, last), settings)
     tables.append_history(metrics.withColumn("gold_run", F.lit(run_id)), ws.name("ops", "model_metrics"), "logged_at", run_id)
     key = reconcile.answer_key(ws.spark, answer_key) if answer_key else None
     if key is not None:

@@ -851,13 +851,14 @@ END = "(SELECT last FROM o_last)"
 CTE["o_base_end"] = baseline(END)
 CTE["o_base_cut"] = baseline("(SELECT last - 3 FROM o_last)")
 ORACLE["baseline_forecast"] = sql(f"SELECT store_id, {text('mi')} AS month, horizon, round(forecast, 4) AS forecast FROM o_base_end")
-ORACLE["forecast_training_rows"] = sql(f"""
+ORACLE_TRAINING = f"""
 SELECT a.store_id, a.month AS asof, t.month, round(l12.v, 4) AS lag_12, round(a.v, 4) AS lag_1, round(l2.v, 4) AS lag_2, t.mi % 12 + 1 AS month_of_year,
   h::BIGINT AS horizon, round(a.level + 0.0000003::DOUBLE, 4) AS store_level, round(t.v / l12.v, 4) AS y
 FROM (SELECT *, avg(v) OVER (PARTITION BY store_id ORDER BY mi) AS level, unnest([1, 2, 3]) AS h FROM o_panel) a
 JOIN o_panel t ON t.store_id = a.store_id AND t.mi = a.mi + h JOIN o_panel l12 ON l12.store_id = a.store_id AND l12.mi = a.mi + h - 12
 JOIN o_panel l2 ON l2.store_id = a.store_id AND l2.mi = a.mi - 1
-WHERE t.mi <= {END}""")
+WHERE t.mi <= {END}"""
+ORACLE["forecast_training_rows"] = sql(ORACLE_TRAINING)
 CTE["o_errors_end"] = "SELECT horizon, p.mi, (forecast - v) / v AS e FROM o_base_cut p JOIN o_panel a ON a.store_id = p.store_id AND a.mi = p.mi WHERE forecast IS NOT NULL AND v > 0"
 ORACLE["backtest_baseline"] = sql(f"SELECT 'baseline' AS method, {text('mi')} AS month, horizon, round(avg(abs(e)), 6) AS mape FROM o_errors_end GROUP BY mi, horizon")
 
@@ -973,5 +974,14 @@ FROM o_grants WHERE principal IN ('finance-analysts', 'users') AND NOT (object_t
 UNION ALL SELECT 'finance-analysts lacks SELECT on gold'""")
 ORACLE["grants_seen"] = sql("SELECT count(*) > 0 AS visible FROM o_grants WHERE principal <> 'users' AND object_type IN ('CATALOG', 'SCHEMA')")
 
+ORACLE["model_metrics"] = sql(f"""
+SELECT model, metric, round(value, 6) AS value, '2000-12' AS gold_run FROM (
+  SELECT 'revenue_forecast' AS model, 'baseline_mape_' || {text("mi")} AS metric, avg(abs(e)) AS value FROM o_errors_end GROUP BY mi
+  UNION ALL SELECT 'fraud_cashier_refunds', 'flags_total', count(*) FILTER (round(peer_no_receipt_ratio + peer_refunds_ratio, 6) > 2)::DOUBLE FROM o_cfeat
+  UNION ALL SELECT 'fraud_store_margin', 'flags_total', count(*) FILTER (flagged)::DOUBLE FROM o_alerts
+  UNION ALL SELECT 'fraud_store_margin', 'store_months_without_history', ((SELECT count(*) FROM o_store_month) - (SELECT count(*) FROM o_mfeat))::DOUBLE
+  UNION ALL SELECT 'revenue_forecast', 'training_rows_' || horizon, count(*)::DOUBLE FROM ({ORACLE_TRAINING}) GROUP BY horizon
+  UNION ALL SELECT 'fraud_store_margin', 'parameter_trees', 300 UNION ALL SELECT 'fraud_store_margin', 'parameter_contamination', 0.02)""")
+
 # Composed last: it reads building blocks of all parts above.
 ORACLE["contract_findings"] = sql(ORACLE["contract_findings"])

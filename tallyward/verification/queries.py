@@ -26,6 +26,7 @@ from tallyward.operators import (
     quality,
     rates,
     reconcile,
+    run_metrics,
     validation,
 )
 from tallyward.sources import driver_tables as raw
@@ -559,6 +560,24 @@ def forecast_bands(s: Stage) -> DataFrame:
     return forecasting.forecast(s.panel, s.last_complete(), "baseline", errors)
 
 
+@query
+def model_metrics(s: Stage) -> DataFrame:
+    """The metrics of a run as the history table of two attempts at it shows them."""
+    last, run = s.last_complete(), "2000-12"
+    metrics = run_metrics.run_metrics(
+        forecasting.backtest(s.panel, last, methods=("baseline",)),
+        {"fraud_scores": s.fraud_scores, "margin_alerts": s.margin_alerts},
+        detectors.margin_features(s.margin).dropped,
+        forecasting.training_rows(s.panel, last),
+        {"fraud_store_margin": {"trees": forest.TREES, "contamination": detectors.MARGIN_CONTAMINATION}},
+    )
+    db = f"metrics_{uuid4().hex}"
+    s.spark.sql(f"CREATE DATABASE {db} LOCATION '{s.folder}/{db}'")
+    for _ in range(2):
+        tables.append_history(metrics.withColumn("gold_run", F.lit(run)), f"{db}.model_metrics", "logged_at", run)
+    return _rounded(s.spark.table(f"{db}.model_metrics"), "value").select("model", "metric", "value", "gold_run")
+
+
 @query
 def gbt_forecast(s: Stage) -> DataFrame:
     """Both methods on the same cut."""

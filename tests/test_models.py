@@ -119,6 +119,30 @@ def test_backtest_and_bands(panel):
     assert (none.low_80_eur == none.high_80_eur).all()
 
 
+def test_exported_trees_give_the_forecast_in_sql(panel):
+    """Another engine walks the exported trees over the feature rows and finds the model's forecasts."""
+    import duckdb
+
+    model = forecasting.train(panel, "2026-06", rounds=4)
+    con = duckdb.connect()
+    con.register("trees", forecasting.tree_table(model).toPandas())
+    inputs = forecasting.feature_rows(panel.where("month <= '2026-06'"), 3).where("asof = '2026-06'").dropna(subset=list(forecasting.MODEL_FEATURES))
+    con.register("inputs", inputs.toPandas())
+    want = con.execute("""
+        WITH RECURSIVE long AS (UNPIVOT (SELECT store_id, month, lag_12::DOUBLE AS lag_12, lag_1::DOUBLE AS lag_1, lag_2::DOUBLE AS lag_2,
+            month_of_year::DOUBLE AS month_of_year, horizon::DOUBLE AS horizon, store_level::DOUBLE AS store_level FROM inputs)
+          ON lag_12, lag_1, lag_2, month_of_year, horizon, store_level INTO NAME feature VALUE x),
+        walk AS (SELECT store_id, month, tree, 0 AS node FROM inputs, (SELECT DISTINCT tree FROM trees)
+          UNION ALL SELECT w.store_id, w.month, w.tree, CASE WHEN x <= threshold THEN below ELSE above END
+          FROM walk w JOIN trees t USING (tree, node) JOIN long l ON l.store_id = w.store_id AND l.month = w.month AND l.feature = t.feature)
+        SELECT store_id, month, any_value(lag_12) * sum(weight * value) FROM walk JOIN trees USING (tree, node) JOIN inputs USING (store_id, month)
+        WHERE trees.feature IS NULL GROUP BY ALL ORDER BY ALL""").fetchall()
+    got = forecasting.model_forecast(model, panel, "2026-06").orderBy("store_id", "month").select("store_id", "month", "forecast").collect()
+    assert len(got) == len(want) == 30
+    for g, w in zip(got, want, strict=True):
+        assert tuple(g)[:2] == w[:2] and g[2] == pytest.approx(w[2], rel=1e-12)
+
+
 def brute_psi(ref, cur):
     ref, cur = np.asarray(ref, float), np.asarray(cur, float)
     bins = int(np.clip(len(cur) // 10, 2, 10))
