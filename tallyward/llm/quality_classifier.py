@@ -126,8 +126,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", usable: Co
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """Add the probability of label 1 to every row; the input's columns stay as they are."""
+    """Add the probability of label 1 to every row; the input's columns stay as they are, but one of that name is replaced."""
     ship(docs.sparkSession)
+    docs = docs.drop(column)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: 2^20 floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

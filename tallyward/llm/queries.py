@@ -15,8 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fold(parts: int) -> Column:
-    """crc32 of the id as text, modulo ``parts``."""
-    return F.crc32(F.col("doc_id").cast("string")) % parts
+    """crc32 of the id as text, modulo ``parts``; -1 without an id, which is in no fold."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts, F.lit(-1))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +30,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=fold(4) != 2)
     scored = toxicity.score(docs, model)
     return scored.select(
-        "doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+        "doc_id",
+        (fold(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("spots").cast("long").alias("n_spots"),
+        F.array_join("spots", ",").alias("spots"),
     )
 
 

@@ -78,13 +78,22 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.bias + sums_by(self.weights[s.index], s.by_sentence), -40, 40)))
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        out = np.empty(len(offsets) - 1)
+        return self.judge(data, offsets, SPOT)[0]
+
+    def judge(self, data: np.ndarray, offsets: np.ndarray, least: float) -> tuple[np.ndarray, pa.ListArray]:
+        """The score of each text, and the numbers (from 0) of its sentences that score ``least`` or more."""
+        out, spots, ends = np.empty(len(offsets) - 1), [], [np.zeros(1, np.int64)]
         for lo, hi in pieces(offsets):
             part = offsets[lo : hi + 1]
             s = sentences(data[part[0] : part[-1]], part - part[0])
-            clean = sums_by(np.log1p(-np.minimum(self.sentence_scores(s), 1 - 1e-12)), s.by_text)
+            p = self.sentence_scores(s)
+            clean = sums_by(np.log1p(-np.minimum(p, 1 - 1e-12)), s.by_text)
             out[lo:hi] = np.where(np.diff(s.by_text) > 0, np.clip(1 - np.exp(clean), 0, 1), self.empty)
-        return out
+            hit = np.flatnonzero(p >= least)
+            spots.append(hit - s.by_text[np.searchsorted(s.by_text, hit, "right") - 1])
+            ends.append(np.searchsorted(hit, s.by_text[1:]) + ends[-1][-1])
+        numbers = np.concatenate(spots) if spots else np.zeros(0)
+        return out, pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(numbers, pa.int32()))
 
 
 def fit(bags: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, rate: float = 0.5, l2: float = 1e-4) -> Model:
@@ -164,16 +173,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Colu
     return fit([bags[k] for k in sorted(bags)])
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score: the noisy-or of the sentences of the whole text."""
+def score(docs: DataFrame, model: Model, least: float = SPOT) -> DataFrame:
+    """doc_id, score (the noisy-or of the sentences of the whole text) and spots: the numbers of the sentences at or above ``least``."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: 2^18 floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([batch.column("doc_id"), pa.array(shared.value.scores(*texts_of(batch.column("text"))))], ["doc_id", "score"])
+            scores, spots = shared.value.judge(*texts_of(batch.column("text")), least)
+            yield pa.record_batch([batch.column("doc_id"), pa.array(scores), spots], ["doc_id", "score", "spots"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, spots array<int>")
 
 
 def locate(docs: DataFrame, model: Model, least: float = SPOT) -> DataFrame:

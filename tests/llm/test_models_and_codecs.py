@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import re
+import zlib
 from collections import Counter
 from datetime import timedelta
 from pathlib import Path
@@ -45,6 +46,39 @@ def test_quality_classifier_on_held_out_documents(spark):
         assert sum(part) >= 0.97 * len(part)
 
 
+@needs_tables
+def test_spots_are_the_located_sentences_and_make_the_score(spark):
+    docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
+    odd = spark.createDataFrame([(None, "One. Two! Three?"), (-1, None), (-2, ""), (-3, "...")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(odd)
+    model = toxicity.train(docs, labels)
+    scored = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    located = {r.doc_id: r.n for r in toxicity.locate(docs, model).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert {k: len(r.spots) for k, r in scored.items() if r.spots} == located
+    texts = {r.doc_id: r.text for r in docs.where("doc_id >= 0").collect()}
+    for k in sorted(located)[:40]:  # the noisy-or of the sentences, one after another
+        raw = np.frombuffer(texts[k].encode(), np.uint8)
+        p = model.sentence_scores(toxicity.sentences(raw, np.array([0, len(raw)])))
+        assert scored[k].score == pytest.approx(1 - np.prod(1 - p), abs=1e-6)
+        assert scored[k].spots == [i for i, x in enumerate(p) if x >= toxicity.SPOT]
+    assert scored[-1].spots == scored[-2].spots == scored[-3].spots == [] and scored[-1].score == scored[-2].score
+
+
+def test_rows_without_an_id_are_in_no_fold(spark):
+    from tallyward.llm import queries
+
+    df = spark.createDataFrame([(None,), (5,)], "doc_id long")
+    got = {r[0]: r[1] for r in df.select("doc_id", (queries.fold(3) == 1)).collect()}
+    assert got[None] is False and got[5] == (zlib.crc32(b"5") % 3 == 1)
+
+
+def test_a_column_named_like_the_score_is_replaced(spark):
+    docs = spark.createDataFrame([(1, "good words", 7.0, "kept")], "doc_id long, text string, Score double, source string")
+    model = quality_classifier.train(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    scored = quality_classifier.score(docs, model)
+    assert scored.columns == ["doc_id", "text", "source", "score"] and scored.first()["score"] == 0.5
+
+
 @needs_tables
 def test_toxicity_on_held_out_documents(spark):
     docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
