@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.expressions import month_index, month_of, month_text
 from tallyward.operators import boosting
+from tallyward.operators.marts import budget_years
 from tallyward.operators.ordering import group_quantiles
 from tallyward.sources.storage import keep
 
@@ -31,6 +32,13 @@ def last_complete_month(budget_variance: DataFrame) -> str:
     return budget_variance.where("complete_month").agg(F.max("month")).first()[0]
 
 
+def last_sold_month(pos_sales: DataFrame, budget: DataFrame) -> str:
+    """What :func:`last_complete_month` finds in the variances up to the last day sold: the last month over by then that sold in a budgeted year."""
+    until = pos_sales.agg(F.max("business_date")).scalar()
+    months = pos_sales.select(month_of("business_date").alias("month")).distinct().where(F.last_day(F.to_date("month", "yyyy-MM")) <= until)
+    return months.join(budget_years(budget), F.substring("month", 1, 4) == F.col("year"), "left_semi").agg(F.max("month")).first()[0]
+
+
 def month_number(month: str) -> int:
     return int(month[:4]) * YEAR + int(month[5:7]) - 1
 

@@ -7,9 +7,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from tallyward.contracts import CONTRACTS, POS_SALES
 from tallyward.functions import table_functions
-from tallyward.operators import joins, quality, validation
+from tallyward.operators import forecasting, joins, quality, validation
 from tallyward.sources import driver_tables as raw
 from tallyward.verification.stage import Stage
 
@@ -81,3 +82,30 @@ def test_faulty_ledger_reads_the_journals_once(spark, tmp_path):
     assert got.where("source = 'POS'").count() == 3000 - missing + twice - 1
     assert got.where("credit_eur = 15 and journal_id not like '%-DUP'").count() == high - 1
     assert got.where("source = 'MANUAL'").agg(F.sum(F.col("debit_eur") - F.col("credit_eur"))).first()[0] == 0
+
+
+@needs_tables
+def test_refunds_are_audited_without_storing_the_sales(spark):
+    s, whole = Stage(spark, SF_DIR), Stage(spark, SF_DIR)
+    assert not s.refunds_month.isEmpty()
+    assert not s.stored & {"pos_sales", "audited_pos_sales", "rolled", "gl_journal"}
+    receipts = lambda df: {r[0] for r in df.select("transaction_id").collect()}
+    assert receipts(s.receipts()) == receipts(whole.pos_sales) != set()
+
+
+@needs_tables
+def test_the_monthly_panel_needs_no_table_as_large_as_the_sales(spark):
+    s, whole = Stage(spark, SF_DIR), Stage(spark, SF_DIR)
+    assert s.last_complete() == forecasting.last_complete_month(whole.budget_variance)
+    assert not s.panel.isEmpty()
+    assert not s.stored & {"rolled", "budget", "budget_variance", "daily_revenue"}
+    assert not whole.daily_revenue.isEmpty() and s.panel.exceptAll(whole.panel).isEmpty() and whole.panel.exceptAll(s.panel).isEmpty()
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["input_problems", "snapshot_composed"])
+def test_rows_read_once_are_not_stored(spark, monkeypatch, name):
+    s = Stage(spark, SF_DIR)
+    monkeypatch.setattr(Stage, "of", classmethod(lambda cls, spark, sf_dir: s))
+    assert not registry.queries()[name](spark, SF_DIR).isEmpty()
+    assert "audited_pos_sales" in s.stored and not s.stored & {"pos_sales", "refunds", "journals", "gl_journal"}
