@@ -68,6 +68,16 @@ def test_single_keys_are_not_gathered(spark, monkeypatch, few):
     assert "Exchange" not in plan_of(unique) and unique.count() == 50
 
 
+@pytest.mark.parametrize("words", [1, 64, validation.FILTER_WORDS])
+def test_many_repeated_keys_move_their_own_rows(spark, monkeypatch, words):
+    monkeypatch.setattr(validation, "FILTER_WORDS", words)
+    hashed = spark.range(4000).select("id", F.xxhash64("id").alias("__h"))
+    single, moved = validation._sifted(hashed, hashed.where("id % 10 = 0").select("__h"))
+    stay, go = ({r["id"] for r in df.collect()} for df in (single, moved))
+    assert stay | go == set(range(4000)) and not stay & go and go >= set(range(0, 4000, 10))
+    assert (len(go) == 400) == (words > 64)
+
+
 def test_faulty_ledger_reads_the_journals_once(spark, tmp_path):
     lines = spark.range(3000).selectExpr(
         "concat('J', id, '-POS') as journal_id", "1 as line_no", "date_add(date'1995-01-01', int(id)) as posting_date", "'4000' as account_code", "'Revenue' as account_name",
