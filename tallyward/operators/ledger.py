@@ -78,13 +78,18 @@ def _book(days: DataFrame, *journals: Column) -> DataFrame:
     )
 
 
+def _to_their_days(lines: DataFrame) -> DataFrame:
+    """Lines moved once, to their store-day, which opening hours bound: its sums per currency and in total are then both complete in place."""
+    return lines.repartition("store_id", "business_date")
+
+
 def post_sales(pos_sales: DataFrame, products: DataFrame, rates: DataFrame) -> DataFrame:
     """Daily sales and cost-of-goods journals per store."""
 
     def paid_by(method: str) -> Column:
         return F.sum(F.when(F.col("payment_method") == method, F.col("gross_amount")).otherwise(0)).alias(method)
 
-    priced = pos_sales.join(products.select("sku", "unit_cost_eur"), "sku", "left")
+    priced = _to_their_days(pos_sales.join(products.select("sku", "unit_cost_eur"), "sku", "left"))
     in_currency = priced.groupBy("store_id", "business_date", "currency").agg(
         paid_by("card"),
         paid_by("cash"),
@@ -116,7 +121,7 @@ def post_refunds(refunds: DataFrame, rates: DataFrame) -> DataFrame:
     def given_in(method: str) -> Column:
         return F.sum(F.when(F.col("refund_method") == method, F.col("refund_amount")).otherwise(0)).alias(method)
 
-    groups = refunds.groupBy("store_id", "business_date", "currency", "vat_rate").agg(
+    groups = _to_their_days(refunds).groupBy("store_id", "business_date", "currency", "vat_rate").agg(
         given_in("cash"), given_in("card"), F.sum("refund_amount").alias("gross")
     )
     eur = {c: F.try_divide(F.col(c).cast(MONEY), "units_per_eur") for c in ("cash", "card", "gross")}
