@@ -21,11 +21,12 @@ ACCOUNT_NAMES = {
     "5000": "Cost of goods sold",
 }
 
-def _journal(tag: str, source: str, description: str, debits: dict[str, str], credits: dict[str, str]) -> Column:
+def _journal(tag: str, source: str, description: str, debits: dict[str, str], credits: dict[str, str], only: tuple[str, ...] = ()) -> Column | None:
     """A journal as a struct: its lines are rounded amount columns by account, debits first.
 
     Empty lines are marked unused, and what rounding left over goes to the first used debit line.
-    Only plain expressions are used, so the whole posting stays in generated code.
+    Only plain expressions are used, so the whole posting stays in generated code.  With ``only`` the lines of those accounts are
+    written, as they are in the whole journal; None if it has none.
     """
     amounts = [(account, F.col(c), True) for account, c in debits.items()]
     amounts += [(account, F.col(c), False) for account, c in credits.items()]
@@ -38,6 +39,8 @@ def _journal(tag: str, source: str, description: str, debits: dict[str, str], cr
         number = number + used.cast("int")
         adjusted = F.when(used & ~debit_seen, amount + residual).otherwise(amount) if is_debit else zero
         debit_seen = debit_seen | used if is_debit else debit_seen
+        if only and account not in only:
+            continue
         lines.append(
             F.struct(
                 used.alias("used"),
@@ -48,6 +51,8 @@ def _journal(tag: str, source: str, description: str, debits: dict[str, str], cr
                 (zero if is_debit else amount).cast(MONEY).alias("credit_eur"),
             )
         )
+    if not lines:
+        return None
     day = F.date_format("business_date", "yyyyMMdd")
     return F.struct(
         F.concat(F.lit("J"), day, F.lit("-"), F.col("store_id"), F.lit(f"-{tag}")).alias("journal_id"),
@@ -57,10 +62,11 @@ def _journal(tag: str, source: str, description: str, debits: dict[str, str], cr
     )
 
 
-def _book(days: DataFrame, *journals: Column) -> DataFrame:
+def _book(days: DataFrame, *journals: Column | None) -> DataFrame:
     """One row per ledger line from one row per store-day: no shuffle beyond the day totals."""
+    asked = [j for j in journals if j is not None]
     return (
-        days.select("store_id", F.col("business_date").alias("posting_date"), F.explode(F.array(*journals)).alias("j"))
+        days.select("store_id", F.col("business_date").alias("posting_date"), F.explode(F.array(*asked)).alias("j"))
         .select("store_id", "posting_date", "j.journal_id", "j.source", "j.description", F.explode("j.lines").alias("line"))
         .where("line.used")
         .select(
@@ -83,8 +89,8 @@ def _to_their_days(lines: DataFrame) -> DataFrame:
     return lines.repartition("store_id", "business_date")
 
 
-def post_sales(pos_sales: DataFrame, products: DataFrame, rates: DataFrame) -> DataFrame:
-    """Daily sales and cost-of-goods journals per store."""
+def sales_days(pos_sales: DataFrame, products: DataFrame, rates: DataFrame) -> DataFrame:
+    """What the sales of each store-day come to, in EUR and rounded: all that its journals need."""
 
     def paid_by(method: str) -> Column:
         return F.sum(F.when(F.col("payment_method") == method, F.col("gross_amount")).otherwise(0)).alias(method)
@@ -106,17 +112,22 @@ def post_sales(pos_sales: DataFrame, products: DataFrame, rates: DataFrame) -> D
         .agg(*[F.sum(c).alias(c) for c in (*eur, "cogs")])
     )
     rounded = {c: cents(F.col(c)) for c in ("card", "cash", "voucher", "net", "cogs")}
+    return days.select("store_id", "business_date", *[c.alias(name) for name, c in rounded.items()], cents(F.col("gross") - F.col("net")).alias("vat"))
+
+
+def book_sales(days: DataFrame, only: tuple[str, ...] = ()) -> DataFrame:
+    """Daily sales and cost-of-goods journals per store, from :func:`sales_days`; of these accounts, where some are named."""
     return _book(
-        days.withColumns({"vat": cents(F.col("gross") - F.col("net")), **rounded}),
+        days,
         _journal(
-            "POS", "POS", "Daily sales", {"1200": "card", "1000": "cash", "1300": "voucher"}, {"4000": "net", "2200": "vat"}
+            "POS", "POS", "Daily sales", {"1200": "card", "1000": "cash", "1300": "voucher"}, {"4000": "net", "2200": "vat"}, only
         ),
-        _journal("COGS", "COGS", "Cost of goods sold", {"5000": "cogs"}, {"1400": "cogs"}),
+        _journal("COGS", "COGS", "Cost of goods sold", {"5000": "cogs"}, {"1400": "cogs"}, only),
     )
 
 
-def post_refunds(refunds: DataFrame, rates: DataFrame) -> DataFrame:
-    """Daily refund journals per store, net of the VAT given back."""
+def refund_days(refunds: DataFrame, rates: DataFrame) -> DataFrame:
+    """What the refunds of each store-day come to, in EUR and rounded, net of the VAT given back."""
 
     def given_in(method: str) -> Column:
         return F.sum(F.when(F.col("refund_method") == method, F.col("refund_amount")).otherwise(0)).alias(method)
@@ -133,15 +144,18 @@ def post_refunds(refunds: DataFrame, rates: DataFrame) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c in (*eur, "net")])
     )
     rounded = {c: cents(F.col(c)) for c in ("cash", "card", "net")}
-    return _book(
-        days.withColumns({"vat": cents(F.col("gross")) - cents(F.col("net")), **rounded}),
-        _journal("REF", "REFUND", "Daily refunds", {"4010": "net", "2200": "vat"}, {"1000": "cash", "1200": "card"}),
-    )
+    vat = (cents(F.col("gross")) - cents(F.col("net"))).alias("vat")
+    return days.select("store_id", "business_date", *[c.alias(name) for name, c in rounded.items()], vat)
+
+
+def book_refunds(days: DataFrame) -> DataFrame:
+    """Daily refund journals per store, from :func:`refund_days`."""
+    return _book(days, _journal("REF", "REFUND", "Daily refunds", {"4010": "net", "2200": "vat"}, {"1000": "cash", "1200": "card"}))
 
 
 def post_journals(pos_sales: DataFrame, refunds: DataFrame, products: DataFrame, rates: DataFrame) -> DataFrame:
     """The ledger a store chain books from its tills: one journal per store, day and kind."""
-    return post_sales(pos_sales, products, rates).unionByName(post_refunds(refunds, rates))
+    return book_sales(sales_days(pos_sales, products, rates)).unionByName(book_refunds(refund_days(refunds, rates)))
 
 
 def budget_from_prior_year(lines: DataFrame, prior_year: int, growth: str = "0.05") -> DataFrame:

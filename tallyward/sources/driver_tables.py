@@ -6,6 +6,9 @@ so an independent SQL engine can repeat every value exactly.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -194,8 +197,9 @@ def faulty_ledger(journals: DataFrame) -> DataFrame:
     sales, revenue = F.col("source") == "POS", F.col("account_code") == "4000"
     booked = ~(sales & (h % 97 == 0))
     roles = {"kept": booked, "twice": booked & sales & (h % 103 == 0), "debit": sales & revenue & (h % 107 == 0), "credit": sales & revenue & (h % 107 == 0)}
-    role = F.explode(F.array_compact(F.array(*[F.when(taken, name) for name, taken in roles.items()]))).alias("role")
-    lines = journals.select("*", h.alias("h"), role)
+    # Every line meets every role and keeps those it has: comparisons are compiled, a list that is filtered would not be.
+    taken = reduce(operator.or_, [(F.col("role") == name) & has for name, has in roles.items()])
+    lines = journals.withColumn("role", F.explode(F.array(*map(F.lit, roles)))).where(taken).withColumn("h", h)
 
     money = lambda c: c.cast("decimal(18,2)")
     manual, debit = F.col("role").isin("debit", "credit"), F.col("role") == "debit"

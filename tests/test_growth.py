@@ -119,3 +119,19 @@ def test_rows_read_once_are_not_stored(spark, monkeypatch, name):
     monkeypatch.setattr(Stage, "of", classmethod(lambda cls, spark, sf_dir: s))
     assert not registry.queries()[name](spark, SF_DIR).isEmpty()
     assert "audited_pos_sales" in s.stored and not s.stored & {"pos_sales", "refunds", "journals", "gl_journal"}
+
+
+def test_findings_are_listed_without_a_lambda_over_the_catalogue(spark):
+    odd = [validation.Finding("big", F.col("id") > 2), validation.Finding("unknown", F.when(F.col("id") != 1, F.col("id") == 3))]
+    got = spark.range(4).select("id", validation.reasons(odd).alias("found"))
+    assert [r["found"] for r in got.orderBy("id").collect()] == [[], [], [], ["big", "unknown"]]
+    assert "struct(" not in plan_of(got)
+
+
+@needs_tables
+def test_contract_findings_judge_rows_once_and_store_no_ledger(spark, monkeypatch):
+    s = Stage(spark, SF_DIR)
+    monkeypatch.setattr(Stage, "of", classmethod(lambda cls, spark, sf_dir: s))
+    got = registry.queries()["contract_findings"](spark, SF_DIR)
+    assert "sales_days" in s.stored and not s.stored & {"journals", "gl_journal"}
+    assert "size(CASE" not in plan_of(got)
