@@ -120,3 +120,12 @@ def test_fingerprints_are_composed_of_files(spark):
     again = quality.file_fingerprints(spark.table("composed"), "t", second)
     assert sorted(map(str, again.collect())) == sorted(map(str, second.collect()))
     assert quality.composed(first.where("false"), ["t"]).collect() == [("t", 0, 0)]
+
+
+def test_lines_without_masters_are_counted_per_master(spark):
+    """A NULL store or product has no master either; a line that lacks both counts twice; nothing as large as the sales is stored."""
+    pos = spark.sql("select * from values ('S1', 'P1'), ('S1', null), (null, 'P1'), (null, null), ('S9', 'P9'), ('S9', 'P1') as t(store_id, sku)")
+    masters = {"stores": spark.sql("select 'S1' store_id"), "products": spark.sql("select 'P1' sku")}
+    inputs = quality.Inputs({"pos_sales": pos, **masters})
+    assert one(quality.run_check("sales_have_masters", inputs))["violations"] == 7
+    assert inputs._sold_days is None
