@@ -135,3 +135,11 @@ def test_contract_findings_judge_rows_once_and_store_no_ledger(spark, monkeypatc
     got = registry.queries()["contract_findings"](spark, SF_DIR)
     assert "sales_days" in s.stored and not s.stored & {"journals", "gl_journal"}
     assert "size(CASE" not in plan_of(got)
+
+
+@needs_tables
+def test_a_detection_is_scored_without_the_refunds(spark, monkeypatch):
+    s = Stage(spark, SF_DIR)
+    monkeypatch.setattr(Stage, "of", classmethod(lambda cls, spark, sf_dir: s))
+    score = registry.queries()["detection_score"](spark, SF_DIR).first()
+    assert score["planted"] > 0 and not s.stored & {"refunds", "audited_refunds", "refund_days", "gl_journal"}
